@@ -23,7 +23,7 @@ from .common import scratch
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
-ROWS_PER_CHUNK = 20_000
+ROWS_PER_CHUNK = 4_000
 
 
 def sizes(docs: DataFrame) -> DataFrame:
