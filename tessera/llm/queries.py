@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import linededup, mixing, sharding, urlrep
+from . import linededup, mixing, neardup, sharding, urlrep
 
 QUERIES = {
+    "op2_near_dedup": neardup.op2_near_dedup,
     "op3_line_dedup": linededup.op3_line_dedup,
     "op5_mixing": mixing.op5_mixing,
     "op7_sharding": sharding.op7_sharding,
