@@ -10,8 +10,9 @@ union-find grouping.
    compared with the rest by signature; members it doesn't resemble get a pivot of their
    own. That yields a few pairs per member, not all pairs of a bucket.
 4. Pairs are confirmed on the full sets (``100 * both >= 75 * any``), linked, and joined
-   to components. Then buckets that still hold several components compare their members
-   across components, until such a round finds no new link.
+   to components. Then, in buckets that still hold several components, each member outside
+   the largest is paired with the members of other components most like it, round after
+   round until one finds no new link.
 
 A pair of similarity 0.75 shares no band with probability (1 - 0.75**3)**24 = 2e-6, and
 comparing signatures drops it with a probability of the same order. Buckets of more than
@@ -36,7 +37,9 @@ SHINGLE = 5
 REGISTERS, ROWS = 72, 3
 BANDS = REGISTERS // ROWS
 THRESHOLD = 75  # per cent
-BUCKET = 8192
+BUCKET = 2048
+#: Pairs per member, bucket and round when components are compared; rounds go on while they find links.
+BEST = 8
 #: A signature's similarity below which a pair is not worth confirming, five standard deviations below the threshold.
 LIKE = 0.5
 LIKE_AGAIN = 0.6
@@ -187,15 +190,19 @@ def _star_pairs(batches):
 
 
 def _cross_pairs(batches):
-    """Pairs of like members of different components within each bucket."""
+    """From each member outside a bucket's largest component to the ``BEST`` most like
+    members of other components."""
     for ids, sig, comp, cuts in _buckets(batches):
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             s, own, c = sig[a:b], ids[a:b], comp[a:b]
             if (c == c[0]).all():
                 continue
-            for i in range(len(s) - 1):
-                other = np.flatnonzero(c[i + 1 :] != c[i]) + i + 1
-                near = other[(s[other] == s[i]).mean(axis=1) >= LIKE_AGAIN]
+            names, inv, cnt = np.unique(c, return_inverse=True, return_counts=True)
+            for i in np.flatnonzero(inv != cnt.argmax()):
+                like = (s == s[i]).mean(axis=1)
+                like[c == c[i]] = 0
+                near = np.argpartition(like, -BEST)[-BEST:] if len(like) > BEST else np.arange(len(like))
+                near = near[like[near] >= LIKE_AGAIN]
                 if len(near):
                     yield _pairs(np.full(len(near), own[i]), own[near])
 
