@@ -87,10 +87,10 @@ def numbered(df: DataFrame, group: list[str], order: list[str], out: str, rows_p
 
 
 # --------------------------------------------------------------------- Arrow batches
-def text_slices(batch: pa.RecordBatch, col: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(batch: pa.RecordBatch, col: str | int = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of consecutive row ranges of about ``limit``
     bytes of text; one longer text makes a range of its own. Null counts as empty."""
-    arr = batch.column(batch.schema.get_field_index(col))
+    arr = batch.column(col)
     if pa.types.is_string(arr.type) or pa.types.is_binary(arr.type):
         kind = np.int32
     else:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import linededup, mixing, neardup, sharding, urlrep
+from . import langid, linededup, lm, mixing, neardup, sharding, urlrep
 
 QUERIES = {
+    "op1_maxent": lm.op1_maxent,
+    "op10_language_id": langid.op10_language_id,
     "op2_near_dedup": neardup.op2_near_dedup,
     "op3_line_dedup": linededup.op3_line_dedup,
     "op5_mixing": mixing.op5_mixing,
