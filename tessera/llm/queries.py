@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from . import langid, linededup, lm, mixing, neardup, sharding, urlrep
+from . import ann, decontam, langid, linededup, lm, mixing, neardup, secrets, sharding, urlrep
 
 QUERIES = {
+    "op4_decontaminate": decontam.op4_decontaminate,
+    "op6_nearest": ann.op6_nearest,
+    "op9_secret_scan": secrets.op9_secret_scan,
     "op1_maxent": lm.op1_maxent,
     "op10_language_id": langid.op10_language_id,
     "op2_near_dedup": neardup.op2_near_dedup,
