@@ -6,12 +6,13 @@ accumulates the sketch ``A'A W`` of the cells' term matrix A with a random matri
 each task's packed partial sums. Because idf weighting only scales the terms, scaling
 the sketch afterwards gives the sketch of the TF-IDF matrix; with that of the benchmark's
 own passages it spans the latent space (randomised SVD's range finder). A second pass
-projects every window, takes as candidates the items within a cosine, and confirms each
-on the text around the window: the longest common subsequence must cover ``COVER`` of the
+projects every window, takes as candidates the items within a cosine whose weight the
+window shares to a part, and confirms each on the text around the window: the longest common subsequence must cover ``COVER`` of the
 item's tokens and the ``ANSWER`` rarest tokens of the item must mostly be there.
 
-The benchmark goes to the tasks in chunks of at most ``ITEMS`` items, whose terms are
-hashed to at most ``TERMS`` numbers; that bounds what is broadcast.
+The benchmark goes to the tasks in chunks of about ``ITEMS`` items, so that the space
+spans a chunk; terms are hashed to at most ``TERMS`` numbers; that bounds what is
+broadcast.
 
 Cases: null or empty texts and items have no tokens and match nothing; items under
 ``LEAST`` tokens are too short to tell; ties go to the smaller item_id; repeated rows are
@@ -30,10 +31,11 @@ from pyspark.sql import functions as F
 from .common import owner, small_batches, text_slices, word_hashes, words
 
 CELL = 16
-RANK = 96
+SKETCH, RANK = 32, 256
 TERMS = 1 << 15
-ITEMS = 4000
-COSINE = 0.3
+ITEMS = 256
+COSINE, SHARE = 0.3, 0.3
+SLICE = 1 << 19
 COVER = 0.6
 ANSWER, ANSWERED = 5, 0.6
 LEAST = 8
@@ -72,15 +74,15 @@ def cells(counts: np.ndarray, n_tokens: int) -> tuple[np.ndarray, np.ndarray, np
 
 
 def statistics(docs: DataFrame, terms: Terms, seed: int = 3) -> tuple[np.ndarray, int, np.ndarray]:
-    """Cells that hold each term, number of cells, and the sketch (terms, RANK)."""
+    """Cells that hold each term, number of cells, and the sketch (terms, SKETCH)."""
     small_batches(docs.sparkSession)
     parts = 16
     width = terms.n
 
     def local(batches):
-        w = np.random.default_rng(seed).normal(size=(width + 1, RANK)).astype(np.float32)
+        w = np.random.default_rng(seed).normal(size=(width + 1, SKETCH)).astype(np.float32)
         w[width] = 0
-        df, sketch, n = np.zeros(width + 1, np.int64), np.zeros((width, RANK), np.float32), 0
+        df, sketch, n = np.zeros(width + 1, np.int64), np.zeros((width, SKETCH), np.float32), 0
         for b in batches:
             for _, _, buf, off in text_slices(b, 0):
                 s, e, counts = words(buf, off)
@@ -113,15 +115,15 @@ def statistics(docs: DataFrame, terms: Terms, seed: int = 3) -> tuple[np.ndarray
         return pa.table({"part": pa.array([part], pa.int32()), "sums": pa.array([x.astype(kind).tobytes()], pa.binary())})
 
     def _cut(x, k):  # counts go whole, in the last part
-        head = x[: width * RANK]
-        return [*np.array_split(head, k - 1), x[width * RANK :]]
+        head = x[: width * SKETCH]
+        return [*np.array_split(head, k - 1), x[width * SKETCH :]]
 
     schema = "part int, sums binary"
     some = docs.select("text").mapInArrow(local, schema).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(32)))
     got = sorted(some.groupBy("part", "salt").applyInArrow(total, schema).groupBy("part").applyInArrow(total, schema).collect())
     if not got:
-        return np.zeros(width + 1), 0, np.zeros((width, RANK))
-    sketch = np.concatenate([np.frombuffer(r[1], np.float32) for r in got[:-1]]).reshape(width, RANK)
+        return np.zeros(width + 1), 0, np.zeros((width, SKETCH))
+    sketch = np.concatenate([np.frombuffer(r[1], np.float32) for r in got[:-1]]).reshape(width, SKETCH)
     last = np.frombuffer(got[-1][1], np.float64)
     return last[:-1], int(last[-1]), sketch.astype(np.float64)
 
@@ -131,7 +133,7 @@ class Space:
 
     def __init__(self, items: list[np.ndarray], terms: Terms, df: np.ndarray, n: int, sketch: np.ndarray, seed: int = 5):
         self.terms = terms
-        idf = np.log((n + 1) / (df[: terms.n] + 1)) + 1
+        idf = np.log((n + 1) / (df[: terms.n] + 1))
         own = np.zeros((len(items), terms.n))
         for i, h in enumerate(items):
             t = terms.of(h)
@@ -139,13 +141,14 @@ class Space:
         own *= idf
         y = idf[:, None] * sketch
         r = np.random.default_rng(seed)
-        z = own.T @ (own @ r.normal(size=(terms.n, RANK)))
+        z = own.T @ (own @ r.normal(size=(terms.n, min(RANK, len(items)))))
         unit = lambda m: m / max(1e-12, np.linalg.norm(m))
-        q, _ = np.linalg.qr(np.concatenate([unit(z), unit(y)[:, : RANK // 4]], axis=1))
+        q, _ = np.linalg.qr(np.concatenate([unit(z), unit(y)], axis=1))
         self.project = np.zeros((terms.n + 1, q.shape[1]), np.float32)
         self.project[: terms.n] = idf[:, None] * q
-        self.weight = np.append(idf, math.log(n + 1) + 1).astype(np.float32)  # an unknown token counts in a window's length
+        self.weight = np.append(idf, math.log(n + 1)).astype(np.float32)  # an unknown token counts in a window's length
         norm = np.linalg.norm(own, axis=1)
+        self.norms = norm.astype(np.float32)
         self.items = (own @ q / np.maximum(norm, 1e-12)[:, None]).astype(np.float32)
 
 
@@ -189,23 +192,29 @@ def _search(docs: DataFrame, ids: list[int], items: list[np.ndarray], schema: st
     def run(batches):
         items_t = np.ascontiguousarray(space.items.T)
         for b in batches:
-            for lo, hi, buf, off in text_slices(b, 1):
+            for lo, hi, buf, off in text_slices(b, 1, SLICE):
                 s, e, counts = words(buf, off)
                 best: dict[tuple[int, int], tuple[float, float, int, int]] = {}
                 if len(s):
                     h = word_hashes(buf, s, e)
                     t = terms.of(h)
-                    _, doc, start = cells(counts, len(h))
+                    cell, doc, start = cells(counts, len(h))
                     w2 = np.add.reduceat(space.weight[t] ** 2, start)
-                    v = np.add.reduceat(space.project[t], start, axis=0)
+                    v = np.zeros((len(doc), space.project.shape[1]), np.float32)
+                    known_t = np.flatnonzero(t < terms.n)
+                    if len(known_t):
+                        c = cell[known_t]
+                        at = np.concatenate([[0], np.flatnonzero(c[1:] != c[:-1]) + 1])
+                        v[c[at]] = np.add.reduceat(space.project[t[known_t]], at, axis=0)
                     pair = np.zeros(len(doc), bool)
                     pair[:-1] = doc[1:] == doc[:-1]
                     v[:-1] += np.where(pair[:-1, None], v[1:], 0)
                     w2[:-1] += np.where(pair[:-1], w2[1:], 0)
                     first = np.cumsum(counts) - counts
                     for a in range(0, len(v), 8192):
-                        cos = (v[a : a + 8192] @ items_t) / np.sqrt(w2[a : a + 8192])[:, None]
-                        for i, j in zip(*np.nonzero(cos >= COSINE), strict=True):
+                        dot = v[a : a + 8192] @ items_t
+                        cos = dot / np.sqrt(np.maximum(w2[a : a + 8192], 1e-12))[:, None]
+                        for i, j in zip(*np.nonzero((cos >= COSINE) & (dot >= SHARE * space.norms)), strict=True):
                             d, item = int(doc[a + i]), items[j]
                             x, y = max(int(first[d]), int(start[a + i]) - len(item)), min(int(first[d] + counts[d]), int(start[a + i]) + 2 * CELL + len(item))
                             known = best.get((d, int(j)))

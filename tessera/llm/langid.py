@@ -237,12 +237,12 @@ def predict(docs: DataFrame, labels: list[str], p: dict[str, np.ndarray], keep:
     schema = docs.select(*keep).schema
     ascii_letter = np.zeros(256, bool)
     ascii_letter[[*range(65, 91), *range(97, 123)]] = True
-    L = len(labels)
+    L, extra = len(labels), int("text" not in keep)
 
     def run(batches):
         cache_h, cache_p = np.zeros(0, np.uint64), np.zeros((0, L), np.float32)
         for b in batches:
-            for lo, hi, buf, off in text_slices(b, 0):
+            for lo, hi, buf, off in text_slices(b):
                 n_docs = hi - lo
                 total, size = np.zeros((n_docs, L)), np.zeros(n_docs)
                 s, n, doc = segments(buf, off)
@@ -273,11 +273,12 @@ def predict(docs: DataFrame, labels: list[str], p: dict[str, np.ndarray], keep:
                 ok = plain & (size > 0) & bool(L)
                 score = np.where(ok, (total[np.arange(n_docs), best] if L else 0) / np.maximum(size, 1), 0.0)
                 pred = [labels[k] if good else "und" for k, good in zip(best, ok, strict=True)]
-                cols = [b.column(i).slice(lo, n_docs) for i in range(1, b.num_columns)]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(pred, pa.string()), pa.array(score)], names=[*b.schema.names[1:], *out])
+                cols = [b.column(i).slice(lo, n_docs) for i in range(extra, b.num_columns)]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(pred, pa.string()), pa.array(score)], names=[*b.schema.names[extra:], *out])
 
     ddl = schema.add(out[0], "string").add(out[1], "double")
-    return docs.select(F.col("text").alias("_text"), *keep).mapInArrow(run, ddl)
+    sent = docs.select(*keep) if "text" in keep else docs.select("text", *keep)
+    return sent.mapInArrow(run, ddl)
 
 
 def identify(docs: DataFrame, train_on, keep: list[str]) -> DataFrame:
