@@ -138,6 +138,7 @@ class Space:
         for i, h in enumerate(items):
             t = terms.of(h)
             np.add.at(own[i], t[t < terms.n], 1.0)
+        counts = own.copy()
         own *= idf
         y = idf[:, None] * sketch
         r = np.random.default_rng(seed)
@@ -149,6 +150,9 @@ class Space:
         self.weight = np.append(idf, math.log(n + 1)).astype(np.float32)  # an unknown token counts in a window's length
         norm = np.linalg.norm(own, axis=1)
         self.norms = norm.astype(np.float32)
+        # no window with less of this can share SHARE of any item
+        self.bound = np.append(idf**2 * counts.max(axis=0), 0).astype(np.float32)
+        self.least = float(SHARE * (norm**2).min()) * 0.999
         self.items = (own @ q / np.maximum(norm, 1e-12)[:, None]).astype(np.float32)
 
 
@@ -199,17 +203,26 @@ def _search(docs: DataFrame, ids: list[int], items: list[np.ndarray], schema: st
                     h = word_hashes(buf, s, e)
                     t = terms.of(h)
                     cell, doc, start = cells(counts, len(h))
-                    w2 = np.add.reduceat(space.weight[t] ** 2, start)
-                    v = np.zeros((len(doc), space.project.shape[1]), np.float32)
-                    known_t = np.flatnonzero(t < terms.n)
-                    if len(known_t):
-                        c = cell[known_t]
-                        at = np.concatenate([[0], np.flatnonzero(c[1:] != c[:-1]) + 1])
-                        v[c[at]] = np.add.reduceat(space.project[t[known_t]], at, axis=0)
                     pair = np.zeros(len(doc), bool)
                     pair[:-1] = doc[1:] == doc[:-1]
-                    v[:-1] += np.where(pair[:-1, None], v[1:], 0)
-                    w2[:-1] += np.where(pair[:-1], w2[1:], 0)
+
+                    def windows(x):  # a cell and the next of its text
+                        x[:-1] += np.where(pair[:-1].reshape(-1, *[1] * (x.ndim - 1)), x[1:], 0)
+                        return x
+
+                    can = windows(np.add.reduceat(space.bound[t], start)) >= space.least
+                    if not can.any():
+                        continue
+                    needed = can.copy()
+                    needed[1:] |= can[:-1]
+                    known_t = np.flatnonzero((t < terms.n) & needed[cell])
+                    c = cell[known_t]
+                    at = np.concatenate([[0], np.flatnonzero(c[1:] != c[:-1]) + 1])
+                    v = np.zeros((len(doc), space.project.shape[1]), np.float32)
+                    v[c[at]] = np.add.reduceat(space.project[t[known_t]], at, axis=0)
+                    v, w2 = windows(v), windows(np.add.reduceat(space.weight[t] ** 2, start))
+                    hope = np.flatnonzero(can)
+                    v, w2, doc, start = v[hope], w2[hope], doc[hope], start[hope]
                     first = np.cumsum(counts) - counts
                     for a in range(0, len(v), 8192):
                         dot = v[a : a + 8192] @ items_t
