@@ -73,6 +73,21 @@ def cells(counts: np.ndarray, n_tokens: int) -> tuple[np.ndarray, np.ndarray, np
     return np.repeat(np.arange(len(start)), np.diff(np.append(start, n_tokens))), doc, start
 
 
+def cell_sums(matrix: np.ndarray, t: np.ndarray, cell: np.ndarray, n_cells: int) -> np.ndarray:
+    """Sum of ``matrix``'s rows ``t`` over each cell (at most CELL tokens, in order):
+    the k-th tokens of all cells at once."""
+    counts = np.bincount(cell, minlength=n_cells)
+    order = np.argsort(-counts, kind="stable")
+    size, first = counts[order], (np.cumsum(counts) - counts)[order]
+    sums = np.zeros((n_cells, matrix.shape[1]), np.float32)
+    for k in range(int(size[0]) if n_cells else 0):
+        live = int(np.searchsorted(-size, -k))
+        sums[:live] += matrix[t[first[:live] + k]]
+    out = np.empty_like(sums)
+    out[order] = sums
+    return out
+
+
 def statistics(docs: DataFrame, terms: Terms, seed: int = 3) -> tuple[np.ndarray, int, np.ndarray]:
     """Cells that hold each term, number of cells, and the sketch (terms, SKETCH)."""
     small_batches(docs.sparkSession)
@@ -82,9 +97,9 @@ def statistics(docs: DataFrame, terms: Terms, seed: int = 3) -> tuple[np.ndarray
     def local(batches):
         w = np.random.default_rng(seed).normal(size=(width + 1, SKETCH)).astype(np.float32)
         w[width] = 0
-        df, sketch, n = np.zeros(width + 1, np.int64), np.zeros((width, SKETCH), np.float32), 0
+        df, sketch, n = np.zeros(width + 1, np.int64), np.zeros((width, SKETCH)), 0
         for b in batches:
-            for _, _, buf, off in text_slices(b, 0):
+            for _, _, buf, off in text_slices(b, 0, SLICE):
                 s, e, counts = words(buf, off)
                 if not len(s):
                     continue
@@ -97,14 +112,9 @@ def statistics(docs: DataFrame, terms: Terms, seed: int = 3) -> tuple[np.ndarray
                 df += np.bincount(k, minlength=width + 1)
                 if not len(c):
                     continue
-                at = np.concatenate([[0], np.flatnonzero(c[1:] != c[:-1]) + 1])
-                row = np.zeros(len(doc), np.int64)
-                row[c[at]] = np.arange(len(at))
-                p = np.add.reduceat(w[k], at, axis=0)
-                order = np.argsort(k.astype(np.uint16), kind="stable")
-                own = k[order]
-                first = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1])
-                sketch[own[first]] += np.add.reduceat(p[row[c[order]]], first, axis=0)
+                p = np.ascontiguousarray(cell_sums(w, k, c, len(doc)).T)
+                for j in range(SKETCH):
+                    sketch[:, j] += np.bincount(k, p[j][c], width)
         whole = np.concatenate([sketch.reshape(-1).astype(np.float64), df.astype(np.float64), [float(n)]])
         yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([x.astype(np.float32 if i < parts - 1 else np.float64).tobytes() for i, x in enumerate(_cut(whole, parts))], pa.binary())], ["part", "sums"])
 
@@ -216,10 +226,7 @@ def _search(docs: DataFrame, ids: list[int], items: list[np.ndarray], schema: st
                     needed = can.copy()
                     needed[1:] |= can[:-1]
                     known_t = np.flatnonzero((t < terms.n) & needed[cell])
-                    c = cell[known_t]
-                    at = np.concatenate([[0], np.flatnonzero(c[1:] != c[:-1]) + 1])
-                    v = np.zeros((len(doc), space.project.shape[1]), np.float32)
-                    v[c[at]] = np.add.reduceat(space.project[t[known_t]], at, axis=0)
+                    v = cell_sums(space.project, t[known_t], cell[known_t], len(doc))
                     v, w2 = windows(v), windows(np.add.reduceat(space.weight[t] ** 2, start))
                     hope = np.flatnonzero(can)
                     v, w2, doc, start = v[hope], w2[hope], doc[hope], start[hope]
