@@ -40,7 +40,6 @@ def _load(text):
         return None
 
 
-@F.pandas_udf("prompt string, expected string, ok boolean")
 def _strict(candidates: pd.Series) -> pd.DataFrame:
     rows = []
     for c in candidates:
@@ -53,15 +52,11 @@ def _strict(candidates: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["prompt", "expected", "ok"])
 
 
-@F.pandas_udf("string")
-def strict_object(candidates: pd.Series) -> pd.Series:
-    """Canonical JSON of a strictly valid object, else null."""
+def _object(candidates: pd.Series) -> pd.Series:
     return candidates.map(lambda c: json.dumps(d, ensure_ascii=False) if isinstance(d := _load(c), dict) else None)
 
 
-@F.pandas_udf("array<string>")
-def strict_records(candidates: pd.Series) -> pd.Series:
-    """Canonical JSON of the objects in an array; an object counts as an array of one."""
+def _records(candidates: pd.Series) -> pd.Series:
 
     def records(c):
         d = _load(c)
@@ -71,9 +66,19 @@ def strict_records(candidates: pd.Series) -> pd.Series:
     return candidates.map(records)
 
 
+def strict_object(candidate: Column) -> Column:
+    """Canonical JSON of a strictly valid object, else null."""
+    return F.pandas_udf(_object, "string")(candidate)
+
+
+def strict_records(candidate: Column) -> Column:
+    """Canonical JSON of the objects in an array; an object counts as an array of one."""
+    return F.pandas_udf(_records, "array<string>")(candidate)
+
+
 def parse_response(raw: Column) -> Column:
     """struct(prompt, expected); falls back to the stripped text without an answer."""
-    got = _strict(object_candidate(raw))
+    got = F.pandas_udf(_strict, "prompt string, expected string, ok boolean")(object_candidate(raw))
     good = got["ok"] & (F.length(got["prompt"]) > 0)
     return F.struct(F.when(good, got["prompt"]).otherwise(strip_ws(raw)).alias("prompt"), F.when(good, got["expected"]).alias("expected"))
 

@@ -29,11 +29,19 @@ def result(name: str, passed: Column, score: Column, reason: Column) -> Column:
     return F.struct(F.lit(name).alias("filter"), passed.cast("boolean").alias("passed"), score.cast("double").alias("score"), reason.cast("string").alias("reason"))
 
 
-def violations(prompt: Column, expected: Column, task: Column) -> Column:
-    """Messages of the violated structural rules, in rule order."""
-    p, e = T.strip_ws(F.coalesce(prompt, F.lit(""))), T.strip_ws(F.coalesce(expected, F.lit("")))
-    toks = T.tokens(p)
-    frac = T.repeat_fraction(toks)
+def prepare(items: DataFrame, scripts=T.SCRIPTS) -> DataFrame:
+    """Adds what the gates share, each in a projection of its own, so that no text is
+    stripped, split or searched twice: _p, _e (stripped), _n, _frac (tokens and share of
+    repeats), _conf (script share)."""
+    x = items.withColumn("_p", T.strip_ws(F.coalesce("prompt", F.lit("")))).withColumn("_e", T.strip_ws(F.coalesce("expected", F.lit(""))))
+    x = x.withColumn("_toks", T.stripped_tokens(F.col("_p"))).withColumn("_n", F.size("_toks")).withColumn("_frac", T.repeat_fraction(F.col("_toks"))).drop("_toks")
+    x = x.withColumn("_letters", T.letters_of(T.with_answer(F.col("prompt"), F.col("expected"))))
+    return x.withColumn("_conf", T.script_share(F.col("_letters"), F.col("target_language"), scripts)).drop("_letters")
+
+
+def violations() -> Column:
+    """Messages of the structural rules that a prepared row violates, in rule order."""
+    p, e, n, frac, task = (F.col(c) for c in ("_p", "_e", "_n", "_frac", "task_family"))
     rules = [
         F.when(p == "", "empty prompt").when(F.length(p) < MIN_PROMPT, f"prompt under {MIN_PROMPT} chars").when(F.length(p) > MAX_PROMPT, f"prompt over {MAX_PROMPT} chars"),
         F.when(task.isin(*NEEDS_ANSWER) & (e == ""), F.concat(task, F.lit(" item missing 'expected' answer"))),
@@ -41,24 +49,31 @@ def violations(prompt: Column, expected: Column, task: Column) -> Column:
         F.when(p.startswith("{") | p.contains('"prompt"'), "prompt contains raw JSON scaffolding"),
         F.when(p.contains("```"), "prompt contains markdown code fence"),
         F.when((F.length(p) > TRUNCATION_FROM) & ~F.lit(TERMINAL).contains(F.right(p, F.lit(1))), "possible truncation (no terminal punctuation)"),
-        F.when((F.size(toks) >= REPEAT_TOKENS) & (frac > REPEAT_ABOVE), F.concat(T.percent(frac), F.lit(f" of tokens repeat (>{REPEAT_ABOVE:.0%})"))),
+        F.when((n >= REPEAT_TOKENS) & (frac > REPEAT_ABOVE), F.concat(T.percent(frac), F.lit(f" of tokens repeat (>{REPEAT_ABOVE:.0%})"))),
     ]
     return F.array_compact(F.array(*rules))
 
 
-def structural(prompt: Column, expected: Column, task: Column) -> Column:
-    v = violations(prompt, expected, task)
+def structural(v: Column) -> Column:
+    """``v``: the violations, as a computed column."""
     return result("structural", F.size(v) == 0, F.greatest(F.lit(0.0), 1 - 0.5 * F.size(v)), F.when(F.size(v) > 0, F.array_join(v, "; ")))
 
 
-def language_id(prompt: Column, expected: Column, task: Column, language: Column, scripts=T.SCRIPTS, threshold: float = SCRIPT_THRESHOLD, exempt=EXEMPT) -> Column:
+def language_id(threshold: float = SCRIPT_THRESHOLD, exempt=EXEMPT) -> Column:
     """Passes above the threshold; exempt families pass with their real score shown."""
-    conf = T.script_confidence(T.with_answer(prompt, expected), language, scripts)
+    conf, task = F.col("_conf"), F.col("task_family")
     free = task.isin(*exempt) if exempt else F.lit(False)
     reason = F.when(free, F.concat(F.lit("exempt ("), task, F.lit(" legitimately mixes scripts)"))).when(conf < threshold, F.concat(F.lit("target-script share below "), F.lit(str(threshold))))
     return result("language_id", free | (conf >= threshold), conf, reason)
 
 
+def gated(items: DataFrame, scripts=T.SCRIPTS, threshold: float = SCRIPT_THRESHOLD, exempt=EXEMPT) -> DataFrame:
+    """``items`` with the results of both gates: structural, language_id."""
+    x = prepare(items, scripts).withColumn("_v", violations())
+    out = x.withColumn("structural", structural(F.col("_v"))).withColumn("language_id", language_id(threshold, exempt))
+    return out.drop("_p", "_e", "_n", "_frac", "_conf", "_v")
+
+
 def llm_judge(overall: Column, seed_known: Column) -> Column:
     """Score only: never rejects."""
     why = F.when(~seed_known, "judge unavailable: no seed").when(overall.isNull(), "judge unavailable: no score")
@@ -90,8 +105,8 @@ def failed_filters(results: Column) -> Column:
 
 def verdicts(items: DataFrame, scripts=T.SCRIPTS, short_circuit: bool = False) -> DataFrame:
     """item_id, language, task, would_pass, failed, results of the deterministic chain."""
-    p, e, t, lang = (F.col(c) for c in ("prompt", "expected", "task_family", "target_language"))
-    got = items.select(F.col("id").alias("item_id"), lang.alias("language"), t.alias("task"), chain(structural(p, e, t), language_id(p, e, t, lang, scripts), short_circuit=short_circuit).alias("results"))
+    x = gated(items, scripts).select(F.col("id").alias("item_id"), F.col("target_language").alias("language"), F.col("task_family").alias("task"), "structural", "language_id")
+    got = x.withColumn("results", chain(F.col("structural"), F.col("language_id"), short_circuit=short_circuit))
     return got.select("item_id", "language", "task", would_pass(F.col("results")).alias("would_pass"), failed_filters(F.col("results")).alias("failed"), "results")
 
 
