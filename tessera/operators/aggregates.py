@@ -19,11 +19,13 @@ def retention(verdicts: DataFrame) -> DataFrame:
     """Long table (level, language, task, position, filter, passed, total, rate) over
     everything, by language and by language and task; the chain comes last. A filter that
     a verdict lacks is not counted."""
-    each = verdicts.select("language", "task", F.posexplode("results").alias("position", "r")).select("language", "task", "position", F.col("r.filter").alias("filter"), F.col("r.passed").alias("ok"))
-    whole = verdicts.select("language", "task", F.lit(99).alias("position"), F.lit("chain").alias("filter"), F.col("would_pass").alias("ok"))
-    rows = each.union(whole).withColumn("n", F.lit(1))
-    # a rollup multiplies rows before the exchange; counting the leaves first keeps it small
-    leaf = rows.groupBy("language", "task", "position", "filter").agg(F.count_if("ok").alias("p"), F.count("n").alias("t"))
+    # one pass: partial counts per group of the verdicts' pass patterns, then the filters
+    short = verdicts.select("language", "task", "would_pass", F.transform("results", lambda r: F.struct(r["filter"].alias("filter"), r["passed"].alias("ok"))).alias("rs"))
+    patterns = short.groupBy("language", "task", "would_pass", "rs").agg(F.count(F.lit(1)).alias("n"))
+    every = F.concat("rs", F.array(F.struct(F.lit("chain").alias("filter"), F.col("would_pass").alias("ok"))))
+    rows = patterns.select("language", "task", "n", F.size("rs").alias("k"), F.posexplode(every).alias("position", "r"))
+    position = F.when(F.col("position") == F.col("k"), 99).otherwise(F.col("position"))  # the chain last
+    leaf = rows.groupBy("language", "task", position.alias("position"), F.col("r.filter").alias("filter")).agg(F.sum(F.when(F.col("r.ok"), F.col("n")).otherwise(0)).alias("p"), F.sum("n").alias("t"))
     levels = leaf.withColumn("lv", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
     keyed = levels.select("lv", F.when(F.col("lv") > 0, F.col("language")).alias("language"), F.when(F.col("lv") > 1, F.col("task")).alias("task"), "position", "filter", "p", "t")
     out = keyed.groupBy(F.col("lv").alias("level"), "language", "task", "position", "filter").agg(F.sum("p").alias("passed"), F.sum("t").alias("total"))
