@@ -8,7 +8,8 @@ the sketch afterwards gives the sketch of the TF-IDF matrix; with that of the be
 own passages it spans the latent space (randomised SVD's range finder). A second pass
 projects every window, takes as candidates the items within a cosine whose weight the
 window shares to a part, and confirms each on the text around the window: the longest common subsequence must cover ``COVER`` of the
-item's tokens and the ``ANSWER`` rarest tokens of the item must mostly be there.
+item's tokens, or ``COVER_ANSWERED`` of them if the answer is there too: most of the
+``ANSWER`` tokens that close the item.
 
 The benchmark goes to the tasks in chunks of about ``ITEMS`` items, so that the space
 spans a chunk; terms are hashed to at most ``TERMS`` numbers; that bounds what is
@@ -36,7 +37,7 @@ TERMS = 1 << 15
 ITEMS = 256
 COSINE, SHARE = 0.3, 0.3
 SLICE = 1 << 19
-COVER = 0.6
+COVER, COVER_ANSWERED = 0.75, 0.5
 ANSWER, ANSWERED = 5, 0.6
 LEAST = 8
 
@@ -201,7 +202,7 @@ def _search(docs: DataFrame, ids: list[int], items: list[np.ndarray], schema: st
     terms = Terms(np.concatenate(items))
     df, n, sketch = statistics(docs, terms)
     space = Space(items, terms, df, n, sketch)
-    answers = [np.unique(h[np.argsort(-space.weight[terms.of(h)], kind="stable")[:ANSWER]]) for h in items]
+    answers = [np.unique(h[-ANSWER:]) for h in items]
 
     def run(batches):
         items_t = np.ascontiguousarray(space.items.T)
@@ -238,13 +239,13 @@ def _search(docs: DataFrame, ids: list[int], items: list[np.ndarray], schema: st
                             d, item = int(doc[a + i]), items[j]
                             x, y = max(int(first[d]), int(start[a + i]) - len(item)), min(int(first[d] + counts[d]), int(start[a + i]) + 2 * CELL + len(item))
                             known = best.get((d, int(j)))
-                            if known and known[2] <= x - int(first[d]) + len(item) and known[1] >= 1.0:
+                            if known and known[1] >= 1.0:
                                 continue
                             region = h[x:y]
-                            if np.isin(answers[j], region).mean() < ANSWERED:
-                                continue
                             cover = lcs(item, region) / len(item)
-                            if cover >= COVER and (known is None or cover > known[1]):
+                            if cover < COVER and (cover < COVER_ANSWERED or np.isin(answers[j], region).mean() < ANSWERED):
+                                continue
+                            if known is None or cover > known[1]:
                                 best[d, int(j)] = (float(cos[i, j]), cover, x - int(first[d]), y - int(first[d]))
                 found = sorted(best.items())
                 doc_ids = b.column(0).slice(lo, hi - lo).to_pylist()

@@ -68,7 +68,7 @@ def posteriors(outcomes: DataFrame) -> dict[str, DataFrame]:
     host = scratch(host, "hosts")
     domain = host.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffix = host.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    rate = (F.coalesce(F.sum("bad"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)
+    rate = (F.sum("bad") + 1) / (F.sum("n") + 2)  # null without labels: then nothing is blocked
     top = host.agg(rate.alias("rate"), strength(host).alias("m_host"))
     top = top.crossJoin(domain.agg(strength(domain).alias("m_domain"))).crossJoin(suffix.agg(strength(suffix).alias("m_suffix")))  # one row each
     top = scratch(top, "top")
@@ -125,7 +125,7 @@ hosts AS (
   FROM l JOIN labels ON l.page_id = labels.doc_id WHERE quality IS NOT NULL AND host <> '' GROUP BY ALL),
 domains AS (SELECT domain, suffix, CAST(sum(n) AS BIGINT) AS n, CAST(sum(bad) AS BIGINT) AS bad FROM hosts GROUP BY ALL),
 suffixes AS (SELECT suffix, CAST(sum(n) AS BIGINT) AS n, CAST(sum(bad) AS BIGINT) AS bad FROM hosts GROUP BY ALL),
-top AS (SELECT (coalesce(sum(bad), 0) + 1)::DOUBLE / (coalesce(sum(n), 0) + 2) AS rate, {_MOMENTS.format("hosts")} AS m_host,
+top AS (SELECT (sum(bad) + 1)::DOUBLE / (sum(n) + 2) AS rate, {_MOMENTS.format("hosts")} AS m_host,
         {_MOMENTS.format("domains")} AS m_domain, {_MOMENTS.format("suffixes")} AS m_suffix FROM hosts),
 s AS (SELECT suffix, rate * m_suffix + bad AS a_suffix, (1 - rate) * m_suffix + n - bad AS b_suffix FROM suffixes, top),
 d AS (SELECT domain, {_MEAN.format("suffix")} * m_domain + bad AS a_domain, (1 - {_MEAN.format("suffix")}) * m_domain + n - bad AS b_domain

@@ -1,0 +1,347 @@
+"""Each operator against a brute-force statement of its contract, and on hard rows."""
+
+import collections
+import math
+import re
+import zlib
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.llm import ann, decontam, graph, langid, linededup, lm, mixing, neardup, secrets, sharding, urlrep
+
+from .conftest import FOX
+
+D = "/root/testdata/sf0.001"
+LOW = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+
+
+def words_of(text):
+    return (text or "").encode().translate(LOW).split()
+
+
+@pytest.fixture(scope="module")
+def docs():
+    return pd.read_parquet(f"{D}/documents.parquet")
+
+
+# ------------------------------------------------------------------ 1
+def held(n=10):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n)) == 0
+
+
+def test_lm_counts_and_score(spark, messy):
+    rows = [tuple(r) for r in messy.select("doc_id", "text").collect()]
+    out = sorted(map(tuple, lm.score_corpus(messy, held()).collect()))
+    tokens = [(i, words_of(t) + [None]) for i, t in rows]
+    own = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
+    c = collections.Counter()
+    for i, w in tokens:
+        if not own(i):
+            c.update(w)
+    n, v = sum(c.values()), len(c)
+    want = sorted((i, own(i), len(w), sum(c[x] > 0 for x in w), n, sum(math.log10((c[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)) for i, w in tokens)
+    assert [o[:5] for o in out] == [w[:5] for w in want]
+    assert all(abs(o[5] - w[5]) < 1e-6 * max(1, abs(w[5])) for o, w in zip(out, want))
+    assert all(o[6] < 0 for o in out)
+
+
+def test_lm_beats_counts_on_held_out(spark):
+    out = lm.score_corpus(spark.read.parquet(f"{D}/documents.parquet"), held()).where("held_out").toPandas()
+    assert out.score.sum() > out.base_score.sum()
+
+
+def test_lm_empty(spark, nothing):
+    assert lm.score_corpus(nothing, held()).count() == 0
+
+
+def test_adagrad_raises_likelihood():
+    r = np.random.default_rng(0)
+    rows = [r.integers(0, 50, 4000) for _ in range(3)]
+    cls = rows[0] % lm.CLASSES
+    w, m = lm.start_weights(), [np.zeros((k, 1), np.float32) for k in lm.ROWS] + [np.zeros(lm.CLASSES, np.float32)]
+    seen = [lm.adagrad(w, m, rows, cls) for _ in range(20)]
+    assert seen[-1] > seen[0] + 1000
+
+
+# ------------------------------------------------------------------ 2
+def shingles(text):
+    w = words_of(text)
+    return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def brute_components(texts):
+    sets = {i: shingles(t) for i, t in texts}
+    up = {i: i for i in sets}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            x, y = sets[a], sets[b]
+            if x and y and 100 * len(x & y) >= 75 * len(x | y):
+                p, q = find(a), find(b)
+                up[max(p, q)] = min(p, q)
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+def test_near_dedup_equals_brute_force(spark, docs):
+    got = {r[0]: (r[1], r[2]) for r in neardup.group(spark.read.parquet(f"{D}/documents.parquet")).collect()}
+    assert got == brute_components(zip(docs.doc_id, docs.text))
+
+
+def test_near_dedup_star_of_variants(spark):
+    """Variants near their base but not each other, whose base is not the smallest id."""
+    base = [f"t{i}" for i in range(400)]
+    rows = [(500, " ".join(base))]
+    for k in range(40):
+        own = list(base)
+        for j in range(9):
+            own[(k * 37 + j * 41) % 396 + 2] = f"v{k}n{j}"
+        rows.append((k, " ".join(own)))
+    got = {r[0]: (r[1], r[2]) for r in neardup.group(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_components(rows)
+
+
+def test_near_dedup_hard_rows(spark, messy, nothing):
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.group(messy).collect())
+    want = brute_components([(r.doc_id, r.text) for r in messy.collect()])
+    assert {(k[0], k[1], k[2]) for k in got} == {(i, n, c) for i, (n, c) in want.items()}
+    assert sum(got.values()) == messy.count()
+    assert neardup.group(nothing).count() == 0
+
+
+def test_superminhash_estimates():
+    r = np.random.default_rng(1)
+    both, a, b = (r.integers(0, 2**63, n).astype(np.uint64) for n in (600, 200, 200))
+    sig = neardup.superminhash(np.concatenate([both, a, both, b]), np.array([800, 800]), 512)
+    assert abs((sig[0] == sig[1]).mean() - 0.6) < 0.08
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(5, 3), (3, 5), (7, 7), (9, 5)]
+    got = {r[0]: r[1] for r in graph.components(spark.createDataFrame(edges, "a long, b long").repartition(4)).collect()}
+    assert got == {**{i: 100 for i in range(101, 161)}, 5: 3, 9: 3}
+
+
+# ------------------------------------------------------------------ 3
+def test_line_dedup(spark, messy, nothing):
+    df = spark.createDataFrame([(1, "é A b c d e\nshort\nx"), (2, "zz\né a  B c d e"), (3, None), (4, ""), (5, "a b c d e f\na b c d e f")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.unit, r.start, r.end, r.kept_doc_id, r.kept_unit) for r in linededup.duplicates(df).collect())
+    assert got == [(2, 1, 3, 15, 1, 0), (5, 1, 12, 23, 5, 0)]
+    clean = {r.doc_id: (r.clean_text, r.removed) for r in linededup.deduplicate(df).collect()}
+    assert clean[2][0] == "zz" and clean[5][0] == "a b c d e f" and clean[1][1] is None and clean[3][0] is None
+    assert linededup.duplicates(nothing).count() == 0
+    assert {r.doc_id for r in linededup.duplicates(messy).collect()} == {2}
+
+
+# ------------------------------------------------------------------ 4
+def test_decontamination(spark, messy, nothing):
+    r = np.random.default_rng(2)
+    item = [f"q{i}" for i in range(40)]
+    other = [f"r{i}" for i in range(20)]
+    noise = lambda n: [f"n{k}" for k in r.integers(0, 3000, n)]
+    edited = [w for i, w in enumerate(item) if i % 9] + ["new"]
+    rows = [(1, " ".join(noise(200) + item + noise(50))), (2, " ".join(noise(130) + edited + noise(9))), (3, " ".join(noise(300))), (4, " ".join(item[:8] + noise(100))), (5, None), (6, " ".join(other).upper())]
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, " ".join(other)), (9, None), (10, "too short")], "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontam.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert got == {(1, 7), (2, 7), (6, 8)}
+    assert decontam.leaks(messy, bench).count() == 0
+    assert decontam.leaks(nothing, bench).count() == 0 and decontam.leaks(messy, bench.limit(0)).count() == 0
+
+
+def test_lcs():
+    a, b = np.array([1, 2, 3, 4, 5, 3]), np.array([9, 1, 3, 2, 4, 3])
+    assert decontam.lcs(a, b) == 4
+
+
+# ------------------------------------------------------------------ 5
+def test_mixing_targets_and_repeats(spark, nothing):
+    rows = [(i, "w " * (1 + i % 7), "abcd"[i % 4] if i % 9 else None) for i in range(2000)] + [(5000, None, "a"), (5001, "", "zz")]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).toPandas()
+    assert len(out) == len(rows)
+    per = out.groupby(out.source.fillna("~null")).agg(size=("source_size", "first"), target=("target", "first"), taken=("taken", "sum"), top=("size", "max"))
+    assert (abs(per.taken - per.target) <= per.top).all() and (per.target <= 3 * per["size"] + 1e-9).all()
+    assert abs(per.target.sum() - out["size"].sum()) < 1e-6
+    assert (out.taken <= 3 * out["size"]).all()
+    assert mixing.mix(nothing).count() == 0
+    order = [r.virtual_time for r in mixing.sequence(mixing.mix(spark.createDataFrame(rows[:50], "doc_id long, text string, source string"))).collect()]
+    assert order == sorted(order)
+
+
+# ------------------------------------------------------------------ 6
+def test_neighbours(spark, nothing):
+    r = np.random.default_rng(4)
+    x = r.normal(size=(600, 32))
+    x[7] = x[300]  # a tie
+    bad = [(1000, None), (1001, [0.0] * 32), (1002, [float("nan")] * 32), (1003, [1.0]), (1004, [None] + [1.0] * 31)]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + bad, "vec_id long, embedding array<double>")
+    usable = ann.usable(table)
+    out = ann.search(usable, usable.where("vec_id % 100 = 0"), 10).toPandas()
+    hits = 0
+    for q, g in out.groupby("query_id"):
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        best = np.lexsort((np.arange(600), d))[:10]
+        hits += len(set(best) & set(g.vec_id))
+        assert (g.sort_values("rank").score.diff().dropna() >= 0).all() and np.allclose(g.score, d[g.vec_id])
+    assert out.groupby("query_id").size().tolist() == [10] * 6 and hits >= 54
+    few = usable.where("vec_id < 4")
+    assert ann.search(few, few.where("vec_id = 0")).count() == 3
+    assert ann.search(usable.limit(0), usable.limit(0)).count() == 0
+
+
+def test_multi_index_retrieves_every_code():
+    r = np.random.default_rng(5)
+    codes = r.integers(0, 2**16, (3000, 8)).astype(np.uint16)
+    codes[:2000] = codes[0] ^ (1 << r.integers(0, 16, (2000, 8))).astype(np.uint16)
+    index = ann.MultiIndex(codes)
+    for radius in (0, 3, 8, 20, 50):
+        assert set(index.within(codes[5], radius)) == set(np.flatnonzero(ann.hamming(codes, codes[5]) <= radius))
+
+
+# ------------------------------------------------------------------ 7
+def plain_bfd(sizes, shards):
+    """Best-fit-decreasing, one group at a time, at the smallest capacity that fits."""
+    def fit(cap):
+        room = [cap] * shards
+        for s in sizes:
+            k = min((r for r in room if r >= s), default=None)
+            if k is None:
+                return None
+            room[room.index(k)] -= s
+        return sorted(cap - r for r in room)
+    sizes = sorted(sizes, reverse=True)
+    lo, hi = -(-sum(sizes) // shards), sum(sizes)
+    while lo < hi:
+        mid = (lo + hi) // 2
+        lo, hi = (lo, mid) if fit(mid) else (mid + 1, hi)
+    return fit(lo)
+
+
+def test_packing():
+    r = np.random.default_rng(6)
+    for n in (5, 40, 400):
+        sizes = r.integers(1, 50, n).tolist()
+        loads = collections.Counter()
+        for s, a, b, k in sharding.pack(list(collections.Counter(sizes).items()), 4):
+            loads[k] += s * (b - a)
+        assert sum(loads.values()) == sum(sizes)
+        if n >= 40:
+            assert max(loads.values()) <= max(plain_bfd(sizes, 4)) + 1
+    assert sharding.pack([], 8) == []
+    big = sharding.pack([(100, 1), (1, 30)], 4)
+    assert [x for x in big if x[0] == 100] == [(100, 0, 1, 0)]
+
+
+def test_sharding(spark, messy, nothing):
+    out = sharding.shard(messy).toPandas()
+    assert len(out) == messy.count() and out["size"].tolist().count(1) == 2
+    for _, g in out.groupby("shard"):
+        assert sorted(g.slot) == list(range(len(g)))
+    assert out.groupby("group_id").shard.nunique().max() == 1
+    whole = sharding.shard(spark.read.parquet(f"{D}/documents.parquet")).toPandas()
+    load = whole.groupby("shard")["size"].sum()
+    assert len(load) == 8 and load.max() - load.min() <= 0.02 * load.mean()
+    assert sharding.shard(nothing).count() == 0
+
+
+# ------------------------------------------------------------------ 8
+def test_urls(spark):
+    urls = ["https://A.Example.NET/en/x?q", "http://x.example.net/fr/1", "http://net", "http://net/", "https://m.example.com/de/5#t", "http://example.org/fr/9", "http://xorg/fr/1", None, "no scheme", "http://bad.info/a", "http://ok.info/a", "http://new.info"]
+    pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)] + [(i, f"http://{'bad' if i % 2 else 'ok'}.info/{i}", "h") for i in range(100, 300)], "page_id long, url string, rule string")
+    labels = spark.createDataFrame([(i, int(i % 2)) for i in range(100, 300)] + [(100, None), (9999, 1)], "page_id long, bad int")
+    out = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urlrep.judge(pages, labels).collect()}
+    assert out[0] == ("a.example.net", "/en/x", "example.net/en/", "allow")
+    assert out[1][2:] == ("net/", "block") and out[2] == ("net", "", None, out[2][3]) and out[3][2:] == ("net/", "block")
+    assert out[4][2:] == ("example.com/de/", "block") and out[5][2:] == ("org/fr/", "allow") and out[6][2] is None
+    assert out[7][:2] == ("", "") == out[8][:2]
+    assert out[9][3] == "block" and out[10][3] == "allow" and len(out) == 212
+    assert urlrep.judge(pages.limit(0), labels).count() == 0
+    assert {r.verdict for r in urlrep.judge(pages, labels.limit(0)).where("rule IS NULL").collect()} == {"allow"}
+
+
+# ------------------------------------------------------------------ 9
+def test_secret_patterns():
+    t = 'é password=abcdef x token = "1beb58b8af68854f0e01b4ad" Secret:ab AKIA' + "A" * 16 + " api-key=1234567 APIKEY=1234567 " + "0a" * 12
+    kinds = [(t[s:e], k) for s, e, k in secrets.base_spans(t)]
+    assert kinds == [("password=abcdef", "assign"), ('token = "1beb58b8af68854f0e01b4ad', "assign"), ("1beb58b8af68854f0e01b4ad", "hex"), ("AKIA" + "A" * 16, "access"), ("APIKEY=1234567", "assign"), ("0a" * 12, "hex")]
+
+
+def test_secret_scan(spark, messy, nothing):
+    r = np.random.default_rng(8)
+    rows = []
+    for i in range(300):
+        w = ["".join(chr(97 + c) for c in r.integers(0, 26, r.integers(2, 9))) for _ in range(60)]
+        if i % 3 == 0:
+            w[20] = "AKIA" + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"[c] for c in r.integers(0, 36, 16))
+        if i == 299:
+            w[30] = "AKIA7QX92LM4Z8" + "-" + "99KQ81XW"  # no base pattern
+        rows.append((i, " ".join(w)))
+    out = {x.doc_id: x for x in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(out[i].n_access == (i % 3 == 0) for i in range(300))
+    assert sum("crf" in out[i].spans for i in range(299)) <= 3
+    assert "crf" in out[299].spans
+    assert len(secrets.find_secrets(messy).collect()) == messy.count() and secrets.find_secrets(nothing).count() == 0
+
+
+def test_crf_gradient():
+    r = np.random.default_rng(9)
+    e, t, y, mask = r.normal(size=(2, 4, 3)), r.normal(size=(3, 3)), np.array([[0, 1, 2, 0], [1, 2, 0, 0]]), np.array([[1, 1, 1, 1], [1, 1, 0, 0]], bool)
+
+    def ll(e, t):
+        total = 0.0
+        for i in range(2):
+            n = int(mask[i].sum())
+            paths = np.stack(np.meshgrid(*[range(3)] * n, indexing="ij"), -1).reshape(-1, n)
+            s = np.array([sum(e[i, k, p[k]] for k in range(n)) + sum(t[p[k], p[k + 1]] for k in range(n - 1)) + (secrets.NEVER if p[0] == 2 else 0) for p in paths])
+            own = int(np.flatnonzero((paths == y[i, :n]).all(axis=1))[0])
+            total += s[own] - np.log(np.exp(s).sum())
+        return total / 2
+
+    de, dt = secrets.log_likelihood_gradient(e, t, y, mask)
+    h = 1e-5
+    for i in np.ndindex(2, 4, 3):
+        if mask[i[:2]]:
+            d = np.zeros_like(e)
+            d[i] = h
+            assert abs((ll(e + d, t) - ll(e - d, t)) / (2 * h) - de[i]) < 1e-5
+    d = np.zeros_like(t)
+    d[1, 2] = h
+    assert abs((ll(e, t + d) - ll(e, t - d)) / (2 * h) - dt[1, 2]) < 1e-5
+
+
+# ------------------------------------------------------------------ 10
+def test_language_held_out_accuracy(spark, docs):
+    out = langid.identify(spark.read.parquet(f"{D}/documents.parquet").select("doc_id", "text", "lang"), langid.crc_mod(4) != 2, ["doc_id"]).toPandas()
+    both = out.merge(docs, on="doc_id")
+    test = both[both.doc_id.map(lambda i: zlib.crc32(str(i).encode()) % 4 == 2)]
+    assert (test.lang == test.lang_pred).mean() > 0.97 and out.score.between(0, 1).all()
+
+
+def test_language_hard_rows(spark, messy, nothing):
+    out = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(messy, F.lit(True), ["doc_id"]).collect()}
+    assert {i for i, (p, _) in out.items() if p == "und"} == {4, 5, 6, 10}
+    assert out[11][0] == "fr" and out[1][0] == "en"
+    assert langid.identify(nothing, F.lit(True), ["doc_id"]).count() == 0
+    assert {r.lang_pred for r in langid.identify(messy.where("lang IS NULL"), F.lit(True), ["doc_id"]).collect()} == {"und"}
+
+
+# ------------------------------------------------------------------ the tokenizer under all of them
+def test_tokenizer():
+    from tessera.llm.common import word_hashes, words
+
+    texts = ["", "a b", " é\x0bB c ", "x" * 50, "\t"]
+    raw = [t.encode() for t in texts]
+    buf, off = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+    s, e, n = words(buf, off)
+    assert [b"".join(raw)[a:b] for a, b in zip(s, e)] == [w for t in raw for w in re.findall(rb"[^\x20\x09-\x0D]+", t)] and n.tolist() == [len(t.split()) for t in raw]
+    h = word_hashes(buf, s, e)
+    assert len(set(h.tolist())) == len(h) and (word_hashes(np.frombuffer(b"  A", np.uint8), np.array([2]), np.array([3])) == h[0]).all()
+    assert FOX.islower()
