@@ -120,7 +120,7 @@ def quoted_source(prompt: Column) -> Column:
 
 def clamp01(c: Column) -> Column:
     """A score in 0..1; what is no number is 0, NaN is 1."""
-    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), c.try_cast("double"))), F.lit(0.0))
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(c.try_cast("double"), F.lit(0.0))))
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -9,6 +9,7 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class ChatClient(Protocol):
@@ -46,7 +47,7 @@ class RateLimiter:
 def complete(prompts: DataFrame, factory: Callable[[], ChatClient], per_minute: float | None = None, attempts: int = 4) -> DataFrame:
     """``prompts`` with system, user, model: adds raw_response or error. Retries happen
     here, so that a failing call never fails a task."""
-    schema = prompts.schema.add("raw_response", "string").add("error", "string")
+    schema = T.StructType([*prompts.schema.fields, T.StructField("raw_response", T.StringType()), T.StructField("error", T.StringType())])
 
     def run(frames):
         client, limit = factory(), RateLimiter(per_minute) if per_minute else None

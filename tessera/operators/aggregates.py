@@ -61,10 +61,10 @@ def spread(scores: DataFrame, axis: str) -> DataFrame:
 def low_p10(scores: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Nearest-rank-low tenth percentile, ``sorted[n // 10]``: the value whose rank is
     n // 10 + 1. Counts per distinct value meet in the window, not the rows."""
-    per = scores.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("k"))
+    per = scores.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_k"))
     w = Window.partitionBy(*keys)
-    per = per.withColumn("n", F.sum("k").over(w)).withColumn("upto", F.sum("k").over(w.orderBy(value)))
-    return per.where(F.col("upto") > F.floor(F.col("n") / 10)).groupBy(*keys).agg(F.min(value).alias("p10"))
+    per = per.withColumn("_n", F.sum("_k").over(w)).withColumn("_upto", F.sum("_k").over(w.orderBy(value)))
+    return per.where(F.col("_upto") > F.floor(F.col("_n") / 10)).groupBy(*keys).agg(F.min(value).alias("p10"))
 
 
 def audit(scores: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -13,8 +13,8 @@ def spearman(pairs: DataFrame, by: str) -> DataFrame:
 
     def ranks(v: str) -> DataFrame:
         w = Window.partitionBy(by).orderBy(v)
-        c = pairs.groupBy(by, v).agg(F.count(F.lit(1)).alias("k"))
-        return c.select(F.col(by).alias("_g"), F.col(v).alias("_v"), (F.sum("k").over(w) - F.col("k") + (F.col("k") + 1) / 2).alias(f"r_{v}"))
+        c = pairs.groupBy(by, v).agg(F.count(F.lit(1)).alias("_k"))
+        return c.select(F.col(by).alias("_g"), F.col(v).alias("_v"), (F.sum("_k").over(w) - F.col("_k") + (F.col("_k") + 1) / 2).alias(f"r_{v}"))
 
     out = pairs
     for v in ("x", "y"):
