@@ -26,7 +26,7 @@ SEGMENT = 30
 SAMPLE_DOCS = 2000
 SAMPLE_WORDS = 40
 WORDS_PER_LABEL = 10_000
-EPOCHS = 3
+EPOCHS, LEAST_STEPS = 3, 350
 BATCH = 256
 CACHE = 300_000
 MARK = 256
@@ -134,7 +134,8 @@ def train(samples: list[tuple[bytes, str]], seed: int = 7) -> tuple[list[str], d
         return labels, p
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
     step = 0
-    for epoch in range(EPOCHS):
+    epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // max(1, len(data))))  # small samples are read more often
+    for epoch in range(epochs):
         order = r.permutation(len(data))
         order = order[np.argsort([len(data[i][0]) // 3 for i in order], kind="stable")]
         chunks = [order[i : i + BATCH] for i in range(0, len(order), BATCH)]
@@ -142,7 +143,7 @@ def train(samples: list[tuple[bytes, str]], seed: int = 7) -> tuple[list[str], d
             seq, rev, n = _padded([data[i][0] for i in chunks[c]])
             _, g = loss_and_grads(p, seq, rev, n, np.array([data[i][1] for i in chunks[c]]))
             step += 1
-            rate = 0.01 * (0.3**epoch)
+            rate = 0.01 * 0.3 ** (EPOCHS * epoch // epochs)
             for k in p:
                 m[k] = 0.9 * m[k] + 0.1 * g[k]
                 v[k] = 0.99 * v[k] + 0.01 * g[k] * g[k]

@@ -1,20 +1,24 @@
-"""Substring dedup by hashing lines.
-
-A unit is a line (split at ``\\n``), normalised by lower-casing A-Z and joining its words
-``[^\\x20\\x09-\\x0D]+`` with single spaces; units under ``min_words`` words are too short
-to call a copy and stay. Over the whole corpus the occurrence of a unit in the smallest
-doc_id (then the smallest unit index) is kept and all others are removed. Offsets are
-code points of the original text.
-
-Cases: null and empty texts have no units to remove; a unit repeated within one document
-is removed after its first occurrence; a very frequent unit is one digest whose minimum
-is found by partial aggregation, so no task gathers its occurrences; rows with one doc_id
-are one document, so a repeated row is no copy of itself.
+"""Substring dedup by hashing the parts of lines.
+
+A line (up to ``\\n``) is cut after sentence ends (``.``, ``!``, ``?`` before white
+space) into units of at least ``min_words`` words; what is left at a line's end joins its
+last unit, and a line with fewer words has none. A passage that starts amid a line thus
+falls into step with its other copies after one sentence. Units are normalised by
+lower-casing A-Z and joining their words ``[^\\x20\\x09-\\x0D]+`` with single spaces.
+Over the whole corpus the occurrence of a unit in the smallest doc_id (then the smallest
+unit index) is kept and all others are removed. Offsets are code points of the original
+text.
+
+Cases: null and empty texts have no units; a unit repeated within one document is removed
+after its first occurrence; a very frequent unit is one digest whose minimum is found by
+partial aggregation, so no task gathers its occurrences; rows with one doc_id are one
+document, so a repeated row is no copy of itself.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,19 +27,34 @@ from pyspark.sql import functions as F
 from .common import scratch, small_batches
 
 MIN_WORDS = 5
+_SPACE = " \t\x0b\x0c\r"
+_END = re.compile(r"[.!?](?=[ \t\x0b\x0c\r])")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
 def units_of(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, bytes]]:
-    """(index, start, end, digest) of the units of a text that are long enough."""
-    out, at = [], 0
-    for i, line in enumerate(text.split("\n")):
-        end = at + len(line)
-        if end - at >= 2 * min_words - 1:
-            words = line.encode("utf-8", "surrogatepass").translate(_LOWER).split()
-            if len(words) >= min_words:
-                out.append((i, at, end, hashlib.blake2b(b" ".join(words), digest_size=16).digest()))
-        at = end + 1
+    """(index, start, end, digest) of the units of a text."""
+    out: list[tuple[int, int, int, bytes]] = []
+    base = 0
+    for line in text.split("\n"):
+        if len(line) >= 2 * min_words - 1:
+            found: list[tuple[int, int, list[bytes]]] = []
+            start = at = 0
+            words: list[bytes] = []
+            for end in [*(m.end() for m in _END.finditer(line)), len(line)]:
+                words += line[at:end].encode("utf-8", "surrogatepass").translate(_LOWER).split()
+                at = end
+                if len(words) >= min_words:
+                    found.append((start, at, words))
+                    start, words = at, []
+            if words and found:
+                s, _, w = found[-1]
+                found[-1] = (s, len(line), w + words)
+            for s, e, w in found:
+                s += len(line[s:e]) - len(line[s:e].lstrip(_SPACE))
+                e -= len(line[s:e]) - len(line[s:e].rstrip(_SPACE))
+                out.append((len(out), base + s, base + e, hashlib.blake2b(b" ".join(w), digest_size=16).digest()))
+        base += len(line) + 1
     return out
 
 
@@ -66,30 +85,19 @@ def duplicates(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with ``clean_text`` (the kept lines) and ``removed``, the list of
-    (start, end) that went; both keyed by doc_id."""
+    """``docs`` with ``removed``, the (unit, start, end) that went, and ``clean_text``,
+    what lies between them."""
     gone = duplicates(docs, min_words).groupBy(F.col("doc_id").alias("gone_id")).agg(F.sort_array(F.collect_list(F.struct("unit", "start", "end"))).alias("removed"))
-    lines = F.split("text", "\n", -1)
-    kept = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda u: ~F.coalesce(F.array_contains(F.transform("removed", lambda r: r["unit"]), u["i"]), F.lit(False)))
     joined = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left").drop("gone_id")
-    return joined.withColumn("clean_text", F.array_join(F.transform(kept, lambda u: u["x"]), "\n"))
+    kept = F.aggregate(
+        "removed",
+        F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
+        lambda acc, r: F.struct(F.concat(acc["out"], F.substring("text", (acc["at"] + 1).cast("int"), (r["start"] - acc["at"]).cast("int"))).alias("out"), r["end"].alias("at")),
+        lambda acc: F.concat(acc["out"], F.substring("text", (acc["at"] + 1).cast("int"), F.length("text"))),
+    )
+    return joined.withColumn("clean_text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept))
 
 
 def op3_line_dedup(spark, sf_dir: str) -> DataFrame:
     return duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
-
-SQL = f"""
-WITH lines AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
-placed AS (
-  SELECT doc_id, CAST(i - 1 AS INT) AS unit, line,
-         CAST(coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
-         regexp_extract_all(translate(line, '{"ABCDEFGHIJKLMNOPQRSTUVWXYZ"}', '{"abcdefghijklmnopqrstuvwxyz"}'), '[^\\x20\\x09-\\x0D]+') AS w
-  FROM lines),
-units AS (SELECT doc_id, unit, start, start + length(line) AS "end", array_to_string(w, ' ') AS norm FROM placed WHERE len(w) >= {MIN_WORDS}),
-ranked AS (
-  SELECT *, first_value(doc_id) OVER o AS kept_doc_id, first_value(unit) OVER o AS kept_unit, row_number() OVER o AS rn
-  FROM units WINDOW o AS (PARTITION BY norm ORDER BY doc_id, unit))
-SELECT doc_id, unit, start, "end", kept_doc_id, kept_unit FROM ranked WHERE rn > 1
-"""

@@ -18,7 +18,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
-    "op3_line_dedup": linededup.SQL,
     "op5_mixing": mixing.SQL,
     "op8_url_reputation": urlrep.SQL,
 }

@@ -131,14 +131,46 @@ def test_components(spark):
 
 
 # ------------------------------------------------------------------ 3
-def test_line_dedup(spark, messy, nothing):
+def plain_units(text):
+    """Units by scanning words: one ends at a sentence's end once it has five words."""
+    out = []
+    for line in re.finditer(r"[^\n]*", text or ""):
+        now, units = [], []
+        ws = list(re.finditer(r"[^\x20\x09-\x0D]+", line[0]))
+        for k, w in enumerate(ws):
+            now.append(w)
+            if len(now) >= 5 and (w[0][-1] in ".!?" and w.end() < len(line[0]) or k == len(ws) - 1):
+                units.append(now)
+                now = []
+        if now and units:
+            units[-1] = units[-1] + now
+        out += [(line.start() + u[0].start(), line.start() + u[-1].end(), b" ".join(words_of(" ".join(w[0] for w in u)))) for u in units]
+    return out
+
+
+def test_line_dedup(spark, docs, messy, nothing):
     df = spark.createDataFrame([(1, "é A b c d e\nshort\nx"), (2, "zz\né a  B c d e"), (3, None), (4, ""), (5, "a b c d e f\na b c d e f")], "doc_id long, text string")
     got = sorted((r.doc_id, r.unit, r.start, r.end, r.kept_doc_id, r.kept_unit) for r in linededup.duplicates(df).collect())
-    assert got == [(2, 1, 3, 15, 1, 0), (5, 1, 12, 23, 5, 0)]
+    assert got == [(2, 0, 3, 15, 1, 0), (5, 1, 12, 23, 5, 0)]
     clean = {r.doc_id: (r.clean_text, r.removed) for r in linededup.deduplicate(df).collect()}
-    assert clean[2][0] == "zz" and clean[5][0] == "a b c d e f" and clean[1][1] is None and clean[3][0] is None
+    assert clean[2][0] == "zz\n" and clean[5][0] == "a b c d e f\n" and clean[1][1] is None and clean[3][0] is None
     assert linededup.duplicates(nothing).count() == 0
     assert {r.doc_id for r in linededup.duplicates(messy).collect()} == {2}
+    first, want = {}, []
+    for i, t in sorted(zip(docs.doc_id, docs.text)):
+        for u, (s, e, key) in enumerate(plain_units(t)):
+            if key in first:
+                want.append((i, u, s, e, *first[key]))
+            else:
+                first[key] = (i, u)
+    assert sorted(map(tuple, linededup.duplicates(spark.read.parquet(f"{D}/documents.parquet")).collect())) == sorted(want) and want
+
+
+def test_passage_amid_a_line(spark):
+    passage = " ".join(f"p{i}{'.' if i % 8 == 7 else ''}" for i in range(60))
+    rows = [(1, "Lead in. " + passage + " tail one two"), (2, "Other words here stand. And more " + passage)]
+    gone = linededup.duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(len(rows[1][1][r.start : r.end].split()) for r in gone) >= 40
 
 
 # ------------------------------------------------------------------ 4
