@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import scratch, small_batches
 
-MIN_WORDS = 5
+MIN_WORDS = 8
 _SPACE = " \t\x0b\x0c\r"
 _END = re.compile(r"[.!?](?=[ \t\x0b\x0c\r])")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")

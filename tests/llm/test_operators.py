@@ -150,9 +150,9 @@ def plain_units(text):
 
 def test_line_dedup(spark, docs, messy, nothing):
     df = spark.createDataFrame([(1, "é A b c d e\nshort\nx"), (2, "zz\né a  B c d e"), (3, None), (4, ""), (5, "a b c d e f\na b c d e f")], "doc_id long, text string")
-    got = sorted((r.doc_id, r.unit, r.start, r.end, r.kept_doc_id, r.kept_unit) for r in linededup.duplicates(df).collect())
+    got = sorted((r.doc_id, r.unit, r.start, r.end, r.kept_doc_id, r.kept_unit) for r in linededup.duplicates(df, 5).collect())
     assert got == [(2, 0, 3, 15, 1, 0), (5, 1, 12, 23, 5, 0)]
-    clean = {r.doc_id: (r.clean_text, r.removed) for r in linededup.deduplicate(df).collect()}
+    clean = {r.doc_id: (r.clean_text, r.removed) for r in linededup.deduplicate(df, 5).collect()}
     assert clean[2][0] == "zz\n" and clean[5][0] == "a b c d e f\n" and clean[1][1] is None and clean[3][0] is None
     assert linededup.duplicates(nothing).count() == 0
     assert {r.doc_id for r in linededup.duplicates(messy).collect()} == {2}
@@ -163,7 +163,7 @@ def test_line_dedup(spark, docs, messy, nothing):
                 want.append((i, u, s, e, *first[key]))
             else:
                 first[key] = (i, u)
-    assert sorted(map(tuple, linededup.duplicates(spark.read.parquet(f"{D}/documents.parquet")).collect())) == sorted(want) and want
+    assert sorted(map(tuple, linededup.duplicates(spark.read.parquet(f"{D}/documents.parquet"), 5).collect())) == sorted(want) and want
 
 
 def test_passage_amid_a_line(spark):
