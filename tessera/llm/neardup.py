@@ -13,10 +13,15 @@ union-find grouping.
    to components. Then, in buckets that still hold several components, each member outside
    the largest is paired with the members of other components most like it, round after
    round until one finds no new link.
+5. Where a member had more candidates than a round takes, or a bucket more sets than a
+   part, all that are left are compared on their full sets inside the tasks: members
+   outside a bucket's largest component, in blocks, against every block of the bucket. A
+   pair is compared in its first shared band only, and only links leave the task, at most
+   one per member and block.
 
-A pair of similarity 0.75 shares no band with probability (1 - 0.75**3)**24 = 2e-6, and
-comparing signatures drops it with a probability of the same order. Buckets of more than
-``BUCKET`` different sets are dealt to parts by a hash that changes with every round.
+So no candidate is left out. A pair of similarity 0.75 shares no band with probability
+(1 - 0.75**3)**24 = 2e-6, and comparing signatures drops it with a probability of the same
+order.
 
 Cases: null or empty texts, and texts without words, have an empty set and are linked
 with nothing; fewer words than a shingle make one shingle; ties go to the smallest
@@ -38,11 +43,12 @@ REGISTERS, ROWS = 72, 3
 BANDS = REGISTERS // ROWS
 THRESHOLD = 75  # per cent
 BUCKET = 2048
-#: Pairs per member, bucket and round when components are compared; rounds go on while they find links.
+#: Pairs per member, bucket and round when components are compared; rounds go on while they find links, and step 5 takes the rest.
 BEST = 8
 #: A signature's similarity below which a pair is not worth confirming, five standard deviations below the threshold.
 LIKE = 0.5
-LIKE_AGAIN = 0.6
+#: Members and shingles of a block in step 5.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 22
 
 _C = np.random.default_rng(20).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SPREAD = 0x9E3779B97F4A7C15
@@ -139,7 +145,7 @@ def _sets(batches):
 
 
 def _buckets(batches):
-    """Complete buckets (ids, signatures, components) of a partition sorted by bucket."""
+    """Complete buckets of a partition sorted by bucket, as a table and their bounds."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
@@ -148,18 +154,33 @@ def _buckets(batches):
         where = np.column_stack([table.column(c).to_numpy() for c in ("band", "key", "part")])
         cuts = np.flatnonzero((where[1:] != where[:-1]).any(axis=1)) + 1
         if len(cuts):
-            yield _bucket_arrays(table.slice(0, cuts[-1]), cuts)
+            yield table.slice(0, cuts[-1]), [0, *cuts.tolist()]
             held = table.slice(cuts[-1]).combine_chunks().to_batches()
         else:
             held = table.to_batches()
     if held:
         table = pa.Table.from_batches(held)
-        yield _bucket_arrays(table, np.array([table.num_rows]))
+        yield table, [0, table.num_rows]
 
 
-def _bucket_arrays(table: pa.Table, cuts: np.ndarray):
+def _members(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, signatures, components and set sizes."""
     sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-    return table.column("id").to_numpy(), sig, table.column("component").to_numpy(), np.concatenate([[0], cuts])
+    return table.column("id").to_numpy(), sig, table.column("component").to_numpy(), table.column("m").to_numpy()
+
+
+def _candidates(i: int, s: np.ndarray, c: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Members of other components that may be linked with member ``i``, and how alike
+    they are; sets of too different sizes can't be linked."""
+    able = np.flatnonzero((c != c[i]) & (100 * np.minimum(m, m[i]) >= THRESHOLD * np.maximum(m, m[i])))
+    like = (s[able] == s[i]).mean(axis=1)
+    return able[like >= LIKE], like[like >= LIKE]
+
+
+def _askers(c: np.ndarray) -> np.ndarray:
+    """Members outside the largest component."""
+    _, inv, cnt = np.unique(c, return_inverse=True, return_counts=True)
+    return np.flatnonzero(inv != cnt.argmax())
 
 
 def _pairs(ids: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
@@ -168,7 +189,8 @@ def _pairs(ids: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
 
 def _star_pairs(batches):
     """Pairs of each bucket's pivots with the members they resemble."""
-    for ids, sig, _, cuts in _buckets(batches):
+    for table, bounds in _buckets(batches):
+        (ids, sig, _, _), cuts = _members(table), np.array(bounds)
         sizes = np.diff(cuts)
         two = cuts[:-1][sizes == 2]
         if len(two):
@@ -192,21 +214,63 @@ def _star_pairs(batches):
 def _cross_pairs(batches):
     """From each member outside a bucket's largest component to the ``BEST`` most like
     members of other components."""
-    for ids, sig, comp, cuts in _buckets(batches):
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            s, own, c = sig[a:b], ids[a:b], comp[a:b]
-            if (c == c[0]).all():
-                continue
-            names, inv, cnt = np.unique(c, return_inverse=True, return_counts=True)
-            for i in np.flatnonzero(inv != cnt.argmax()):
-                like = (s == s[i]).mean(axis=1)
-                like[c == c[i]] = 0
-                near = np.argpartition(like, -BEST)[-BEST:] if len(like) > BEST else np.arange(len(like))
-                near = near[like[near] >= LIKE_AGAIN]
+    for table, bounds in _buckets(batches):
+        ids, sig, comp, size = _members(table)
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            s, own, c, m = sig[a:b], ids[a:b], comp[a:b], size[a:b]
+            for i in _askers(c):
+                near, like = _candidates(i, s, c, m)
+                if len(near) > BEST:
+                    near = near[np.argpartition(like, -BEST)[-BEST:]]
                 if len(near):
                     yield _pairs(np.full(len(near), own[i]), own[near])
 
 
+def _crowded(batches):
+    """Members with more candidates than a round takes, and those candidates."""
+    for table, bounds in _buckets(batches):
+        ids, sig, comp, size = _members(table)
+        hit = np.zeros(len(ids), bool)
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            s, c, m, h = sig[a:b], comp[a:b], size[a:b], hit[a:b]
+            for i in _askers(c):
+                near, _ = _candidates(i, s, c, m)
+                if len(near) > BEST:
+                    h[i] = h[near] = True
+        yield from table.select(["band", "key", "id", "sig", "m", "component"]).filter(pa.array(hit)).to_batches()
+
+
+def _block_links(batches):
+    """Links of each block's askers with its other members, checked on the full sets;
+    none between members that links found in the block connect already."""
+    for table, bounds in _buckets(batches):
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            block = table.slice(a, b - a)
+            ids, sig, comp, size = _members(block)
+            band, ask, small = block.column("band")[0].as_py(), block.column("ask").to_numpy(), block.column("small").to_numpy()
+            sets = [np.frombuffer(x, np.uint64) for x in block.column("shingles").to_pylist()]
+            asked = np.flatnonzero(~ask)
+            label = np.unique(comp, return_inverse=True)[1]
+            x, y = [], []
+            for i in np.flatnonzero(ask):
+                t = asked[(label[asked] != label[i]) & (~small[asked] | (ids[asked] > ids[i]))]
+                t = t[100 * np.minimum(size[t], size[i]) >= THRESHOLD * np.maximum(size[t], size[i])]
+                same = sig[t] == sig[i]
+                t = t[(same.mean(axis=1) >= LIKE) & (same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band)]
+                if not len(t):
+                    continue
+                flat, own = np.concatenate([sets[j] for j in t]), sets[i]
+                held = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+                both = np.bincount(owner(size[t]), held, len(t))
+                for j in t[100 * both >= THRESHOLD * (size[t] + size[i] - both)]:
+                    if label[j] != label[i]:
+                        label[label == label[j]] = label[i]
+                        x.append(ids[i])
+                        y.append(ids[j])
+            if x:
+                yield _pairs(np.array(x), np.array(y))
+
+
 def _confirm(batches):
     for batch in batches:
         a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -236,13 +300,16 @@ def group(docs: DataFrame) -> DataFrame:
     members = scratch(banded.join(shared, ["band", "key"]).select("band", "key", "n", "doc_id"), "members")
     active = members.select("doc_id").distinct()
     shingles = scratch(docs.join(active, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets, "doc_id long, shingles binary"), "sets")
-    buckets = scratch(members.join(reps.select("doc_id", "sig"), "doc_id").select("band", "key", "n", F.col("doc_id").alias("id"), "sig"), "buckets")
+    buckets = scratch(members.join(reps.select("doc_id", "sig", F.col("n_shingles").alias("m")), "doc_id").select("band", "key", "n", F.col("doc_id").alias("id"), "sig", "m"), "buckets")
     drop_scratch(members)
 
+    def dealt(rows: DataFrame, *more: str) -> DataFrame:
+        chosen = rows.select("band", "key", "part", "id", "sig", "m", "component", *more)
+        return chosen.repartition("band", "key", "part").sortWithinPartitions("band", "key", "part", "id")
+
     def confirmed(rows: DataFrame, seed: int, pick) -> DataFrame:
         part = F.pmod(F.xxhash64("id", F.lit(seed)), F.ceil(F.col("n") / BUCKET))
-        dealt = rows.withColumn("part", part).select("band", "key", "part", "id", "sig", "component")
-        pairs = dealt.repartition("band", "key", "part").sortWithinPartitions("band", "key", "part", "id").mapInArrow(pick, "a long, b long").distinct()
+        pairs = dealt(rows.withColumn("part", part)).mapInArrow(pick, "a long, b long").distinct()
         x, y = shingles.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), shingles.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
         return scratch(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_confirm, "a long, b long"), "links")
 
@@ -252,11 +319,32 @@ def group(docs: DataFrame) -> DataFrame:
     while True:
         named = buckets.join(found.withColumnRenamed("component", "c"), "id", "left").withColumn("component", F.coalesce("c", "id"))
         split = named.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-        more = confirmed(named.join(split, ["band", "key"], "left_semi"), seed, _cross_pairs)
+        mixed = named.join(split, ["band", "key"], "left_semi")
+        more = confirmed(mixed, seed, _cross_pairs)
         if more.isEmpty():
             break
         links = links.union(more)
         found, seed = components(links), seed + 1
+
+    kept = "band int, key long, id long, sig binary, m long, component long"
+    crowd = dealt(mixed.where(F.col("n") <= BUCKET).withColumn("part", F.lit(0))).mapInArrow(_crowded, kept)
+    large = mixed.where(F.col("n") > BUCKET).select("band", "key", "id", "sig", "m", "component")
+    rest = scratch(crowd.union(large), "crowded")
+    if not rest.isEmpty():
+        sizes = rest.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("m").alias("m")).groupBy("band", "key")
+        first = F.struct("n", "component")
+        sizes = sizes.agg(F.max_by("component", first).alias("top"), F.sum("n").alias("n"), F.sum("m").alias("all"), F.max("n").alias("top_n"), F.max_by("m", first).alias("top_m"))
+        blocks = lambda n, m: F.ceil(F.greatest(F.lit(1), n / BLOCK, m / BLOCK_SHINGLES))
+        sizes = sizes.select("band", "key", "top", blocks(F.col("n"), F.col("all")).alias("k"), blocks(F.col("n") - F.col("top_n"), F.col("all") - F.col("top_m")).alias("q"))
+        rows = rest.join(sizes, ["band", "key"]).withColumn("small", F.col("component") != F.col("top"))
+        upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+        asking = rows.where("small").withColumn("g", upto("k")).withColumn("s", F.pmod(F.xxhash64("id", F.lit(1)), "q")).withColumn("ask", F.lit(True))
+        asked = rows.withColumn("g", F.pmod(F.xxhash64("id", F.lit(2)), "k")).withColumn("s", upto("q")).withColumn("ask", F.lit(False))
+        both = asking.unionByName(asked).withColumn("part", F.col("s") * F.col("k") + F.col("g")).join(shingles.withColumnRenamed("doc_id", "id"), "id")
+        more = scratch(dealt(both, "ask", "small", "shingles").mapInArrow(_block_links, "a long, b long"), "links")
+        if not more.isEmpty():
+            found = components(links.union(more))
+    drop_scratch(rest)
     drop_scratch(shingles)
     drop_scratch(buckets)
     named = sets.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(*same, F.coalesce("component", "rep").alias("component_id"))

@@ -109,6 +109,41 @@ def test_near_dedup_star_of_variants(spark):
     assert got == brute_components(rows)
 
 
+def test_near_dedup_crowded_family(spark, monkeypatch):
+    """Many variants just under the threshold hide the few that are linked."""
+    r = np.random.default_rng(4)
+    base = [f"t{i}" for i in range(400)]
+    rows = []
+    for k in range(160):
+        own = list(base)
+        for j, at in enumerate(r.choice(400, 7 if k % 20 else 6, replace=False)):
+            own[at] = f"v{k}n{j}"
+        rows.append((k, " ".join(own)))
+    want = brute_components(rows)
+    assert 3 < len({c for _, c in want.values()}) < 160
+    for bucket, block in ((neardup.BUCKET, neardup.BLOCK), (8, 5)):
+        monkeypatch.setattr(neardup, "BUCKET", bucket)
+        monkeypatch.setattr(neardup, "BLOCK", block)
+        assert {x[0]: (x[1], x[2]) for x in neardup.group(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == want
+
+
+def test_near_dedup_block_links():
+    """Only links between components, each pair in its first shared band."""
+    import pyarrow as pa
+
+    sets = [np.arange(100, dtype=np.uint64), np.arange(10, 110, dtype=np.uint64), np.arange(60, 160, dtype=np.uint64)]
+    sig = np.zeros(neardup.REGISTERS, np.uint16).tobytes()
+
+    def found(band, ask):
+        n = len(sets)
+        table = pa.table({"band": pa.array([band] * n, pa.int32()), "key": [1] * n, "part": [0] * n, "id": [5, 6, 7], "sig": [sig] * n, "m": [100] * n, "component": [5, 6, 7], "ask": ask, "small": [True] * n, "shingles": [x.tobytes() for x in sets]})
+        return [p for b in neardup._block_links(iter(table.to_batches())) for p in zip(*b.to_pydict().values())]
+
+    assert found(0, [True, False, False]) == [(5, 6)]
+    assert found(0, [False, True, False]) == []
+    assert found(1, [True, False, False]) == []
+
+
 def test_near_dedup_hard_rows(spark, messy, nothing):
     got = collections.Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.group(messy).collect())
     want = brute_components([(r.doc_id, r.text) for r in messy.collect()])
