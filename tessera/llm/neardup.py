@@ -10,16 +10,14 @@ union-find grouping.
    compared with the rest by signature; members it doesn't resemble get a pivot of their
    own. That yields a few pairs per member, not all pairs of a bucket.
 4. Pairs are confirmed on the full sets (``100 * both >= 75 * any``), linked, and joined
-   to components. Then, in buckets that still hold several components, each member outside
-   the largest is paired with the members of other components most like it, round after
-   round until one finds no new link.
-5. Where a member had more candidates than a round takes, or a bucket more sets than a
-   part, all that are left are compared on their full sets inside the tasks: members
-   outside a bucket's largest component, in blocks, against every block of the bucket. A
-   pair is compared in its first shared band only, and only links leave the task, at most
-   one per member and block.
-
-So no candidate is left out. A pair of similarity 0.75 shares no band with probability
+   to components.
+5. Buckets that still hold several components are dealt to blocks: members outside a
+   bucket's largest component ask, in blocks, every block of the bucket. A first pass over
+   signatures finds who has a candidate in another component, a pair counting in its first
+   shared band only; a second compares those on their full sets inside the tasks. Only
+   links leave a task, at most one per member and block, and join the components.
+
+No candidate is left out: a pair of similarity 0.75 shares no band with probability
 (1 - 0.75**3)**24 = 2e-6, and comparing signatures drops it with a probability of the same
 order.
 
@@ -43,8 +41,6 @@ REGISTERS, ROWS = 72, 3
 BANDS = REGISTERS // ROWS
 THRESHOLD = 75  # per cent
 BUCKET = 2048
-#: Pairs per member, bucket and round when components are compared; rounds go on while they find links, and step 5 takes the rest.
-BEST = 8
 #: A signature's similarity below which a pair is not worth confirming, five standard deviations below the threshold.
 LIKE = 0.5
 #: Members and shingles of a block in step 5.
@@ -169,18 +165,20 @@ def _members(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return table.column("id").to_numpy(), sig, table.column("component").to_numpy(), table.column("m").to_numpy()
 
 
-def _candidates(i: int, s: np.ndarray, c: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Members of other components that may be linked with member ``i``, and how alike
-    they are; sets of too different sizes can't be linked."""
-    able = np.flatnonzero((c != c[i]) & (100 * np.minimum(m, m[i]) >= THRESHOLD * np.maximum(m, m[i])))
-    like = (s[able] == s[i]).mean(axis=1)
-    return able[like >= LIKE], like[like >= LIKE]
-
-
-def _askers(c: np.ndarray) -> np.ndarray:
-    """Members outside the largest component."""
-    _, inv, cnt = np.unique(c, return_inverse=True, return_counts=True)
-    return np.flatnonzero(inv != cnt.argmax())
+def _candidates(block: pa.Table):
+    """Each asker of a block with the members of other components that may be linked with
+    it: sets of like size, like signatures, and no earlier band that both share. Two
+    askers meet once."""
+    ids, sig, comp, size = _members(block)
+    band, ask, small = block.column("band")[0].as_py(), block.column("ask").to_numpy(), block.column("small").to_numpy()
+    asked = np.flatnonzero(~ask)
+    for i in np.flatnonzero(ask):
+        t = asked[(comp[asked] != comp[i]) & (~small[asked] | (ids[asked] > ids[i]))]
+        t = t[100 * np.minimum(size[t], size[i]) >= THRESHOLD * np.maximum(size[t], size[i])]
+        same = sig[t] == sig[i]
+        t = t[(same.mean(axis=1) >= LIKE) & (same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band)]
+        if len(t):
+            yield i, t
 
 
 def _pairs(ids: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
@@ -211,52 +209,28 @@ def _star_pairs(batches):
                 rest = rest[1:][~like]
 
 
-def _cross_pairs(batches):
-    """From each member outside a bucket's largest component to the ``BEST`` most like
-    members of other components."""
-    for table, bounds in _buckets(batches):
-        ids, sig, comp, size = _members(table)
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            s, own, c, m = sig[a:b], ids[a:b], comp[a:b], size[a:b]
-            for i in _askers(c):
-                near, like = _candidates(i, s, c, m)
-                if len(near) > BEST:
-                    near = near[np.argpartition(like, -BEST)[-BEST:]]
-                if len(near):
-                    yield _pairs(np.full(len(near), own[i]), own[near])
-
-
-def _crowded(batches):
-    """Members with more candidates than a round takes, and those candidates."""
+def _hopeful(batches):
+    """Members of each block that have a candidate, or are one."""
     for table, bounds in _buckets(batches):
-        ids, sig, comp, size = _members(table)
-        hit = np.zeros(len(ids), bool)
+        hit = np.zeros(table.num_rows, bool)
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            s, c, m, h = sig[a:b], comp[a:b], size[a:b], hit[a:b]
-            for i in _askers(c):
-                near, _ = _candidates(i, s, c, m)
-                if len(near) > BEST:
-                    h[i] = h[near] = True
+            for i, t in _candidates(table.slice(a, b - a)):
+                hit[a + i] = hit[a + t] = True
         yield from table.select(["band", "key", "id", "sig", "m", "component"]).filter(pa.array(hit)).to_batches()
 
 
 def _block_links(batches):
-    """Links of each block's askers with its other members, checked on the full sets;
-    none between members that links found in the block connect already."""
+    """Pairs of components linked by candidates of a block, checked on the full sets; none
+    between components that links found in the block connect already."""
     for table, bounds in _buckets(batches):
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             block = table.slice(a, b - a)
-            ids, sig, comp, size = _members(block)
-            band, ask, small = block.column("band")[0].as_py(), block.column("ask").to_numpy(), block.column("small").to_numpy()
+            _, _, comp, size = _members(block)
             sets = [np.frombuffer(x, np.uint64) for x in block.column("shingles").to_pylist()]
-            asked = np.flatnonzero(~ask)
             label = np.unique(comp, return_inverse=True)[1]
             x, y = [], []
-            for i in np.flatnonzero(ask):
-                t = asked[(label[asked] != label[i]) & (~small[asked] | (ids[asked] > ids[i]))]
-                t = t[100 * np.minimum(size[t], size[i]) >= THRESHOLD * np.maximum(size[t], size[i])]
-                same = sig[t] == sig[i]
-                t = t[(same.mean(axis=1) >= LIKE) & (same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band)]
+            for i, t in _candidates(block):
+                t = t[label[t] != label[i]]
                 if not len(t):
                     continue
                 flat, own = np.concatenate([sets[j] for j in t]), sets[i]
@@ -265,8 +239,8 @@ def _block_links(batches):
                 for j in t[100 * both >= THRESHOLD * (size[t] + size[i] - both)]:
                     if label[j] != label[i]:
                         label[label == label[j]] = label[i]
-                        x.append(ids[i])
-                        y.append(ids[j])
+                        x.append(comp[i])
+                        y.append(comp[j])
             if x:
                 yield _pairs(np.array(x), np.array(y))
 
@@ -286,6 +260,22 @@ def _confirm(batches):
         yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
 
 
+def _blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` of buckets, dealt to blocks (``part``): a member outside its bucket's
+    largest component asks in every block of all members, and each member is asked in
+    every block of askers."""
+    sizes = rows.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("m").alias("m")).groupBy("band", "key")
+    order = F.struct("n", "component")
+    sizes = sizes.agg(F.max_by("component", order).alias("top"), F.sum("n").alias("n"), F.sum("m").alias("all"), F.max("n").alias("top_n"), F.max_by("m", order).alias("top_m"))
+    count = lambda n, m: F.ceil(F.greatest(F.lit(1), n / BLOCK, m / BLOCK_SHINGLES))
+    sizes = sizes.select("band", "key", "top", count(F.col("n"), F.col("all")).alias("k"), count(F.col("n") - F.col("top_n"), F.col("all") - F.col("top_m")).alias("q"))
+    rows = rows.join(sizes, ["band", "key"]).withColumn("small", F.col("component") != F.col("top"))
+    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    asking = rows.where("small").withColumn("g", upto("k")).withColumn("s", F.pmod(F.xxhash64("id", F.lit(1)), "q")).withColumn("ask", F.lit(True))
+    asked = rows.withColumn("g", F.pmod(F.xxhash64("id", F.lit(2)), "k")).withColumn("s", upto("q")).withColumn("ask", F.lit(False))
+    return asking.unionByName(asked).withColumn("part", F.col("s") * F.col("k") + F.col("g"))
+
+
 def group(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -307,47 +297,23 @@ def group(docs: DataFrame) -> DataFrame:
         chosen = rows.select("band", "key", "part", "id", "sig", "m", "component", *more)
         return chosen.repartition("band", "key", "part").sortWithinPartitions("band", "key", "part", "id")
 
-    def confirmed(rows: DataFrame, seed: int, pick) -> DataFrame:
-        part = F.pmod(F.xxhash64("id", F.lit(seed)), F.ceil(F.col("n") / BUCKET))
-        pairs = dealt(rows.withColumn("part", part)).mapInArrow(pick, "a long, b long").distinct()
-        x, y = shingles.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), shingles.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-        return scratch(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_confirm, "a long, b long"), "links")
-
-    links = confirmed(buckets.withColumn("component", F.col("id")), 0, _star_pairs)
-    found = components(links)
-    seed = 1
-    while True:
-        named = buckets.join(found.withColumnRenamed("component", "c"), "id", "left").withColumn("component", F.coalesce("c", "id"))
-        split = named.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-        mixed = named.join(split, ["band", "key"], "left_semi")
-        more = confirmed(mixed, seed, _cross_pairs)
-        if more.isEmpty():
-            break
-        links = links.union(more)
-        found, seed = components(links), seed + 1
-
-    kept = "band int, key long, id long, sig binary, m long, component long"
-    crowd = dealt(mixed.where(F.col("n") <= BUCKET).withColumn("part", F.lit(0))).mapInArrow(_crowded, kept)
-    large = mixed.where(F.col("n") > BUCKET).select("band", "key", "id", "sig", "m", "component")
-    rest = scratch(crowd.union(large), "crowded")
-    if not rest.isEmpty():
-        sizes = rest.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("m").alias("m")).groupBy("band", "key")
-        first = F.struct("n", "component")
-        sizes = sizes.agg(F.max_by("component", first).alias("top"), F.sum("n").alias("n"), F.sum("m").alias("all"), F.max("n").alias("top_n"), F.max_by("m", first).alias("top_m"))
-        blocks = lambda n, m: F.ceil(F.greatest(F.lit(1), n / BLOCK, m / BLOCK_SHINGLES))
-        sizes = sizes.select("band", "key", "top", blocks(F.col("n"), F.col("all")).alias("k"), blocks(F.col("n") - F.col("top_n"), F.col("all") - F.col("top_m")).alias("q"))
-        rows = rest.join(sizes, ["band", "key"]).withColumn("small", F.col("component") != F.col("top"))
-        upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
-        asking = rows.where("small").withColumn("g", upto("k")).withColumn("s", F.pmod(F.xxhash64("id", F.lit(1)), "q")).withColumn("ask", F.lit(True))
-        asked = rows.withColumn("g", F.pmod(F.xxhash64("id", F.lit(2)), "k")).withColumn("s", upto("q")).withColumn("ask", F.lit(False))
-        both = asking.unionByName(asked).withColumn("part", F.col("s") * F.col("k") + F.col("g")).join(shingles.withColumnRenamed("doc_id", "id"), "id")
-        more = scratch(dealt(both, "ask", "small", "shingles").mapInArrow(_block_links, "a long, b long"), "links")
-        if not more.isEmpty():
-            found = components(links.union(more))
-    drop_scratch(rest)
-    drop_scratch(shingles)
+    part = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BUCKET))
+    pairs = dealt(buckets.withColumn("component", F.col("id")).withColumn("part", part)).mapInArrow(_star_pairs, "a long, b long").distinct()
+    x, y = shingles.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), shingles.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
+    found = components(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_confirm, "a long, b long"))
+
+    named = buckets.join(found.withColumnRenamed("component", "c"), "id", "left").withColumn("component", F.coalesce("c", "id"))
+    split = named.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    mixed = scratch(named.join(split, ["band", "key"], "left_semi").select("band", "key", "id", "sig", "m", "component"), "mixed")
     drop_scratch(buckets)
-    named = sets.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(*same, F.coalesce("component", "rep").alias("component_id"))
+    hopeful = scratch(dealt(_blocks(mixed), "ask", "small").mapInArrow(_hopeful, "band int, key long, id long, sig binary, m long, component long").distinct(), "hopeful")
+    drop_scratch(mixed)
+    met = dealt(_blocks(hopeful).join(shingles.withColumnRenamed("doc_id", "id"), "id"), "ask", "small", "shingles")
+    again = components(met.mapInArrow(_block_links, "a long, b long"))
+    drop_scratch(hopeful)
+    drop_scratch(shingles)
+    first = sets.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(*same, F.coalesce("component", "rep").alias("first"))
+    named = first.join(again.withColumnRenamed("id", "first"), "first", "left").select(*same, F.coalesce("component", "first").alias("component_id"))
     out = sigs.select("doc_id", *same).join(named, same, "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
