@@ -76,7 +76,7 @@ def _fit(items: list[tuple[int, int]], bins: int, capacity: int) -> list[tuple[i
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, group_id, shard, slot for each row of ``docs``."""
     spark = docs.sparkSession
-    raw = F.col("text").cast("binary")
+    raw = F.col("text").cast("string").cast("binary")
     sized = scratch(
         docs.select(
             "doc_id",
