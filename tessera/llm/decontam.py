@@ -6,18 +6,21 @@ accumulates the sketch ``A'A W`` of the cells' term matrix A with a random matri
 each task's packed partial sums. Because idf weighting only scales the terms, scaling
 the sketch afterwards gives the sketch of the TF-IDF matrix; with that of the benchmark's
 own passages it spans the latent space (randomised SVD's range finder). A second pass
-projects every window, takes as candidates the items within a cosine whose weight the
-window shares to a part, and confirms each on the text around the window: the longest common subsequence must cover ``COVER`` of the
-item's tokens, or ``COVER_ANSWERED`` of them if the answer is there too: most of the
-``ANSWER`` tokens that close the item.
+projects every window and compares it with the probes of each item: its passages of at
+most two cells, and the item as a whole where one window can hold ``SHARE`` of it. An item
+is a candidate where a window lies within a cosine of a probe and shares a part of the
+probe's weight. Each is confirmed on the text around the window: the longest common
+subsequence must cover ``COVER`` of the whole item's tokens, or ``COVER_ANSWERED`` of them
+if the answer is there too: most of the ``ANSWER`` tokens that close the item.
 
-The benchmark goes to the tasks in chunks of about ``ITEMS`` items, so that the space
-spans a chunk; terms are hashed to at most ``TERMS`` numbers; that bounds what is
-broadcast.
+Probes go in groups of at most ``ITEMS``, each with a space that spans them; a pass over
+the corpus takes up to ``ITEMS`` items and ``GROUPS`` groups (one item that has more is a
+pass of its own). Terms are hashed to at most ``TERMS`` numbers.
 
 Cases: null or empty texts and items have no tokens and match nothing; items under
-``LEAST`` tokens are too short to tell; ties go to the smaller item_id; repeated rows are
-reported each; an empty benchmark gives an empty result.
+``LEAST`` tokens match where a document holds all their tokens in a row, so an item of one
+word is found in every document with that word; ties go to the smaller item_id; repeated
+rows are reported each; an empty benchmark gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,12 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import owner, small_batches, text_slices, word_hashes, words
+from .common import mix64, owner, small_batches, text_slices, word_hashes, words
 
 CELL = 16
 SKETCH, RANK = 32, 256
 TERMS = 1 << 15
 ITEMS = 256
+GROUPS = 8
 COSINE, SHARE = 0.3, 0.3
 SLICE = 1 << 19
 COVER, COVER_ANSWERED = 0.75, 0.5
@@ -139,32 +143,92 @@ def statistics(docs: DataFrame, terms: Terms, seed: int = 3) -> tuple[np.ndarray
     return last[:-1], int(last[-1]), sketch.astype(np.float64)
 
 
+def probes(item: np.ndarray) -> list[np.ndarray]:
+    """What windows are compared with: the item, where one window can hold SHARE of it,
+    and its passages of at most two cells, cut evenly."""
+    passages = np.array_split(item, -(-len(item) // (2 * CELL)))
+    if len(passages) == 1 or SHARE * len(item) > 2 * CELL:
+        return passages
+    return [item, *passages]
+
+
+def grouped(items: list[np.ndarray]) -> list[list[tuple[int, np.ndarray]]]:
+    """(item, probe) of all items in groups of at most ITEMS probes. An item's probes stay
+    together unless they alone are more."""
+    out: list[list[tuple[int, np.ndarray]]] = [[]]
+    for i, h in enumerate(items):
+        own = [(i, p) for p in probes(h)]
+        if len(out[-1]) + len(own) > ITEMS:
+            out += [own[a : a + ITEMS] for a in range(0, len(own), ITEMS)]
+        else:
+            out[-1] += own
+    return [g for g in out if g]
+
+
 class Space:
-    """Projection of tokens and items to the latent space."""
-
-    def __init__(self, items: list[np.ndarray], terms: Terms, df: np.ndarray, n: int, sketch: np.ndarray, seed: int = 5):
-        self.terms = terms
-        idf = np.log((n + 1) / (df[: terms.n] + 1))
-        own = np.zeros((len(items), terms.n))
-        for i, h in enumerate(items):
-            t = terms.of(h)
-            np.add.at(own[i], t[t < terms.n], 1.0)
+    """Projection of tokens and of one group of probes to their latent space."""
+
+    def __init__(self, group: list[tuple[int, np.ndarray]], terms: Terms, df: np.ndarray, n: int, sketch: np.ndarray, seed: int = 5):
+        self.item = [i for i, _ in group]
+        numbers = [terms.of(p) for _, p in group]
+        used = np.unique(np.concatenate(numbers))
+        self.n = len(used)
+        self.local = np.full(terms.n + 1, self.n, np.int32)  # the last number is every other term
+        self.local[used] = np.arange(self.n)
+        idf = np.log((n + 1) / (df[used] + 1))
+        own = np.zeros((len(group), self.n))
+        for i, t in enumerate(numbers):
+            np.add.at(own[i], self.local[t], 1.0)
         counts = own.copy()
         own *= idf
-        y = idf[:, None] * sketch
+        y = idf[:, None] * sketch[used]
         r = np.random.default_rng(seed)
-        z = own.T @ (own @ r.normal(size=(terms.n, min(RANK, len(items)))))
+        z = own.T @ (own @ r.normal(size=(self.n, min(RANK, len(group)))))
         unit = lambda m: m / max(1e-12, np.linalg.norm(m))
         q, _ = np.linalg.qr(np.concatenate([unit(z), unit(y)], axis=1))
-        self.project = np.zeros((terms.n + 1, q.shape[1]), np.float32)
-        self.project[: terms.n] = idf[:, None] * q
-        self.weight = np.append(idf, math.log(n + 1)).astype(np.float32)  # an unknown token counts in a window's length
+        self.project = np.zeros((self.n + 1, q.shape[1]), np.float32)
+        self.project[: self.n] = idf[:, None] * q
         norm = np.linalg.norm(own, axis=1)
         self.norms = norm.astype(np.float32)
-        # no window with less of this can share SHARE of any item
+        # no window with less of this can share SHARE of any probe
         self.bound = np.append(idf**2 * counts.max(axis=0), 0).astype(np.float32)
         self.least = float(SHARE * (norm**2).min()) * 0.999
-        self.items = (own @ q / np.maximum(norm, 1e-12)[:, None]).astype(np.float32)
+        self.probes = (own @ q / np.maximum(norm, 1e-12)[:, None]).astype(np.float32)
+
+
+def in_a_row(h: np.ndarray, length: int) -> np.ndarray:
+    """Hash of the ``length`` tokens from each token on."""
+    n = max(0, len(h) - length + 1)
+    key = h[:n].copy()
+    for k in range(1, length):
+        key = mix64(key) + h[k : n + k]
+    return key
+
+
+class Short:
+    """Exact search for items of fewer than LEAST tokens."""
+
+    def __init__(self, items: list[np.ndarray]):
+        self.keys: dict[int, dict[int, list[int]]] = {}
+        for j, h in enumerate(items):
+            if len(h) < LEAST:
+                self.keys.setdefault(len(h), {}).setdefault(int(in_a_row(h, len(h))[0]), []).append(j)
+
+    def find(self, h: np.ndarray, counts: np.ndarray):
+        """(text, item, first token in the text, token after the last) of the first
+        occurrence of each item in each text."""
+        doc, end = owner(counts), np.cumsum(counts)
+        for length, items in self.keys.items():
+            known = np.array(sorted(items), np.uint64)
+            key = in_a_row(h, length)
+            at = np.flatnonzero(np.isin(key, known))
+            at = at[at + length <= end[doc[at]]]
+            _, first = np.unique(doc[at] * len(known) + np.searchsorted(known, key[at]), return_index=True)
+            for i in at[first].tolist():
+                d = int(doc[i])
+                x = i - int(end[d] - counts[d])
+                for j in items[int(key[i])]:
+                    yield d, j, x, x + length
 
 
 def lcs(item: np.ndarray, region: np.ndarray) -> int:
@@ -192,61 +256,93 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for c in range(chunks):
         rows = benchmark.where(F.pmod(F.xxhash64("item_id"), F.lit(chunks)) == c).select("item_id", "text").orderBy("item_id").collect()
         hashes = text_hashes([r["text"] for r in rows])
-        some = [(r["item_id"], h) for r, h in zip(rows, hashes, strict=True) if len(h) >= LEAST and r["item_id"] is not None]
-        if some:
-            out = out.union(_search(docs, [i for i, _ in some], [h for _, h in some], schema))
+        ids: list[int] = []
+        items: list[np.ndarray] = []
+        n = 0
+        for r, h in zip(rows, hashes, strict=True):
+            if not len(h) or r["item_id"] is None:
+                continue
+            own = len(probes(h)) if len(h) >= LEAST else 0
+            if items and n + own > GROUPS * ITEMS:
+                out = out.union(_search(docs, ids, items, schema))
+                ids, items, n = [], [], 0
+            ids, items, n = [*ids, r["item_id"]], [*items, h], n + own
+        if items:
+            out = out.union(_search(docs, ids, items, schema))
     return out
 
 
-def _search(docs: DataFrame, ids: list[int], items: list[np.ndarray], schema: str) -> DataFrame:
-    terms = Terms(np.concatenate(items))
+def _spaces(docs: DataFrame, items: list[np.ndarray]) -> tuple[Terms, np.ndarray, list[Space]]:
+    """Terms, their weights, and the spaces of all items of LEAST tokens or more."""
+    long = [i for i, h in enumerate(items) if len(h) >= LEAST]
+    terms = Terms(np.concatenate([items[i] for i in long])) if long else Terms(np.zeros(0, np.uint64))
+    if not long:
+        return terms, np.zeros(1, np.float32), []
     df, n, sketch = statistics(docs, terms)
-    space = Space(items, terms, df, n, sketch)
+    weight = np.append(np.log((n + 1) / (df[: terms.n] + 1)), math.log(n + 1)).astype(np.float32)  # an unknown token counts in a window's length
+    groups = [[(long[i], p) for i, p in g] for g in grouped([items[i] for i in long])]
+    return terms, weight, [Space(g, terms, df, n, sketch) for g in groups]
+
+
+def _search(docs: DataFrame, ids: list[int], items: list[np.ndarray], schema: str) -> DataFrame:
+    small_batches(docs.sparkSession)
+    terms, weight, spaces = _spaces(docs, items)
+    short = Short(items)
     answers = [np.unique(h[-ANSWER:]) for h in items]
 
+    def candidates(h, counts, best):
+        t = terms.of(h)
+        cell, docs_of, starts = cells(counts, len(h))
+        first = np.cumsum(counts) - counts
+        pair = np.zeros(len(docs_of), bool)
+        pair[:-1] = docs_of[1:] == docs_of[:-1]
+        tried: set[tuple[int, int, int, int]] = set()
+
+        def windows(x):  # a cell and the next of its text
+            x[:-1] += np.where(pair[:-1].reshape(-1, *[1] * (x.ndim - 1)), x[1:], 0)
+            return x
+
+        for space in spaces:
+            own_t = space.local[t]
+            can = windows(np.add.reduceat(space.bound[own_t], starts)) >= space.least
+            if not can.any():
+                continue
+            needed = can.copy()
+            needed[1:] |= can[:-1]
+            known_t = np.flatnonzero((own_t < space.n) & needed[cell])
+            v = cell_sums(space.project, own_t[known_t], cell[known_t], len(docs_of))
+            v, w2 = windows(v), windows(np.add.reduceat(weight[t] ** 2, starts))
+            hope = np.flatnonzero(can)
+            v, w2, doc, start = v[hope], w2[hope], docs_of[hope], starts[hope]
+            probes_t = np.ascontiguousarray(space.probes.T)
+            for a in range(0, len(v), 8192):
+                dot = v[a : a + 8192] @ probes_t
+                cos = dot / np.sqrt(np.maximum(w2[a : a + 8192], 1e-12))[:, None]
+                for i, k in zip(*np.nonzero((cos >= COSINE) & (dot >= SHARE * space.norms)), strict=True):
+                    d, j = int(doc[a + i]), space.item[k]
+                    item = items[j]
+                    x, y = max(int(first[d]), int(start[a + i]) - len(item)), min(int(first[d] + counts[d]), int(start[a + i]) + 2 * CELL + len(item))
+                    known = best.get((d, j))
+                    if known and known[1] >= 1.0 or (d, j, x, y) in tried:
+                        continue
+                    tried.add((d, j, x, y))
+                    region = h[x:y]
+                    cover = lcs(item, region) / len(item)
+                    if cover < COVER and (cover < COVER_ANSWERED or np.isin(answers[j], region).mean() < ANSWERED):
+                        continue
+                    if known is None or cover > known[1]:
+                        best[d, j] = (float(cos[i, k]), cover, x - int(first[d]), y - int(first[d]))
+
     def run(batches):
-        items_t = np.ascontiguousarray(space.items.T)
         for b in batches:
             for lo, hi, buf, off in text_slices(b, 1, SLICE):
                 s, e, counts = words(buf, off)
                 best: dict[tuple[int, int], tuple[float, float, int, int]] = {}
                 if len(s):
                     h = word_hashes(buf, s, e)
-                    t = terms.of(h)
-                    cell, doc, start = cells(counts, len(h))
-                    pair = np.zeros(len(doc), bool)
-                    pair[:-1] = doc[1:] == doc[:-1]
-
-                    def windows(x):  # a cell and the next of its text
-                        x[:-1] += np.where(pair[:-1].reshape(-1, *[1] * (x.ndim - 1)), x[1:], 0)
-                        return x
-
-                    can = windows(np.add.reduceat(space.bound[t], start)) >= space.least
-                    if not can.any():
-                        continue
-                    needed = can.copy()
-                    needed[1:] |= can[:-1]
-                    known_t = np.flatnonzero((t < terms.n) & needed[cell])
-                    v = cell_sums(space.project, t[known_t], cell[known_t], len(doc))
-                    v, w2 = windows(v), windows(np.add.reduceat(space.weight[t] ** 2, start))
-                    hope = np.flatnonzero(can)
-                    v, w2, doc, start = v[hope], w2[hope], doc[hope], start[hope]
-                    first = np.cumsum(counts) - counts
-                    for a in range(0, len(v), 8192):
-                        dot = v[a : a + 8192] @ items_t
-                        cos = dot / np.sqrt(np.maximum(w2[a : a + 8192], 1e-12))[:, None]
-                        for i, j in zip(*np.nonzero((cos >= COSINE) & (dot >= SHARE * space.norms)), strict=True):
-                            d, item = int(doc[a + i]), items[j]
-                            x, y = max(int(first[d]), int(start[a + i]) - len(item)), min(int(first[d] + counts[d]), int(start[a + i]) + 2 * CELL + len(item))
-                            known = best.get((d, int(j)))
-                            if known and known[1] >= 1.0:
-                                continue
-                            region = h[x:y]
-                            cover = lcs(item, region) / len(item)
-                            if cover < COVER and (cover < COVER_ANSWERED or np.isin(answers[j], region).mean() < ANSWERED):
-                                continue
-                            if known is None or cover > known[1]:
-                                best[d, int(j)] = (float(cos[i, j]), cover, x - int(first[d]), y - int(first[d]))
+                    for d, j, x, y in short.find(h, counts):
+                        best[d, j] = (1.0, 1.0, x, y)
+                    candidates(h, counts, best)
                 found = sorted(best.items())
                 doc_ids = b.column(0).slice(lo, hi - lo).to_pylist()
                 yield pa.RecordBatch.from_arrays(

@@ -223,6 +223,32 @@ def test_decontamination(spark, messy, nothing):
     assert decontam.leaks(nothing, bench).count() == 0 and decontam.leaks(messy, bench.limit(0)).count() == 0
 
 
+def test_leaks_of_short_and_long_items_equal_brute_force(spark):
+    r = np.random.default_rng(8)
+    noise = lambda n: [f"n{k}" for k in r.integers(0, 3000, n)]
+    items = {n: [f"w{n}x{k}" for k in range(n)] for n in (1, 5, 7, 33, 60, 110, 150, 500)}
+    items[9000] = [f"z{k}" for k in r.integers(0, 6000, 9000)]  # more passages than a group
+    rows = []
+    for w in items.values():
+        edited = [x for k, x in enumerate(w) if k % 9 or len(w) < 8]
+        for part in (w, edited, w[: len(w) * 6 // 10], w[len(w) * 4 // 10 :], w[: max(1, len(w) // 3)], w[::-1]):
+            rows.append((len(rows), " ".join(noise(37) + part + noise(21))))
+    rows += [(len(rows), " ".join(items[5][:3] + ["x"] + items[5][3:])), (len(rows) + 1, " ".join(items[5]).upper()), (len(rows) + 2, " ".join(items[5][:4])), (len(rows) + 3, items[5][4])]
+
+    def leaked(item, text):
+        if len(item) < decontam.LEAST:
+            return any(text[k : k + len(item)] == item for k in range(len(text)))
+        own = {x: k for k, x in enumerate([*item, *text])}
+        cover = decontam.lcs(np.array([own[x] for x in item]), np.array([own[x] for x in text])) / len(item)
+        return cover >= 0.75 or cover >= 0.5 and np.isin(np.unique(item[-5:]), text).mean() >= 0.6
+
+    want = {(i, n) for i, t in rows for n, w in items.items() if leaked([x.lower() for x in w], t.lower().split())}
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    found = decontam.leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert {(x.doc_id, x.item_id) for x in found} == want and len(found) == len(want)
+    assert {n for _, n in want} == set(items)
+
+
 def test_lcs():
     a, b = np.array([1, 2, 3, 4, 5, 3]), np.array([9, 1, 3, 2, 4, 3])
     assert decontam.lcs(a, b) == 4
