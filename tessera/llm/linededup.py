@@ -1,13 +1,21 @@
 """Substring dedup by hashing the parts of lines.
 
-A line (up to ``\\n``) is cut after sentence ends (``.``, ``!``, ``?`` before white
-space) into units of at least ``min_words`` words; what is left at a line's end joins its
-last unit, and a line with fewer words has none. A passage that starts amid a line thus
-falls into step with its other copies after one sentence. Units are normalised by
-lower-casing A-Z and joining their words ``[^\\x20\\x09-\\x0D]+`` with single spaces.
-Over the whole corpus the occurrence of a unit in the smallest doc_id (then the smallest
-unit index) is kept and all others are removed. Offsets are code points of the original
-text.
+A text is cut into pieces at line ends (``\\n``) and sentence ends (``.``, ``!``, ``?``
+before white space), whatever comes before; a sentence of over ``LONG`` words also at the
+word pairs with the least hash among ``WINDOW`` pairs in a row, so that copies amid other
+words are cut alike. Units are the pieces of at least ``MIN_WORDS`` words; for each shorter
+piece the shortest runs of consecutive pieces, across lines, that begin and that end with
+it and reach ``MIN_WORDS`` words; and whole lines of ``LINE_WORDS`` words or more. Units
+thus overlap, and any repeated run of pieces that holds ``MIN_WORDS`` words is covered by
+units. Units are normalised by lower-casing A-Z and joining their words
+``[^\\x20\\x09-\\x0D]+`` with single spaces. Over the whole corpus the occurrence of a unit
+in the smallest doc_id (then the smallest unit index, which is by start and end) is kept
+and all others are removed: of every word removed, an earlier copy stays. Offsets are code
+points of the original text.
+
+A caller that names ``min_words`` gets units that do not overlap: each line cut after
+sentence ends into units of at least so many words, greedily from its start; what is left
+at a line's end joins its last unit, and a line with fewer words has none.
 
 Cases: null and empty texts have no units; a unit repeated within one document is removed
 after its first occurrence; a very frequent unit is one digest whose minimum is found by
@@ -19,7 +27,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,13 +37,65 @@ from pyspark.sql import functions as F
 from .common import scratch, small_batches
 
 MIN_WORDS = 8
+LINE_WORDS = 5
+LONG, WINDOW = 32, 8
+DIGEST = 12
 _SPACE = " \t\x0b\x0c\r"
 _END = re.compile(r"[.!?](?=[ \t\x0b\x0c\r])")
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def units_of(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, bytes]]:
+def long_pieces(start: int, text: str, words: list[bytes]) -> list[tuple[int, int, list[bytes]]]:
+    """(start, end, words) of the pieces of a sentence of over LONG words."""
+    pairs = np.array([zlib.crc32(b" ".join(words[k : k + 2])) for k in range(len(words) - 1)])
+    least = np.lib.stride_tricks.sliding_window_view(pairs, WINDOW).argmin(axis=1)
+    cuts = [0, *(np.unique(least + np.arange(len(least))) + 1).tolist(), len(words)]
+    spans = [m.span() for m in _WORD.finditer(text)]
+    return [(start + spans[a][0], start + spans[b - 1][1], words[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+
+def rolling_units(text: str) -> list[tuple[int, int, int, bytes]]:
     """(index, start, end, digest) of the units of a text."""
+    pieces: list[tuple[int, int, list[bytes]]] = []
+    found: dict[tuple[int, int], list[bytes]] = {}
+    base = 0
+    for line in text.split("\n"):
+        at, before = 0, len(pieces)
+        for end in [*(m.end() for m in _END.finditer(line)), len(line)]:
+            part = line[at:end]
+            words = part.encode("utf-8", "surrogatepass").translate(_LOWER).split()
+            if len(words) > LONG:
+                pieces += long_pieces(base + at, part, words)
+            elif words:
+                pieces.append((base + end - len(part.lstrip(_SPACE)), base + at + len(part.rstrip(_SPACE)), words))
+            at = end
+        if len(pieces) > before:
+            whole = [w for p in pieces[before : before + MIN_WORDS] for w in p[2]]
+            if LINE_WORDS <= len(whole) < MIN_WORDS:
+                found[pieces[before][0], pieces[-1][1]] = whole
+        base += len(line) + 1
+    for i, (s, e, words) in enumerate(pieces):
+        if len(words) >= MIN_WORDS:
+            found[s, e] = words
+            continue
+        j, run = i, words
+        while len(run) < MIN_WORDS and j + 1 < len(pieces):
+            j += 1
+            run = run + pieces[j][2]
+        if len(run) >= MIN_WORDS:
+            found[s, pieces[j][1]] = run
+        j, run = i, words
+        while len(run) < MIN_WORDS and j > 0:
+            j -= 1
+            run = pieces[j][2] + run
+        if len(run) >= MIN_WORDS:
+            found[pieces[j][0], e] = run
+    return [(k, s, e, hashlib.blake2b(b" ".join(w), digest_size=DIGEST).digest()) for k, ((s, e), w) in enumerate(sorted(found.items(), key=lambda x: x[0]))]
+
+
+def units_of(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, bytes]]:
+    """The same of the units that do not overlap, of at least ``min_words`` words."""
     out: list[tuple[int, int, int, bytes]] = []
     base = 0
     for line in text.split("\n"):
@@ -53,12 +115,12 @@ def units_of(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, int,
             for s, e, w in found:
                 s += len(line[s:e]) - len(line[s:e].lstrip(_SPACE))
                 e -= len(line[s:e]) - len(line[s:e].rstrip(_SPACE))
-                out.append((len(out), base + s, base + e, hashlib.blake2b(b" ".join(w), digest_size=16).digest()))
+                out.append((len(out), base + s, base + e, hashlib.blake2b(b" ".join(w), digest_size=DIGEST).digest()))
         base += len(line) + 1
     return out
 
 
-def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def units(docs: DataFrame, min_words: int | None = None) -> DataFrame:
     """doc_id, unit, start, end, digest of every unit of ``docs``."""
     small_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("unit", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("digest", pa.binary())])
@@ -67,7 +129,7 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         for b in batches:
             rows: tuple[list, ...] = ([], [], [], [], [])
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for row in units_of(text or "", min_words):
+                for row in rolling_units(text or "") if min_words is None else units_of(text or "", min_words):
                     for c, v in zip(rows, (doc_id, *row), strict=True):
                         c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema=schema)
@@ -75,7 +137,7 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, unit int, start long, end long, digest binary")
 
 
-def duplicates(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def duplicates(docs: DataFrame, min_words: int | None = None) -> DataFrame:
     """The occurrences to remove: doc_id, unit, start, end, kept_doc_id, kept_unit."""
     every = scratch(units(docs, min_words), "units")
     first = every.groupBy("digest").agg(F.min(F.struct("doc_id", "unit")).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -84,15 +146,15 @@ def duplicates(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return again.select("doc_id", "unit", "start", "end", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.unit").alias("kept_unit"))
 
 
-def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def deduplicate(docs: DataFrame, min_words: int | None = None) -> DataFrame:
     """``docs`` with ``removed``, the (unit, start, end) that went, and ``clean_text``,
-    what lies between them."""
+    what lies outside of them."""
     gone = duplicates(docs, min_words).groupBy(F.col("doc_id").alias("gone_id")).agg(F.sort_array(F.collect_list(F.struct("unit", "start", "end"))).alias("removed"))
     joined = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left").drop("gone_id")
     kept = F.aggregate(
         "removed",
         F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
-        lambda acc, r: F.struct(F.concat(acc["out"], F.substring("text", (acc["at"] + 1).cast("int"), (r["start"] - acc["at"]).cast("int"))).alias("out"), r["end"].alias("at")),
+        lambda acc, r: F.struct(F.concat(acc["out"], F.substring("text", (acc["at"] + 1).cast("int"), F.greatest(r["start"] - acc["at"], F.lit(0)).cast("int"))).alias("out"), F.greatest(acc["at"], r["end"]).alias("at")),
         lambda acc: F.concat(acc["out"], F.substring("text", (acc["at"] + 1).cast("int"), F.length("text"))),
     )
     return joined.withColumn("clean_text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept))

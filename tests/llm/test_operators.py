@@ -208,6 +208,48 @@ def test_passage_amid_a_line(spark):
     assert sum(len(rows[1][1][r.start : r.end].split()) for r in gone) >= 40
 
 
+def covered(rows, texts):
+    """(doc_id, first code point) of each word that the rows remove."""
+    return {(r.doc_id, m.start()) for r in rows for m in re.finditer(r"\S+", texts[r.doc_id]) if r.start <= m.start() and m.end() <= r.end}
+
+
+def test_line_dedup_rolling_equals_brute_force(spark):
+    r = np.random.default_rng(6)
+    known = [" ".join(f"s{k}w{i}" for i in range(n)) + "." for k, n in enumerate((1, 2, 3, 4, 5, 6, 7, 8, 12, 5, 3, 2))]
+    texts = {d: "".join(known[k] + (" ", "\n")[int(r.integers(0, 2))] for k in r.integers(0, len(known), 14)) for d in range(60)}
+    first, where = {}, []
+    for d, t in texts.items():
+        ws = [(m.start(), m[0]) for m in re.finditer(r"\S+", t)]
+        ends = [0, *(k + 1 for k, (_, w) in enumerate(ws) if w.endswith("."))]
+        lines = {m.start(): len(m[0].split()) for m in re.finditer(r"[^\n]+", t)}
+        for i, a in enumerate(ends):
+            for b in ends[i + 1 : i + 9]:
+                if b - a >= 8 or b - a >= 5 and lines.get(ws[a][0]) == b - a:
+                    key = tuple(w for _, w in ws[a:b])
+                    first.setdefault(key, (d, a))
+                    where.append((key, d, a, [s for s, _ in ws[a:b]]))
+    want = {(d, s) for key, d, a, spots in where if first[key] != (d, a) for s in spots}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert covered(linededup.duplicates(df).collect(), texts) == want and want
+    for x in linededup.deduplicate(df).collect():
+        keep = [m[0] for m in re.finditer(r"\S+", texts[x.doc_id]) if (x.doc_id, m.start()) not in want]
+        assert x.clean_text.split() == keep
+
+
+@pytest.mark.parametrize("passage, lines, at_least", [
+    ("\n".join(" ".join(f"a{i}b{k}" for k in range(7)) for i in range(10)), True, 70),
+    (" ".join(" ".join(f"c{i}d{k}" for k in range(5)) + "." for i in range(12)), False, 60),
+    (" ".join(f"e{k}" for k in range(60)), False, 60 - 2 * linededup.WINDOW),
+    ("five words in a line", True, 5),
+])
+def test_passages_of_short_parts(spark, passage, lines, at_least):
+    gap = "\n" if lines else " "
+    texts = {1: "Some lead in before it." + gap + passage + gap + "then a tail", 2: "Another way to begin here. No. Two words!" + gap + passage + gap + "and so on it goes"}
+    gone = covered(linededup.duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect(), texts)
+    a = texts[2].index(passage)
+    assert len(gone) >= at_least and all(d == 2 and a <= s < a + len(passage) for d, s in gone)
+
+
 # ------------------------------------------------------------------ 4
 def test_decontamination(spark, messy, nothing):
     r = np.random.default_rng(2)
