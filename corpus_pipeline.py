@@ -41,7 +41,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     taken = mixing.mix(docs.select("doc_id", "text", "source")).groupBy("doc_id").agg(F.max("copies").alias("_copies")).where("_copies > 0")
-    both = docs.join(taken, "doc_id", "inner")
+    both = docs.join(taken.withColumnRenamed("doc_id", "_taken_id"), F.col("doc_id").eqNullSafe(F.col("_taken_id")), "inner")
     return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 

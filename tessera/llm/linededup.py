@@ -20,7 +20,8 @@ at a line's end joins its last unit, and a line with fewer words has none.
 Cases: null and empty texts have no units; a unit repeated within one document is removed
 after its first occurrence; a very frequent unit is one digest whose minimum is found by
 partial aggregation, so no task gathers its occurrences; rows with one doc_id are one
-document, so a repeated row is no copy of itself.
+document, so a repeated row is no copy of itself; a null doc_id comes after all others, and
+``deduplicate`` leaves its texts whole, as the rows cannot be told apart.
 """
 
 from __future__ import annotations
@@ -140,9 +141,9 @@ def units(docs: DataFrame, min_words: int | None = None) -> DataFrame:
 def duplicates(docs: DataFrame, min_words: int | None = None) -> DataFrame:
     """The occurrences to remove: doc_id, unit, start, end, kept_doc_id, kept_unit."""
     every = scratch(units(docs, min_words), "units")
-    first = every.groupBy("digest").agg(F.min(F.struct("doc_id", "unit")).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = every.groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "unit")).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
     hit = every.join(first.select(F.col("digest").alias("k"), "kept"), F.col("digest") == F.col("k"), "inner")
-    again = hit.where((F.col("doc_id") != F.col("kept.doc_id")) | (F.col("unit") != F.col("kept.unit")))
+    again = hit.where(~F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) | (F.col("unit") != F.col("kept.unit")))
     return again.select("doc_id", "unit", "start", "end", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.unit").alias("kept_unit"))
 
 

@@ -321,8 +321,10 @@ def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, weights: list[n
                 known = np.where(hit, vocab.log_count[at], 0.0) if len(vocab.h) else np.zeros(len(h))
                 doc = np.repeat(np.arange(hi - lo), per)
                 tail = ~hit
+                unknown = b.column(0).slice(lo, hi - lo).is_null().to_numpy(zero_copy_only=False).astype(np.int8)
+                held_out = b.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False).astype(np.int8)
                 held.append((
-                    b.column(0).slice(lo, hi - lo).to_numpy(zero_copy_only=False).astype(np.int64), b.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False).astype(np.int8), per.astype(np.int64),
+                    b.column(0).slice(lo, hi - lo).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), held_out + 2 * unknown, per.astype(np.int64),
                     np.bincount(doc, hit, hi - lo), np.bincount(doc, known, hi - lo), np.bincount(doc, lp + known, hi - lo), h[tail], doc[tail].astype(np.int64),
                 ))
                 n_tok, n_doc = n_tok + len(h), n_doc + hi - lo
@@ -359,7 +361,7 @@ def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, weights: list[n
             lp[d] += s
             known[d] += k
         base -= n * math.log10(vocab.total + ALPHA * (vocab.distinct + 1))
-        return pa.table({"doc_id": ids, "held_out": held.astype(bool), "n_tokens": n, "n_known": known.astype(np.int64), "train_tokens": np.full(len(ids), vocab.total, np.int64), "base_score": base, "score": lp})
+        return pa.table({"doc_id": pa.array(ids, mask=held >= 2), "held_out": (held % 2).astype(bool), "n_tokens": n, "n_known": known.astype(np.int64), "train_tokens": np.full(len(ids), vocab.total, np.int64), "base_score": base, "score": lp})
 
     asked = scratch(docs.select("doc_id", "held_out", "text").mapInArrow(blocks, _DOC), "asked")
     blank = F.lit(None).cast("binary")
@@ -383,7 +385,7 @@ def fit(train: DataFrame, buckets: int) -> tuple[DataFrame, Vocabulary, list[np.
 
 def score_corpus(docs: DataFrame, held_out) -> DataFrame:
     """Fit on the rows that ``held_out`` leaves, score all rows of ``docs``."""
-    docs = docs.select("doc_id", held_out.alias("held_out"), "text")
+    docs = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
     buckets = max(48, tasks(docs.sparkSession))
     counts, vocab, weights = fit(docs.where(~F.col("held_out")).select("doc_id", "text"), buckets)
     return score(docs, counts, vocab, weights, buckets)

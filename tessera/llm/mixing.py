@@ -10,7 +10,7 @@ no running sum over all rows.
 
 Cases: a null text has size 0; null is a source of its own, after all others; an empty
 table gives an empty result; repeated rows are separate documents ordered by id and text;
-other columns are kept out of the way by selecting only what is needed.
+a null doc_id comes after all others of its source; other columns are kept out of the way by selecting only what is needed.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ ROWS_PER_CHUNK = 4_000
 def sizes(docs: DataFrame) -> DataFrame:
     """doc_id, source, size (words) and shuffle key ``mix_key``."""
     size = F.coalesce(F.regexp_count("text", F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
-    return docs.select("doc_id", "source", size.alias("size"), F.md5(F.col("doc_id").cast("string")).alias("mix_key"))
+    return docs.select("doc_id", "source", size.alias("size"), F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit("f" * 32 + "~")).alias("mix_key"))
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, budget: float = 1.0) -> DataFrame:

@@ -480,3 +480,16 @@ def test_tokenizer():
     h = word_hashes(buf, s, e)
     assert len(set(h.tolist())) == len(h) and (word_hashes(np.frombuffer(b"  A", np.uint8), np.array([2]), np.array([3])) == h[0]).all()
     assert FOX.islower()
+
+
+def test_null_doc_ids(spark):
+    rows = [(None, FOX, "a"), (1, FOX, "a"), (2, "some other words", "a"), (None, "one two three", "b"), (None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    gone = linededup.duplicates(df).collect()
+    assert [(r.doc_id, r.unit, r.kept_doc_id) for r in gone] == [(None, 0, 1)]
+    assert linededup.deduplicate(df).count() == len(rows)
+    out = mixing.mix(df).collect()
+    assert sorted((r.doc_id or 0, r["size"]) for r in out) == sorted((i or 0, len(words_of(t))) for i, t, _ in rows)
+    scored = lm.score_corpus(df, held()).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in scored) == sorted((i or 0, len(words_of(t)) + 1) for i, t, _ in rows)
+    assert sum(r.doc_id is None for r in scored) == 3 and not any(r.held_out for r in scored if r.doc_id is None)

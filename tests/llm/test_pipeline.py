@@ -34,6 +34,11 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert langid.SAMPLE_DOCS > 0
 
 
+def test_null_doc_id_is_mixed(spark):
+    docs = spark.createDataFrame([(None, "one two", "a"), (1, "three four", "a"), (2, "five", "a")], "doc_id long, text string, source string")
+    assert {r.doc_id for r in corpus_pipeline.mixed(spark, docs, "").collect()} == {None, 1, 2}
+
+
 def test_empty(spark, tmp_path):
     d = "/root/testdata/sf0.001"
     shutil.copy(f"{d}/benchmark.parquet", tmp_path)
