@@ -58,8 +58,9 @@ def within_budget(log: DataFrame, cap: int) -> DataFrame:
     return log.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).withColumn("attempt", F.row_number().over(w)).where(F.col("attempt") <= cap)
 
 
-def allocate_ids(new: DataFrame, taken: DataFrame, prefix: str, upto: int) -> DataFrame:
+def allocate_ids(new: DataFrame, taken: DataFrame, prefix: str) -> DataFrame:
     """``new`` (key) gets the free numbers of ``prefix%04d`` in key order. ``taken`` (id)."""
+    upto = new.count() + taken.count()  # so many numbers leave one for each new row
     free = new.sparkSession.range(1, upto + 1).select(F.format_string(prefix + "%04d", "id").alias("new_id"), F.col("id").alias("num")).join(taken.select(F.col("id").alias("new_id")), "new_id", "left_anti")
     free = free.withColumn("rk", F.row_number().over(Window.orderBy("num")))
     return new.withColumn("rk", F.row_number().over(Window.orderBy("key"))).join(free, "rk").select("key", "new_id")

@@ -369,7 +369,7 @@ def ratings_latest(spark, d):
 SELECT item_id AS key, new_id FROM (SELECT item_id, row_number() OVER (ORDER BY item_id) AS rk FROM benchmark WHERE item_id < 20) JOIN free USING (rk)""")
 def id_allocation(spark, d):
     taken = spark.range(1, 61).where("id % 3 = 0").select(F.format_string("seed-qa-bs-%04d", "id").alias("id"))
-    return W.allocate_ids(table(spark, d, "benchmark").where("item_id < 20").select(F.col("item_id").alias("key")), taken, "seed-qa-bs-", 60)
+    return W.allocate_ids(table(spark, d, "benchmark").where("item_id < 20").select(F.col("item_id").alias("key")), taken, "seed-qa-bs-")
 
 
 @query("SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents) WHERE rn <= 2")

@@ -228,3 +228,9 @@ def test_entry_and_registry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_ids_go_on_past_the_taken_ones(spark):
+    taken = spark.createDataFrame([(f"s-{i:04d}",) for i in (1, 3, 500)], "id string")
+    got = {r.key: r.new_id for r in W.allocate_ids(spark.range(90).select(F.col("id").alias("key")), taken, "s-").collect()}
+    assert got == dict(enumerate(f"s-{i:04d}" for i in (2, *range(4, 93))))
