@@ -20,8 +20,11 @@ LEAST_SCORE = 0.4
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose language is told with some confidence."""
+    """Keep documents whose language is told with some confidence; without a lang to
+    learn from, those that hold a letter."""
     labels, weights = langid.train(langid.sample(docs.where("lang IS NOT NULL").select("doc_id", "text", "lang")))
+    if not labels:
+        return docs.where(F.col("text").rlike("\\p{L}"))
     told = langid.predict(docs, labels, weights, docs.columns, ("_pred", "_score"))
     return told.where((F.col("_pred") != "und") & (F.col("_score") >= LEAST_SCORE)).select(*docs.columns)
 

@@ -39,6 +39,12 @@ def test_null_doc_id_is_mixed(spark):
     assert {r.doc_id for r in corpus_pipeline.mixed(spark, docs, "").collect()} == {None, 1, 2}
 
 
+def test_without_languages(spark):
+    rows = [(1, "clean words", None), (2, "12 34 !!", None), (3, None, None), (4, "élan", None), (5, "हिन्दी", None), (6, "", None)]
+    out = corpus_pipeline.identified(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), "")
+    assert {r.doc_id for r in out.collect()} == {1, 4, 5} and out.columns == ["doc_id", "text", "lang"]
+
+
 def test_empty(spark, tmp_path):
     d = "/root/testdata/sf0.001"
     shutil.copy(f"{d}/benchmark.parquet", tmp_path)
