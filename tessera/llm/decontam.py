@@ -1,26 +1,36 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Terms are the benchmark's own tokens (hashed); passages are windows of two cells of
-``CELL`` tokens. One pass over the corpus counts in how many cells each term occurs and
-accumulates the sketch ``A'A W`` of the cells' term matrix A with a random matrix W, from
-each task's packed partial sums. Because idf weighting only scales the terms, scaling
-the sketch afterwards gives the sketch of the TF-IDF matrix; with that of the benchmark's
-own passages it spans the latent space (randomised SVD's range finder). A second pass
-projects every window and compares it with the probes of each item: its passages of at
-most two cells, and the item as a whole where one window can hold ``SHARE`` of it. An item
-is a candidate where a window lies within a cosine of a probe and shares a part of the
-probe's weight. Each is confirmed on the text around the window: the longest common
-subsequence must cover ``COVER`` of the whole item's tokens, or ``COVER_ANSWERED`` of them
-if the answer is there too: most of the ``ANSWER`` tokens that close the item.
-
-Probes go in groups of at most ``ITEMS``, each with a space that spans them; a pass over
-the corpus takes up to ``ITEMS`` items and ``GROUPS`` groups (one item that has more is a
-pass of its own). Terms are hashed to at most ``TERMS`` numbers.
-
-Cases: null or empty texts and items have no tokens and match nothing; items under
-``LEAST`` tokens match where a document holds all their tokens in a row, so an item of one
-word is found in every document with that word; ties go to the smaller item_id; repeated
-rows are reported each; an empty benchmark gives an empty result.
+Passages are cells of ``CELL`` tokens, terms are tokens hashed to ``TERMS`` numbers, of the
+whole vocabulary. The latent space is a randomised SVD of the corpus' TF-IDF passages A,
+together with a sketch of the benchmark's own passages, as rare words of a benchmark are in
+no leading singular vector of a corpus:
+
+1. A pass over the corpus counts the cells that hold each term and sums ``A'A W`` for a
+   random matrix W of ``SKETCH`` columns (a range finder with one power iteration). Idf only
+   scales the terms, so it is applied afterwards.
+2. ``ITEM_SKETCH`` random combinations of the benchmark's passages join that range, and an
+   orthonormal basis Q of both is taken. A second pass sums the Gram matrix of ``A Q``; its
+   eigenvectors and values are A's singular vectors and squared singular values within Q.
+   Directions are scaled down by the root of their spread over the corpus, so that what
+   all texts share weighs little.
+3. A third pass projects every window of two cells and compares it with the probes of each
+   item: its passages of at most two cells, and the item as a whole where one window can
+   hold ``SHARE`` of it. Windows within the cosine ``COSINE`` of a probe are candidates, and
+   those within ``RELATED`` by the corpus' leading singular vectors alone, which bring
+   related words together, as in paraphrases. The exact checks follow: a window must hold ``SHARE`` of the probe's tokens,
+   and in the text around it the longest common subsequence must cover ``COVER`` of the
+   whole item's tokens, or ``COVER_ANSWERED`` of them if the answer is there too: most of
+   the ``ANSWER`` tokens that close the item.
+
+The space has ``SKETCH`` dimensions of the corpus and at most ``ITEM_SKETCH`` of the
+benchmark, half as many as it has passages, so what it retrieves differs from plain TF-IDF.
+Pass 1 is taken once; passes 2 and 3 once for each ``ITEMS`` items.
+
+Cases: null or empty texts and items have no tokens and match nothing; a null item_id is
+left out; items under ``LEAST`` tokens match where a document holds all their tokens in a
+row, so an item of one word is found in every document with that word; ties go to the
+smaller item_id; repeated rows are reported each; a null doc_id is reported as null; an
+empty benchmark gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,29 +45,23 @@ from pyspark.sql import functions as F
 from .common import mix64, owner, small_batches, text_slices, word_hashes, words
 
 CELL = 16
-SKETCH, RANK = 32, 256
-TERMS = 1 << 15
-ITEMS = 256
-GROUPS = 8
-COSINE, SHARE = 0.3, 0.3
+SKETCH, ITEM_SKETCH = 32, 96
+LEADING = slice(SKETCH // 2, SKETCH)  # the best half of what the sketch spans
+TERM_BITS = 15
+TERMS = 1 << TERM_BITS
+ITEMS = 4096
+COSINE, RELATED, SHARE = 0.4, 0.95, 0.3
+DAMP, RIDGE = 0.25, 0.3
+BITMAP = 2048
 SLICE = 1 << 19
 COVER, COVER_ANSWERED = 0.75, 0.5
 ANSWER, ANSWERED = 5, 0.6
 LEAST = 8
 
 
-class Terms:
-    """Numbers of the benchmark's tokens; the last number is every other token."""
-
-    def __init__(self, hashes: np.ndarray):
-        self.h = np.unique(hashes)
-        self.n = min(TERMS, len(self.h))
-
-    def of(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.h):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.h, hashes), len(self.h) - 1)
-        return np.where(self.h[at] == hashes, at % self.n, self.n)
+def terms(hashes: np.ndarray) -> np.ndarray:
+    """Term numbers of tokens."""
+    return (hashes >> np.uint64(64 - TERM_BITS)).astype(np.int64)
 
 
 def text_hashes(texts: list[str]) -> list[np.ndarray]:
@@ -78,14 +82,14 @@ def cells(counts: np.ndarray, n_tokens: int) -> tuple[np.ndarray, np.ndarray, np
     return np.repeat(np.arange(len(start)), np.diff(np.append(start, n_tokens))), doc, start
 
 
-def cell_sums(matrix: np.ndarray, t: np.ndarray, cell: np.ndarray, n_cells: int) -> np.ndarray:
-    """Sum of ``matrix``'s rows ``t`` over each cell (at most CELL tokens, in order):
+def cell_sums(matrix: np.ndarray, t: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Sum of ``matrix``'s rows ``t`` over each cell (at most CELL tokens from ``start`` on):
     the k-th tokens of all cells at once."""
-    counts = np.bincount(cell, minlength=n_cells)
-    order = np.argsort(-counts, kind="stable")
-    size, first = counts[order], (np.cumsum(counts) - counts)[order]
-    sums = np.zeros((n_cells, matrix.shape[1]), np.float32)
-    for k in range(int(size[0]) if n_cells else 0):
+    size = np.diff(np.append(start, len(t)))
+    order = np.argsort(-size, kind="stable")
+    size, first = size[order], start[order]
+    sums = np.zeros((len(start), matrix.shape[1]), np.float32)
+    for k in range(int(size[0]) if len(start) else 0):
         live = int(np.searchsorted(-size, -k))
         sums[:live] += matrix[t[first[:live] + k]]
     out = np.empty_like(sums)
@@ -93,56 +97,80 @@ def cell_sums(matrix: np.ndarray, t: np.ndarray, cell: np.ndarray, n_cells: int)
     return out
 
 
-def statistics(docs: DataFrame, terms: Terms, seed: int = 3) -> tuple[np.ndarray, int, np.ndarray]:
-    """Cells that hold each term, number of cells, and the sketch (terms, SKETCH)."""
+# --------------------------------------------------------------------- passes over the corpus
+def _summed(docs: DataFrame, add, shapes: list[tuple[int, ...]], parts: int = 16) -> list[np.ndarray]:
+    """Sums over the corpus of what ``add(totals, h, counts)`` adds to float64 arrays of
+    ``shapes``, from packed partial sums of the tasks, merged in two steps."""
     small_batches(docs.sparkSession)
-    parts = 16
-    width = terms.n
+    sizes = [math.prod(s) for s in shapes]
 
     def local(batches):
-        w = np.random.default_rng(seed).normal(size=(width + 1, SKETCH)).astype(np.float32)
-        w[width] = 0
-        df, sketch, n = np.zeros(width + 1, np.int64), np.zeros((width, SKETCH)), 0
+        totals = [np.zeros(s) for s in shapes]
         for b in batches:
             for _, _, buf, off in text_slices(b, 0, SLICE):
                 s, e, counts = words(buf, off)
-                if not len(s):
-                    continue
-                t = terms.of(word_hashes(buf, s, e))
-                cell, doc, _ = cells(counts, len(s))
-                n += len(doc)
-                known = np.flatnonzero(t < width)
-                pair = np.unique(cell[known] * (width + 1) + t[known])  # a term once a cell
-                c, k = pair // (width + 1), pair % (width + 1)
-                df += np.bincount(k, minlength=width + 1)
-                if not len(c):
-                    continue
-                p = np.ascontiguousarray(cell_sums(w, k, c, len(doc)).T)
-                for j in range(SKETCH):
-                    sketch[:, j] += np.bincount(k, p[j][c], width)
-        whole = np.concatenate([sketch.reshape(-1).astype(np.float64), df.astype(np.float64), [float(n)]])
-        yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([x.astype(np.float32 if i < parts - 1 else np.float64).tobytes() for i, x in enumerate(_cut(whole, parts))], pa.binary())], ["part", "sums"])
+                if len(s):
+                    add(totals, word_hashes(buf, s, e), counts)
+        whole = np.concatenate([x.reshape(-1) for x in totals]).astype(np.float32)  # a task's counts fit
+        yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([x.tobytes() for x in np.array_split(whole, parts)], pa.binary()), pa.array([False] * parts)], ["part", "sums", "wide"])
 
     def total(table: pa.Table) -> pa.Table:
-        part = table.column("part")[0].as_py()
-        kind = np.float32 if part < parts - 1 else np.float64
-        x = sum(np.frombuffer(s, kind).astype(np.float64) for s in table.column("sums").to_pylist())
-        return pa.table({"part": pa.array([part], pa.int32()), "sums": pa.array([x.astype(kind).tobytes()], pa.binary())})
-
-    def _cut(x, k):  # counts go whole, in the last part
-        head = x[: width * SKETCH]
-        return [*np.array_split(head, k - 1), x[width * SKETCH :]]
+        rows = zip(table.column("sums").to_pylist(), table.column("wide").to_pylist(), strict=True)
+        x = sum(np.frombuffer(s, np.float64 if wide else np.float32).astype(np.float64) for s, wide in rows)
+        return pa.table({"part": table.column("part").slice(0, 1), "sums": pa.array([x.tobytes()], pa.binary()), "wide": [True]})
 
-    schema = "part int, sums binary"
+    schema = "part int, sums binary, wide boolean"
     some = docs.select("text").mapInArrow(local, schema).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(32)))
     got = sorted(some.groupBy("part", "salt").applyInArrow(total, schema).groupBy("part").applyInArrow(total, schema).collect())
     if not got:
-        return np.zeros(width + 1), 0, np.zeros((width, SKETCH))
-    sketch = np.concatenate([np.frombuffer(r[1], np.float32) for r in got[:-1]]).reshape(width, SKETCH)
-    last = np.frombuffer(got[-1][1], np.float64)
-    return last[:-1], int(last[-1]), sketch.astype(np.float64)
+        return [np.zeros(s) for s in shapes]
+    whole = np.concatenate([np.frombuffer(r[1], np.float64) for r in got])
+    return [x.reshape(s) for x, s in zip(np.split(whole, np.cumsum(sizes)[:-1]), shapes, strict=True)]
+
+
+def range_sketch(docs: DataFrame, seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Idf of each term and the sketch ``A'A W`` (TERMS, SKETCH) of the TF-IDF cells A."""
+
+    def add(totals, h, counts):
+        df, sketch, n = totals
+        w = _gaussian(seed)
+        t = terms(h)
+        cell, doc, start = cells(counts, len(h))
+        n += len(doc)
+        p = np.ascontiguousarray(cell_sums(w, t, start).T)
+        df += np.bincount(np.unique(cell * TERMS + t) % TERMS, minlength=TERMS)  # a term once a cell
+        for j in range(SKETCH):
+            sketch[j] += np.bincount(t, p[j][cell], TERMS)
+
+    df, sketch, n = _summed(docs, add, [(TERMS,), (SKETCH, TERMS), (1,)])
+    idf = np.log((n[0] + 1) / (df + 1))
+    return idf, idf[:, None] * sketch.T
+
+
+_drawn: dict[int, np.ndarray] = {}
 
 
+def _gaussian(seed: int) -> np.ndarray:
+    if seed not in _drawn:
+        _drawn[seed] = np.random.default_rng(seed).normal(size=(TERMS, SKETCH)).astype(np.float32)
+    return _drawn[seed]
+
+
+def gram(docs: DataFrame, project: np.ndarray) -> tuple[np.ndarray, float]:
+    """Gram matrix of the projected cells, and their number."""
+    d = project.shape[1]
+
+    def add(totals, h, counts):
+        _, _, start = cells(counts, len(h))
+        p = cell_sums(project, terms(h), start)
+        totals[0] += p.T @ p
+        totals[1] += len(start)
+
+    g, n = _summed(docs, add, [(d, d), (1,)])
+    return g, float(n[0])
+
+
+# --------------------------------------------------------------------- the latent space
 def probes(item: np.ndarray) -> list[np.ndarray]:
     """What windows are compared with: the item, where one window can hold SHARE of it,
     and its passages of at most two cells, cut evenly."""
@@ -152,50 +180,85 @@ def probes(item: np.ndarray) -> list[np.ndarray]:
     return [item, *passages]
 
 
-def grouped(items: list[np.ndarray]) -> list[list[tuple[int, np.ndarray]]]:
-    """(item, probe) of all items in groups of at most ITEMS probes. An item's probes stay
-    together unless they alone are more."""
-    out: list[list[tuple[int, np.ndarray]]] = [[]]
-    for i, h in enumerate(items):
-        own = [(i, p) for p in probes(h)]
-        if len(out[-1]) + len(own) > ITEMS:
-            out += [own[a : a + ITEMS] for a in range(0, len(own), ITEMS)]
-        else:
-            out[-1] += own
-    return [g for g in out if g]
+def weighted(group: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
+    """TF-IDF rows (probes, terms in use) and those terms."""
+    numbers = [terms(p) for p in group]
+    used = np.unique(np.concatenate(numbers))
+    own = np.zeros((len(group), len(used)), np.float32)
+    for i, t in enumerate(numbers):
+        np.add.at(own[i], np.searchsorted(used, t), 1.0)
+    return own * idf[used].astype(np.float32), used
 
 
-class Space:
-    """Projection of tokens and of one group of probes to their latent space."""
-
-    def __init__(self, group: list[tuple[int, np.ndarray]], terms: Terms, df: np.ndarray, n: int, sketch: np.ndarray, seed: int = 5):
-        self.item = [i for i, _ in group]
-        numbers = [terms.of(p) for _, p in group]
-        used = np.unique(np.concatenate(numbers))
-        self.n = len(used)
-        self.local = np.full(terms.n + 1, self.n, np.int32)  # the last number is every other term
-        self.local[used] = np.arange(self.n)
-        idf = np.log((n + 1) / (df[used] + 1))
-        own = np.zeros((len(group), self.n))
-        for i, t in enumerate(numbers):
-            np.add.at(own[i], self.local[t], 1.0)
-        counts = own.copy()
-        own *= idf
-        y = idf[:, None] * sketch[used]
-        r = np.random.default_rng(seed)
-        z = own.T @ (own @ r.normal(size=(self.n, min(RANK, len(group)))))
-        unit = lambda m: m / max(1e-12, np.linalg.norm(m))
-        q, _ = np.linalg.qr(np.concatenate([unit(z), unit(y)], axis=1))
-        self.project = np.zeros((self.n + 1, q.shape[1]), np.float32)
-        self.project[: self.n] = idf[:, None] * q
-        norm = np.linalg.norm(own, axis=1)
-        self.norms = norm.astype(np.float32)
-        # no window with less of this can share SHARE of any probe
-        self.bound = np.append(idf**2 * counts.max(axis=0), 0).astype(np.float32)
-        self.least = float(SHARE * (norm**2).min()) * 0.999
-        self.probes = (own @ q / np.maximum(norm, 1e-12)[:, None]).astype(np.float32)
+def basis(group: list[np.ndarray], idf: np.ndarray, sketch: np.ndarray, seed: int = 5) -> np.ndarray:
+    """Orthonormal columns (TERMS, rank): the corpus' range and random combinations of the
+    probes, fewer than there are probes."""
+    own, used = weighted(group, idf)
+    mine = np.zeros((TERMS, min(ITEM_SKETCH, max(1, len(group) // 2))))
+    mine[used] = own.T @ np.random.default_rng(seed).normal(size=(len(group), mine.shape[1]))
+    both = np.concatenate([sketch / max(1e-12, np.linalg.norm(sketch)), mine / max(1e-12, np.linalg.norm(mine))], axis=1)
+    return np.linalg.qr(both)[0]
 
 
+class Space:
+    """Projection of tokens to the scaled latent space, and the probes in it. The first
+    ``SKETCH`` dimensions are the corpus' leading singular vectors."""
+
+    def __init__(self, group: list[tuple[int, np.ndarray]], idf: np.ndarray, q: np.ndarray, g: np.ndarray, n: float):
+        self.item = np.array([i for i, _ in group])
+        self.length = np.array([len(p) for _, p in group])
+        own, used = weighted([p for _, p in group], idf)
+        v, squares = np.zeros_like(g), np.zeros(len(g))
+        for part in (slice(0, SKETCH), slice(SKETCH, len(g))):  # squares of singular values; q @ v are the vectors
+            squares[part], v[part, part] = np.linalg.eigh(g[part, part])
+        own = own @ (q[used] @ v)
+        spread = np.maximum(squares, 0) / max(1.0, n) + RIDGE * max(1e-12, float((own**2).mean()))
+        scale = spread**-DAMP
+        self.project = (idf[:, None] * (q @ v) * scale).astype(np.float32)
+        own = (own * scale).astype(np.float32)
+        self.related, self.probes = (np.ascontiguousarray(_unit(x).T) for x in (own[:, LEADING], own))
+        self.held = np.zeros((len(group), BITMAP), bool)  # an upper bound of which tokens a probe holds
+        for k, (_, p) in enumerate(group):
+            self.held[k, bit(p)] = True
+
+    def near(self, h: np.ndarray, counts: np.ndarray):
+        """(first token, tokens, text, probe numbers, cosines) of the windows that have
+        probes within COSINE in the space, or RELATED by the leading singular vectors."""
+        _, doc, start = cells(counts, len(h))
+        v = cell_sums(self.project, terms(h), start)
+        end = np.append(start[1:], len(h))
+        pair = np.flatnonzero(doc[1:] == doc[:-1])
+        v[pair] += v[pair + 1]  # a cell and the next of its text
+        last = end.copy()
+        last[pair] = end[pair + 1]
+        topic, v = _unit(v[:, LEADING]), _unit(v)
+        for a in range(0, len(v), 4096):
+            cos = v[a : a + 4096] @ self.probes
+            i, k = np.nonzero((cos >= COSINE) | (topic[a : a + 4096] @ self.related >= RELATED))
+            if len(i):
+                yield start[a + i], last[a + i] - start[a + i], doc[a + i], k, cos[i, k]
+
+    def share(self, h: np.ndarray, x: np.ndarray, n: np.ndarray, k: np.ndarray) -> np.ndarray:
+        """Whether windows can hold SHARE of their probes' tokens."""
+        b = bit(h)
+        out = np.zeros(len(x), bool)
+        for a in range(0, len(x), 1 << 15):
+            some = slice(a, a + (1 << 15))
+            at = x[some, None] + np.arange(2 * CELL)
+            hit = self.held[k[some, None], b[np.minimum(at, len(b) - 1)]] & (np.arange(2 * CELL) < n[some, None])
+            out[some] = hit.sum(axis=1) >= SHARE * self.length[k[some]]
+        return out
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+
+
+def bit(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64(BITMAP - 1)).astype(np.int64)
+
+
+# --------------------------------------------------------------------- exact checks
 def in_a_row(h: np.ndarray, length: int) -> np.ndarray:
     """Hash of the ``length`` tokens from each token on."""
     n = max(0, len(h) - length + 1)
@@ -238,14 +301,25 @@ def lcs(item: np.ndarray, region: np.ndarray) -> int:
         masks[x] = masks.get(x, 0) | 1 << i
     full = (1 << len(item)) - 1
     v = full
-    for x in region.tolist():
-        m = masks.get(x, 0)
-        if m:
-            u = v & m
-            v = ((v + u) | (v - u)) & full
+    for x in region[np.isin(region, item)].tolist():
+        m = masks[x]
+        u = v & m
+        v = ((v + u) | (v - u)) & full
     return len(item) - v.bit_count()
 
 
+def covered(item: np.ndarray, answer: np.ndarray, region: np.ndarray) -> float | None:
+    """Share of the item that the region holds in order, if that makes it a leak."""
+    held = np.isin(region, item).sum()
+    if held < COVER_ANSWERED * len(item):
+        return None
+    cover = lcs(item, region) / len(item)
+    if cover >= COVER or cover >= COVER_ANSWERED and np.isin(answer, region).mean() >= ANSWERED:
+        return cover
+    return None
+
+
+# --------------------------------------------------------------------- the operator
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text), ``benchmark`` (item_id, text): doc_id, item_id, cosine,
     coverage, word_start, word_end of each item that a document leaks."""
@@ -253,85 +327,47 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     schema = "doc_id long, item_id long, cosine double, coverage double, word_start long, word_end long"
     out = spark.createDataFrame([], schema)
     chunks = math.ceil(benchmark.count() / ITEMS)
+    corpus = None
     for c in range(chunks):
-        rows = benchmark.where(F.pmod(F.xxhash64("item_id"), F.lit(chunks)) == c).select("item_id", "text").orderBy("item_id").collect()
-        hashes = text_hashes([r["text"] for r in rows])
-        ids: list[int] = []
-        items: list[np.ndarray] = []
-        n = 0
-        for r, h in zip(rows, hashes, strict=True):
-            if not len(h) or r["item_id"] is None:
-                continue
-            own = len(probes(h)) if len(h) >= LEAST else 0
-            if items and n + own > GROUPS * ITEMS:
-                out = out.union(_search(docs, ids, items, schema))
-                ids, items, n = [], [], 0
-            ids, items, n = [*ids, r["item_id"]], [*items, h], n + own
-        if items:
-            out = out.union(_search(docs, ids, items, schema))
+        rows = benchmark.where(F.pmod(F.xxhash64("item_id"), F.lit(chunks)) == c).where("item_id IS NOT NULL").select("item_id", "text").orderBy("item_id").collect()
+        pairs = [(r["item_id"], h) for r, h in zip(rows, text_hashes([r["text"] for r in rows]), strict=True) if len(h)]
+        if not pairs:
+            continue
+        ids, items = [i for i, _ in pairs], [h for _, h in pairs]
+        group = [(j, p) for j, h in enumerate(items) if len(h) >= LEAST for p in probes(h)]
+        space = None
+        if group:
+            corpus = corpus or range_sketch(docs)
+            space = latent_space(docs, group, *corpus)
+        out = out.union(_search(docs, ids, items, space, schema))
     return out
 
 
-def _spaces(docs: DataFrame, items: list[np.ndarray]) -> tuple[Terms, np.ndarray, list[Space]]:
-    """Terms, their weights, and the spaces of all items of LEAST tokens or more."""
-    long = [i for i, h in enumerate(items) if len(h) >= LEAST]
-    terms = Terms(np.concatenate([items[i] for i in long])) if long else Terms(np.zeros(0, np.uint64))
-    if not long:
-        return terms, np.zeros(1, np.float32), []
-    df, n, sketch = statistics(docs, terms)
-    weight = np.append(np.log((n + 1) / (df[: terms.n] + 1)), math.log(n + 1)).astype(np.float32)  # an unknown token counts in a window's length
-    groups = [[(long[i], p) for i, p in g] for g in grouped([items[i] for i in long])]
-    return terms, weight, [Space(g, terms, df, n, sketch) for g in groups]
+def latent_space(docs: DataFrame, group: list[tuple[int, np.ndarray]], idf: np.ndarray, sketch: np.ndarray) -> Space:
+    q = basis([p for _, p in group], idf, sketch)
+    g, n = gram(docs, (idf[:, None] * q).astype(np.float32))
+    return Space(group, idf, q, g, n)
 
 
-def _search(docs: DataFrame, ids: list[int], items: list[np.ndarray], schema: str) -> DataFrame:
+def _search(docs: DataFrame, ids: list[int], items: list[np.ndarray], space: Space | None, schema: str) -> DataFrame:
     small_batches(docs.sparkSession)
-    terms, weight, spaces = _spaces(docs, items)
     short = Short(items)
     answers = [np.unique(h[-ANSWER:]) for h in items]
 
     def candidates(h, counts, best):
-        t = terms.of(h)
-        cell, docs_of, starts = cells(counts, len(h))
         first = np.cumsum(counts) - counts
-        pair = np.zeros(len(docs_of), bool)
-        pair[:-1] = docs_of[1:] == docs_of[:-1]
         tried: set[tuple[int, int, int, int]] = set()
-
-        def windows(x):  # a cell and the next of its text
-            x[:-1] += np.where(pair[:-1].reshape(-1, *[1] * (x.ndim - 1)), x[1:], 0)
-            return x
-
-        for space in spaces:
-            own_t = space.local[t]
-            can = windows(np.add.reduceat(space.bound[own_t], starts)) >= space.least
-            if not can.any():
-                continue
-            needed = can.copy()
-            needed[1:] |= can[:-1]
-            known_t = np.flatnonzero((own_t < space.n) & needed[cell])
-            v = cell_sums(space.project, own_t[known_t], cell[known_t], len(docs_of))
-            v, w2 = windows(v), windows(np.add.reduceat(weight[t] ** 2, starts))
-            hope = np.flatnonzero(can)
-            v, w2, doc, start = v[hope], w2[hope], docs_of[hope], starts[hope]
-            probes_t = np.ascontiguousarray(space.probes.T)
-            for a in range(0, len(v), 8192):
-                dot = v[a : a + 8192] @ probes_t
-                cos = dot / np.sqrt(np.maximum(w2[a : a + 8192], 1e-12))[:, None]
-                for i, k in zip(*np.nonzero((cos >= COSINE) & (dot >= SHARE * space.norms)), strict=True):
-                    d, j = int(doc[a + i]), space.item[k]
-                    item = items[j]
-                    x, y = max(int(first[d]), int(start[a + i]) - len(item)), min(int(first[d] + counts[d]), int(start[a + i]) + 2 * CELL + len(item))
-                    known = best.get((d, j))
-                    if known and known[1] >= 1.0 or (d, j, x, y) in tried:
-                        continue
-                    tried.add((d, j, x, y))
-                    region = h[x:y]
-                    cover = lcs(item, region) / len(item)
-                    if cover < COVER and (cover < COVER_ANSWERED or np.isin(answers[j], region).mean() < ANSWERED):
-                        continue
-                    if known is None or cover > known[1]:
-                        best[d, j] = (float(cos[i, k]), cover, x - int(first[d]), y - int(first[d]))
+        for x, n, doc, k, cos in space.near(h, counts):
+            ok = space.share(h, x, n, k)
+            for s, d, j, c in zip(x[ok].tolist(), doc[ok].tolist(), space.item[k[ok]].tolist(), cos[ok].tolist(), strict=True):
+                a, z = max(int(first[d]), s - len(items[j])), min(int(first[d] + counts[d]), s + 2 * CELL + len(items[j]))
+                known = best.get((d, j))
+                if known and known[1] >= 1.0 or (d, j, a, z) in tried:
+                    continue
+                tried.add((d, j, a, z))
+                cover = covered(items[j], answers[j], h[a:z])
+                if cover is not None and (known is None or cover > known[1]):
+                    best[d, j] = (c, cover, a - int(first[d]), z - int(first[d]))
 
     def run(batches):
         for b in batches:
@@ -342,7 +378,8 @@ def _search(docs: DataFrame, ids: list[int], items: list[np.ndarray], schema: st
                     h = word_hashes(buf, s, e)
                     for d, j, x, y in short.find(h, counts):
                         best[d, j] = (1.0, 1.0, x, y)
-                    candidates(h, counts, best)
+                    if space is not None:
+                        candidates(h, counts, best)
                 found = sorted(best.items())
                 doc_ids = b.column(0).slice(lo, hi - lo).to_pylist()
                 yield pa.RecordBatch.from_arrays(

@@ -291,6 +291,67 @@ def test_leaks_of_short_and_long_items_equal_brute_force(spark):
     assert {n for _, n in want} == set(items)
 
 
+def themed(r, themes=16, per=8, texts=400):
+    """Texts of pairs of themes, whose words stand together."""
+    words = [[f"h{i}w{k}" for k in range(per)] for i in range(themes)]
+    return words, [(d, " ".join(w for _ in range(8) for t in r.choice(themes, 2, replace=False) for w in r.choice(words[t], 8))) for d in range(texts)]
+
+
+def test_latent_space_finds_a_paraphrase(spark):
+    """A paraphrase that keeps a quarter of an item's words, and related words for others,
+    lies beyond COSINE for plain TF-IDF and is a candidate here; so many words among
+    unrelated ones are none by the singular vectors."""
+    r = np.random.default_rng(11)
+    words, rows = themed(r)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    picks = [r.choice(16, 5, replace=False) for _ in range(60)]
+    item_words = [[w for t in p for w in words[t][:4]] for p in picks]
+    items = [decontam.text_hashes([" ".join(w)])[0] for w in item_words]
+    idf, sketch = decontam.range_sketch(docs)
+    group = [(j, p) for j, h in enumerate(items) for p in decontam.probes(h)]
+    space = decontam.latent_space(docs, group, idf, sketch)
+    assert space.project.shape[1] < len(group) + decontam.SKETCH
+    found = plain = 0
+    for j, pick in enumerate(picks):
+        para = decontam.text_hashes([" ".join(w for t in pick for w in words[t][3:8])])[0]
+        both, _ = decontam.weighted([items[j], para], idf)
+        plain += both[0] @ both[1] / np.linalg.norm(both[0]) / np.linalg.norm(both[1]) >= decontam.COSINE
+        near = {int(space.item[x]) for _, _, _, k, _ in space.near(para, np.array([len(para)])) for x in k}
+        found += j in near
+        assert len(near) <= 12
+    assert plain == 0 and found >= 54
+
+
+def test_singular_values_equal_plain_svd(spark):
+    r = np.random.default_rng(12)
+    _, rows = themed(r, 6, 8, 240)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    idf, sketch = decontam.range_sketch(docs)
+    cells = [h[a : a + decontam.CELL] for h in decontam.text_hashes([t for _, t in rows]) for a in range(0, len(h), decontam.CELL)]
+    a = np.zeros((len(cells), decontam.TERMS), np.float32)
+    for i, c in enumerate(cells):
+        np.add.at(a[i], decontam.terms(c), 1.0)
+    df = (a > 0).sum(axis=0)
+    assert np.allclose(idf, np.log((len(cells) + 1) / (df + 1)))
+    used = np.flatnonzero(df)
+    a = a[:, used] * idf[used]
+    q = np.linalg.qr(sketch)[0]
+    g, n = decontam.gram(docs, (idf[:, None] * q).astype(np.float32))
+    top = np.sqrt(np.linalg.eigvalsh(g)[::-1][:6])
+    assert n == len(cells) and np.allclose(top, np.linalg.svd(a, compute_uv=False)[:6], rtol=0.03)
+
+
+def test_passes_do_not_grow_with_items(spark, monkeypatch):
+    seen = []
+    plain = decontam._summed
+    monkeypatch.setattr(decontam, "_summed", lambda *a, **k: seen.append(1) or plain(*a, **k))
+    docs = spark.createDataFrame([(1, "a b c " * 20)], "doc_id long, text string")
+    for n in (100, 600):
+        seen.clear()
+        bench = spark.createDataFrame([(i, " ".join(f"i{i}w{k}" for k in range(12))) for i in range(n)], "item_id long, text string")
+        assert decontam.leaks(docs, bench).count() == 0 and len(seen) == 2
+
+
 def test_lcs():
     a, b = np.array([1, 2, 3, 4, 5, 3]), np.array([9, 1, 3, 2, 4, 3])
     assert decontam.lcs(a, b) == 4
