@@ -97,6 +97,17 @@ def cell_sums(matrix: np.ndarray, t: np.ndarray, start: np.ndarray) -> np.ndarra
     return out
 
 
+def cell_counts(t: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Cells that hold each term."""
+    at = start[:, None] + np.arange(CELL)
+    inside = at < np.append(start[1:], len(t))[:, None]
+    rows = np.where(inside, np.append(t, 0).astype(np.uint16)[np.minimum(at, len(t))], np.uint16(TERMS))
+    rows.sort(axis=1)
+    new = np.ones(rows.shape, bool)
+    new[:, 1:] = rows[:, 1:] != rows[:, :-1]
+    return np.bincount(rows[new], minlength=TERMS + 1)[:TERMS]
+
+
 # --------------------------------------------------------------------- passes over the corpus
 def _summed(docs: DataFrame, add, shapes: list[tuple[int, ...]], parts: int = 16) -> list[np.ndarray]:
     """Sums over the corpus of what ``add(totals, h, counts)`` adds to float64 arrays of
@@ -138,7 +149,7 @@ def range_sketch(docs: DataFrame, seed: int = 3) -> tuple[np.ndarray, np.ndarray
         cell, doc, start = cells(counts, len(h))
         n += len(doc)
         p = np.ascontiguousarray(cell_sums(w, t, start).T)
-        df += np.bincount(np.unique(cell * TERMS + t) % TERMS, minlength=TERMS)  # a term once a cell
+        df += cell_counts(t, start)
         for j in range(SKETCH):
             sketch[j] += np.bincount(t, p[j][cell], TERMS)
 
@@ -240,12 +251,13 @@ class Space:
 
     def share(self, h: np.ndarray, x: np.ndarray, n: np.ndarray, k: np.ndarray) -> np.ndarray:
         """Whether windows can hold SHARE of their probes' tokens."""
-        b = bit(h)
-        out = np.zeros(len(x), bool)
-        for a in range(0, len(x), 1 << 15):
-            some = slice(a, a + (1 << 15))
-            at = x[some, None] + np.arange(2 * CELL)
-            hit = self.held[k[some, None], b[np.minimum(at, len(b) - 1)]] & (np.arange(2 * CELL) < n[some, None])
+        width = 2 * CELL
+        b = np.lib.stride_tricks.sliding_window_view(np.append(bit(h), np.zeros(width, np.int32)), width)
+        held, out = self.held.reshape(-1), np.zeros(len(x), bool)
+        for a in range(0, len(x), 1 << 14):
+            some = slice(a, a + (1 << 14))
+            at = b[x[some]] + (k[some] * BITMAP).astype(np.int64)[:, None]
+            hit = held.take(at) & (np.arange(width) < n[some, None])
             out[some] = hit.sum(axis=1) >= SHARE * self.length[k[some]]
         return out
 
@@ -255,7 +267,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def bit(h: np.ndarray) -> np.ndarray:
-    return (h & np.uint64(BITMAP - 1)).astype(np.int64)
+    return (h & np.uint64(BITMAP - 1)).astype(np.int32)
 
 
 # --------------------------------------------------------------------- exact checks
@@ -294,29 +306,52 @@ class Short:
                     yield d, j, x, x + length
 
 
-def lcs(item: np.ndarray, region: np.ndarray) -> int:
-    """Length of the longest common subsequence, bit-parallel."""
+def masks_of(item: np.ndarray) -> dict[int, int]:
+    """Positions of each token of an item as bits."""
     masks: dict[int, int] = {}
     for i, x in enumerate(item.tolist()):
         masks[x] = masks.get(x, 0) | 1 << i
-    full = (1 << len(item)) - 1
-    v = full
-    for x in region[np.isin(region, item)].tolist():
-        m = masks[x]
-        u = v & m
-        v = ((v + u) | (v - u)) & full
-    return len(item) - v.bit_count()
+    return masks
 
 
-def covered(item: np.ndarray, answer: np.ndarray, region: np.ndarray) -> float | None:
-    """Share of the item that the region holds in order, if that makes it a leak."""
-    held = np.isin(region, item).sum()
-    if held < COVER_ANSWERED * len(item):
+def lcs(masks: dict[int, int], length: int, region: list[int]) -> int:
+    """Length of the longest common subsequence, bit-parallel."""
+    full = (1 << length) - 1
+    v = full
+    for x in region:
+        m = masks.get(x)
+        if m is not None:
+            u = v & m
+            v = ((v + u) | (v - u)) & full
+    return length - v.bit_count()
+
+
+class Item:
+    """What the exact checks need of an item."""
+
+    def __init__(self, h: np.ndarray):
+        self.length, self.masks, self.answer = len(h), masks_of(h), set(h[-ANSWER:].tolist())
+        self.bits = bit(h)
+
+    def covered(self, region: np.ndarray) -> float | None:
+        """Share of the item that the region holds in order, if that makes it a leak."""
+        tokens = region.tolist()
+        cover = lcs(self.masks, self.length, tokens) / self.length
+        if cover >= COVER or cover >= COVER_ANSWERED and len(self.answer.intersection(tokens)) >= ANSWERED * len(self.answer):
+            return cover
         return None
-    cover = lcs(item, region) / len(item)
-    if cover >= COVER or cover >= COVER_ANSWERED and np.isin(answer, region).mean() >= ANSWERED:
-        return cover
-    return None
+
+
+def holds(bits: np.ndarray, items: list[Item], a: list[int], z: list[int]) -> np.ndarray:
+    """Whether regions of token ``bits`` can hold COVER_ANSWERED of their items' tokens."""
+    out = np.zeros(len(a), bool)
+    seen = np.zeros(BITMAP, bool)
+    for i, (item, lo, hi) in enumerate(zip(items, a, z, strict=True)):
+        own = bits[lo:hi]
+        seen[own] = True
+        out[i] = np.count_nonzero(seen[item.bits]) >= COVER_ANSWERED * item.length
+        seen[own] = False
+    return out
 
 
 # --------------------------------------------------------------------- the operator
@@ -352,20 +387,25 @@ def latent_space(docs: DataFrame, group: list[tuple[int, np.ndarray]], idf: np.n
 def _search(docs: DataFrame, ids: list[int], items: list[np.ndarray], space: Space | None, schema: str) -> DataFrame:
     small_batches(docs.sparkSession)
     short = Short(items)
-    answers = [np.unique(h[-ANSWER:]) for h in items]
+    exact = [Item(h) for h in items]
 
     def candidates(h, counts, best):
         first = np.cumsum(counts) - counts
+        bits = bit(h)
         tried: set[tuple[int, int, int, int]] = set()
         for x, n, doc, k, cos in space.near(h, counts):
-            ok = space.share(h, x, n, k)
-            for s, d, j, c in zip(x[ok].tolist(), doc[ok].tolist(), space.item[k[ok]].tolist(), cos[ok].tolist(), strict=True):
-                a, z = max(int(first[d]), s - len(items[j])), min(int(first[d] + counts[d]), s + 2 * CELL + len(items[j]))
+            ok = np.flatnonzero(space.share(h, x, n, k))
+            d, j = doc[ok], space.item[k[ok]]
+            own = np.array([exact[i].length for i in j], np.int64)
+            a = np.maximum(first[d], x[ok] - own)
+            z = np.minimum(first[d] + counts[d], x[ok] + 2 * CELL + own)
+            fits = holds(bits, [exact[i] for i in j], a.tolist(), z.tolist())
+            for d, j, a, z, c in zip(d[fits].tolist(), j[fits].tolist(), a[fits].tolist(), z[fits].tolist(), cos[ok[fits]].tolist(), strict=True):
                 known = best.get((d, j))
                 if known and known[1] >= 1.0 or (d, j, a, z) in tried:
                     continue
                 tried.add((d, j, a, z))
-                cover = covered(items[j], answers[j], h[a:z])
+                cover = exact[j].covered(h[a:z])
                 if cover is not None and (known is None or cover > known[1]):
                     best[d, j] = (c, cover, a - int(first[d]), z - int(first[d]))
 

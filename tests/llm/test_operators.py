@@ -281,7 +281,7 @@ def test_leaks_of_short_and_long_items_equal_brute_force(spark):
         if len(item) < decontam.LEAST:
             return any(text[k : k + len(item)] == item for k in range(len(text)))
         own = {x: k for k, x in enumerate([*item, *text])}
-        cover = decontam.lcs(np.array([own[x] for x in item]), np.array([own[x] for x in text])) / len(item)
+        cover = decontam.lcs(decontam.masks_of(np.array([own[x] for x in item])), len(item), [own[x] for x in text]) / len(item)
         return cover >= 0.75 or cover >= 0.5 and np.isin(np.unique(item[-5:]), text).mean() >= 0.6
 
     want = {(i, n) for i, t in rows for n, w in items.items() if leaked([x.lower() for x in w], t.lower().split())}
@@ -353,8 +353,7 @@ def test_passes_do_not_grow_with_items(spark, monkeypatch):
 
 
 def test_lcs():
-    a, b = np.array([1, 2, 3, 4, 5, 3]), np.array([9, 1, 3, 2, 4, 3])
-    assert decontam.lcs(a, b) == 4
+    assert decontam.lcs(decontam.masks_of(np.array([1, 2, 3, 4, 5, 3])), 6, [9, 1, 3, 2, 4, 3]) == 4
 
 
 # ------------------------------------------------------------------ 5
