@@ -1,16 +1,22 @@
 """Mixing sources to target weights by weighted fair queueing (DataFrame functions only).
 
 Each source's documents are shuffled by a hash of their id and offered up to
-``max_repeats`` times. A copy's virtual time is the words its source has sent up to the
-copy's middle, divided by the source's target weight. Sorting all copies by virtual time
-and cutting where the budget is spent serves the sources in proportion to their weights;
-a source that runs out leaves its share to the others. The cut is the level at which the
-sources' capped shares add up to the budget, so it needs one small table of sources and
-no running sum over all rows.
+``max_repeats`` times, one round after another. A copy's virtual finish time is the words
+its source has sent up to its end, divided by the source's weight. All copies are sorted
+globally by finish time and cut where the sum of sizes would pass the total budget, so that
+sources are served in proportion to their weights, and one that runs out leaves its share
+to the others.
+
+The global prefix sum never gathers rows: sums per range of finish times find the range in
+which the budget ends, which is split again into ranges, ``LEVELS`` times; only the last
+range, about ``RANGES ** LEVELS`` times smaller than the table, is sorted as a whole. The
+words of a source before a document are a two-level prefix sum likewise.
 
 Cases: a null text has size 0; null is a source of its own, after all others; an empty
-table gives an empty result; repeated rows are separate documents ordered by id and text;
-a null doc_id comes after all others of its source; other columns are kept out of the way by selecting only what is needed.
+table gives an empty result; repeated rows are separate documents ordered by id and size;
+a null doc_id comes after all others of its source; copies that finish at the same time go
+by round, source, shuffle key, id and size; other columns are kept out of the way by
+selecting only what is needed.
 """
 
 from __future__ import annotations
@@ -24,6 +30,7 @@ from .common import scratch
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 ROWS_PER_CHUNK = 4_000
+RANGES, LEVELS = 1024, 2
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -77,30 +84,69 @@ def schedule(sized: DataFrame, shares: DataFrame) -> DataFrame:
     return both.withColumn("before", F.col("chunk_before") + F.coalesce(F.sum("size").over(inside), F.lit(0))).drop("c_source", "c_chunk", "chunk_before", "chunk")
 
 
-def copies(max_repeats: int = MAX_REPEATS):
-    """How many of a document's copies come before the cut. Copy e's middle lies at
-    ``e * source_size + before + size / 2`` words of its source; it is sent if that is
-    within the source's target."""
-    twice = lambda e: 2 * (F.col("source_size") * e + F.col("before")) + F.col("size")
-    return sum((twice(e) <= F.col("target") * 2).cast("int") for e in range(max_repeats))
+def finish(round_):
+    """Virtual finish time of a document's copy of a round."""
+    return (round_ * F.col("source_size") + F.col("before") + F.col("size")) / F.col("weight")
+
+
+def offered(planned: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """Every copy with its ``round`` (from 0) and ``finish`` time."""
+    return planned.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1)))).withColumn("finish", finish(F.col("round")))
+
+
+def place(round_, finish):
+    """What sorts copies globally, as one comparable struct."""
+    source, doc = F.col("source"), F.col("doc_id")
+    return F.struct(finish.alias("finish"), round_.alias("round"), source.isNull().alias("no_source"), source.alias("source"), F.col("mix_key").alias("mix_key"), doc.isNull().alias("no_doc"), doc.alias("doc"), F.col("size").alias("size"))
+
+
+def last_sent(planned: DataFrame, budget: int, max_repeats: int = MAX_REPEATS):
+    """The ``place`` of the last copy within ``budget`` words as a column, or None if there
+    is none. Only sums per range of finish times come to the driver."""
+    offers = offered(planned, max_repeats)
+    now, left = offers, budget
+    low, high = offers.agg(F.min("finish"), F.max("finish")).first()
+    for _ in range(LEVELS):
+        if low is None or low == high:
+            break
+        at = F.floor((F.col("finish") - low) / ((high - low) / RANGES))
+        sums = sorted(now.groupBy(at.alias("at")).agg(F.min("finish"), F.max("finish"), F.sum("size")).collect())
+        for _, low, high, n in sums:
+            if n > left:
+                break
+            left -= n
+        else:
+            left += n  # all fit: the last range is sorted as any other
+        now = offers.where(F.col("finish").between(low, high))
+    spot = place(F.col("round"), F.col("finish"))
+    edge = now.withColumn("place", spot).withColumn("sent", F.sum("size").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, 0)))
+    last = edge.where(F.col("sent") <= left).agg(F.max("place")).first()[0]
+    if last is None:  # none of this range: the one before it is the last
+        last = offers.where(F.col("finish") < low).agg(F.max(spot)).first()[0]
+    if last is None:
+        return None
+    kinds = edge.schema["place"].dataType
+    return F.struct(*[F.lit(last[f.name]).cast(f.dataType).alias(f.name) for f in kinds])
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, budget: float = 1.0) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken, virtual_time (of the
-    first copy's middle) for each document."""
+    """doc_id, source, size, source_size, target, weight, before, copies, taken for each
+    document; ``copies`` of it are in the mix."""
     sized = scratch(sizes(docs), "mix")
-    planned = schedule(sized, targets(sized, weights, max_repeats, budget))
-    return planned.select(
-        "doc_id", "source", "size", "source_size", "target", copies(max_repeats).alias("copies"),
-        (F.col("size") * copies(max_repeats)).alias("taken"),
-        ((F.col("before") + F.col("size") / 2) / F.col("weight")).alias("virtual_time"), "weight",
-    )
+    planned = scratch(schedule(sized, targets(sized, weights, max_repeats, budget)), "queue")
+    words = planned.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    last = last_sent(planned, int(words * budget), max_repeats)
+    copies = F.lit(0)
+    if last is not None:
+        copies = sum((place(F.lit(e), finish(F.lit(e))) <= last).cast("int") for e in range(max_repeats))
+    done = planned.withColumn("copies", copies)
+    return done.select("doc_id", "source", "size", "source_size", "target", "weight", "before", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def sequence(mixed: DataFrame) -> DataFrame:
-    """The mix itself: one row per copy taken, range-sorted globally by virtual time."""
+    """The mix itself: one row per copy taken, range-sorted globally by finish time."""
     rows = mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    return rows.withColumn("virtual_time", F.col("virtual_time") + F.col("copy") * F.col("source_size") / F.col("weight")).orderBy("virtual_time", "doc_id", "copy")
+    return rows.withColumn("finish", finish(F.col("copy"))).orderBy("finish", "copy", F.col("source").asc_nulls_last(), "doc_id")
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
@@ -126,16 +172,18 @@ reached AS (
             / sum(weight) OVER (ORDER BY rk ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS reach FROM ranked),
 levels AS (SELECT *, cap / weight <= reach AS capped FROM reached),
 targets AS (
-  SELECT source, source_size, CASE WHEN capped THEN CAST(cap AS DOUBLE)
+  SELECT source, source_size, weight, CASE WHEN capped THEN CAST(cap AS DOUBLE)
          ELSE weight * (SELECT arg_min(reach, rk) FROM levels WHERE NOT capped) END AS target FROM levels),
 placed AS (
-  SELECT s.doc_id, s.size, t.source_size, t.target,
-         CAST(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.mix_key, s.doc_id) - s.size AS BIGINT) AS before
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       size * (CAST(2 * before + size <= 2 * target AS INT) + CAST(2 * (source_size + before) + size <= 2 * target AS INT)
-             + CAST(2 * (2 * source_size + before) + size <= 2 * target AS INT)) AS taken
-FROM placed
+  SELECT s.*, t.source_size, t.target, t.weight,
+         CAST(coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.mix_key, s.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+offers AS (
+  SELECT *, (e * source_size + before + size) / weight AS finish FROM placed, range(0, 3) r(e)),
+sent AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, e, source NULLS LAST, mix_key, doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING) AS upto, sum(CASE WHEN e = 0 THEN size END) OVER () AS budget FROM offers)
+SELECT doc_id, size, source_size, target, CAST(coalesce(sum(size) FILTER (upto <= budget), 0) AS BIGINT) AS taken
+FROM sent GROUP BY doc_id, size, source_size, target, source, mix_key, before
 """
 
 SQL = SQL_TEMPLATE.format(docs="documents")

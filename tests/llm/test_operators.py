@@ -357,17 +357,56 @@ def test_lcs():
 
 
 # ------------------------------------------------------------------ 5
-def test_mixing_targets_and_repeats(spark, nothing):
+def plain_mix(rows, weights=(5, 2, 1), repeats=3):
+    """Weighted fair queueing one copy at a time, over (doc_id, text, source)."""
+    import hashlib
+
+    size = lambda t: len((t or "").encode().split())
+    names = sorted({r[2] for r in rows}, key=lambda x: (x is None, x))
+    weight = {n: weights[k % len(weights)] for k, n in enumerate(names)}
+    offers = []
+    for n in names:
+        own = sorted((hashlib.md5(str(i).encode()).hexdigest(), i, size(t)) for i, t, s in rows if s == n)
+        sent = 0
+        for e in range(repeats):
+            for key, i, k in own:
+                sent += k
+                offers.append((sent / weight[n], e, n is None, n or "", key, i, k))
+    taken, total = collections.Counter(), 0
+    for f, e, _, _, _, i, k in sorted(offers):
+        total += k
+        if total > sum(size(t) for _, t, _ in rows):
+            break
+        taken[i] += k
+    return {i: taken[i] for i, _, _ in rows}
+
+
+def test_mixing_targets_and_repeats(spark, nothing, monkeypatch):
     rows = [(i, "w " * (1 + i % 7), "abcd"[i % 4] if i % 9 else None) for i in range(2000)] + [(5000, None, "a"), (5001, "", "zz")]
-    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).toPandas()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix(docs).toPandas()
     assert len(out) == len(rows)
     per = out.groupby(out.source.fillna("~null")).agg(size=("source_size", "first"), target=("target", "first"), taken=("taken", "sum"), top=("size", "max"))
-    assert (abs(per.taken - per.target) <= per.top).all() and (per.target <= 3 * per["size"] + 1e-9).all()
-    assert abs(per.target.sum() - out["size"].sum()) < 1e-6
+    assert (abs(per.taken - per.target) <= 2 * per.top).all() and (per.target <= 3 * per["size"] + 1e-9).all()
+    assert abs(per.target.sum() - out["size"].sum()) < 1e-6 and 0 <= out["size"].sum() - out.taken.sum() < 7
     assert (out.taken <= 3 * out["size"]).all()
+    assert dict(zip(out.doc_id, out.taken)) == plain_mix(rows)
     assert mixing.mix(nothing).count() == 0
-    order = [r.virtual_time for r in mixing.sequence(mixing.mix(spark.createDataFrame(rows[:50], "doc_id long, text string, source string"))).collect()]
+    order = [r.finish for r in mixing.sequence(mixing.mix(spark.createDataFrame(rows[:50], "doc_id long, text string, source string"))).collect()]
     assert order == sorted(order)
+    for ranges, levels in ((2, 1), (3, 4), (1024, 0)):
+        monkeypatch.setattr(mixing, "RANGES", ranges)
+        monkeypatch.setattr(mixing, "LEVELS", levels)
+        assert {r.doc_id: r.taken for r in mixing.mix(docs).collect()} == plain_mix(rows)
+
+
+def test_mixing_hard_rows(spark, messy):
+    """Nulls, repeated rows and one document larger than the budget of its source."""
+    assert sorted((r.doc_id, r["size"]) for r in mixing.mix(messy).collect()) == sorted((r.doc_id, len(words_of(r.text))) for r in messy.collect())
+    rows = [(1, "w " * 900, "a"), (2, "w", "b"), (3, "w w", "c"), (4, None, "c"), (5, "w " * 50, None)]
+    assert {r.doc_id: r.taken for r in mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()} == plain_mix(rows)
+    empty = [(1, None, "a"), (2, "", "b")]
+    assert {r.doc_id: r.taken for r in mixing.mix(spark.createDataFrame(empty, "doc_id long, text string, source string")).collect()} == {1: 0, 2: 0}
 
 
 # ------------------------------------------------------------------ 6
