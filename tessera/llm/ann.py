@@ -13,8 +13,10 @@ The queries are the stated set and go to the blocks of rows in chunks of at most
 ``CHUNK``, a bound on what is broadcast. Each task returns its k nearest per query.
 
 Cases: vectors that are null, zero, of another dimension, or hold null or non-finite
-components take no part; ties go to the smaller vec_id; with fewer candidates all are
-returned; an empty table gives an empty result; repeated ids are separate rows.
+components take no part, nor do rows without vec_id; ties go to the smaller vec_id; with
+fewer candidates all are returned; an empty table gives an empty result. Rows that share a
+vec_id count once among a query's neighbours, at their smallest distance; a query that
+shares its vec_id is asked once, with the smallest of its vectors.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ def usable(table: DataFrame, vector: str = "embedding") -> DataFrame:
     """Rows (vec_id, v) whose vectors take part, as doubles."""
     v = F.transform(F.col(vector), lambda x: x.cast("double"))
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    return table.select(F.col("vec_id").cast("long"), v.alias("v")).where(F.col("v").isNotNull() & fine)
+    return table.select(F.col("vec_id").cast("long"), v.alias("v")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & fine)
 
 
 def learn_rotations(x: np.ndarray, bits: int = BITS, rounds: int = 20, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
@@ -142,6 +144,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     sample = np.array([r["v"] for r in rows])
     mean, proj = learn_rotations(sample)
     radius = radius_for(sample, encode(sample, mean, proj), k)
+    queries = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     n = queries.count()
     chunks = max(1, math.ceil(n / CHUNK))
     parts = []
@@ -156,7 +159,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
                 break
             counts = {x[0]: x[1] for x in found.groupBy("query_id").count().collect()}  # of this chunk's queries
             lack = np.array([counts.get(int(i), 0) < k for i in ids])
-            parts.append(found.where(~F.col("query_id").isin([int(i) for i in ids[lack]])) if lack.any() else found)
+            again = spark.createDataFrame([(int(i),) for i in ids[lack]], "query_id long")  # at most CHUNK
+            parts.append(found.join(again, "query_id", "left_anti") if lack.any() else found)
             ids, q, r = ids[lack], q[lack], min(BITS, 2 * r + 1)
     out = empty
     for p in parts:
@@ -166,6 +170,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
 def _best(found: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))  # an id once
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
@@ -180,8 +185,9 @@ def _pass(vectors, ids, q, q_codes, mean, proj, radius: int, k: int) -> DataFram
                 rows = rows[vec_ids[rows] != ids[j]]
                 d = np.sqrt(((x[rows] - q[j]) ** 2).sum(axis=1))
                 d, i = np.concatenate([top_d[j], d]), np.concatenate([top_i[j], vec_ids[rows]])
-                best = np.lexsort((i, d))[:k]
-                top_d[j], top_i[j] = d[best], i[best]
+                best = np.lexsort((i, d))
+                first = np.sort(np.unique(i[best], return_index=True)[1])[:k]  # an id once
+                top_d[j], top_i[j] = d[best[first]], i[best[first]]
 
         held_i, held_x, n = [], [], 0
         for b in batches:

@@ -4,8 +4,8 @@ The network reads a word's bytes between two boundary marks in both directions a
 labels every byte; a document's probabilities are the mean over all bytes of its words
 that hold a letter. Words are segments of at most ``SEGMENT`` bytes, so a text of any
 length is read whole, and equal words of a task are run once. Training is
-backpropagation through time with Adam on a bounded sample: ``SAMPLE_DOCS`` labelled
-documents (smallest hashes of doc_id), ``SAMPLE_WORDS`` words of each.
+backpropagation through time with Adam on a bounded sample of rows, read whole: the
+``SAMPLE_DOCS`` documents of each label with the smallest hashes of doc_id.
 
 Cases: a null text, or one without a letter, is ``und`` with score 0; without labelled
 documents every document is ``und``; ties go to the smaller label; null labels are never
@@ -18,14 +18,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import LOWER, owner, small_batches, text_slices, word_hashes, words
 
 HIDDEN = 16
 SEGMENT = 30
-SAMPLE_DOCS = 2000
-SAMPLE_WORDS = 40
-WORDS_PER_LABEL = 10_000
+SAMPLE_DOCS = 200
 EPOCHS, LEAST_STEPS = 3, 350
 BATCH = 256
 CACHE = 300_000
@@ -125,10 +124,11 @@ def train(samples: list[tuple[bytes, str]], seed: int = 7) -> tuple[list[str], d
     """Labels and weights from (word, label) pairs."""
     labels = sorted({y for _, y in samples})
     r = np.random.default_rng(seed)
+    words_of = {name: sorted({w for w, y in samples if y == name}) for name in labels}
+    most = max(map(len, words_of.values()), default=0)
     data = []
-    for k, name in enumerate(labels):
-        own = sorted({w for w, y in samples if y == name})
-        data += [(own[i], k) for i in r.permutation(len(own))[:WORDS_PER_LABEL]]
+    for k, name in enumerate(labels):  # labels of fewer words repeat them, so that all weigh alike
+        data += [(words_of[name][i], k) for i in np.resize(r.permutation(len(words_of[name])), most)]
     p = init(max(1, len(labels)), seed)
     if len(labels) < 2:
         return labels, p
@@ -208,23 +208,24 @@ def crc_mod(n: int):
 
 
 def sample(docs: DataFrame) -> list[tuple[bytes, str]]:
-    """(word, label) of the bounded training sample of ``docs`` (doc_id, text, lang)."""
+    """Distinct (word, label) pairs of the bounded training sample of ``docs`` (doc_id,
+    text, lang)."""
     small_batches(docs.sparkSession)
-    ids = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id").orderBy(F.md5(F.col("doc_id").cast("string"))).limit(SAMPLE_DOCS)
-    picked = docs.where("lang IS NOT NULL").join(F.broadcast(ids), "doc_id", "left_semi").select("text", "lang")
+    known = docs.where("text IS NOT NULL AND lang IS NOT NULL")
+    w = Window.partitionBy("lang").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id")
+    ids = known.select("doc_id", "lang").withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= SAMPLE_DOCS).select("doc_id").distinct()
+    picked = known.join(F.broadcast(ids), "doc_id", "left_semi").select("text", "lang")  # SAMPLE_DOCS a label
 
     def pick(batches):
         for b in batches:
             for lo, hi, buf, off in text_slices(b):
                 s, n, doc = segments(buf, off)
-                lang, per = b.column(1).slice(lo, hi - lo).to_pylist(), np.bincount(doc, minlength=hi - lo)
-                rank = np.arange(len(doc)) - np.repeat(np.cumsum(per) - per, per)
-                every = np.maximum(1, per // SAMPLE_WORDS)[doc]
-                i = np.flatnonzero((rank % every == 0) & (rank // every < SAMPLE_WORDS))
-                low = LOWER[buf]
-                yield pa.RecordBatch.from_arrays([pa.array([low[a : a + k].tobytes() for a, k in zip(s[i], n[i], strict=True)], pa.binary()), pa.array([lang[d] for d in doc[i]], pa.string())], ["word", "lang"])
-
-    rows = picked.mapInArrow(pick, "word binary, lang string").collect()
+                lang = b.column(1).slice(lo, hi - lo).to_pylist()
+                low = LOWER[buf].tobytes()
+                pairs = sorted({(low[a : a + k], lang[d]) for a, k, d in zip(s.tolist(), n.tolist(), doc.tolist(), strict=True)})
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in pairs], pa.binary()), pa.array([x[1] for x in pairs], pa.string())], ["word", "lang"])
+
+    rows = picked.mapInArrow(pick, "word binary, lang string").distinct().collect()
     return sorted((bytes(r[0]), r[1]) for r in rows)
 
 

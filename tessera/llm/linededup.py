@@ -19,8 +19,9 @@ at a line's end joins its last unit, and a line with fewer words has none.
 
 Cases: null and empty texts have no units; a unit repeated within one document is removed
 after its first occurrence; a very frequent unit is one digest whose minimum is found by
-partial aggregation, so no task gathers its occurrences; rows with one doc_id are one
-document, so a repeated row is no copy of itself; a null doc_id comes after all others, and
+partial aggregation, and its rows are dealt to several tasks where they meet the minimum;
+rows with one doc_id are one document, so a repeated row is no copy of itself (where their
+texts differ, units of equal index are taken for one); a null doc_id comes after all others, and
 ``deduplicate`` leaves its texts whole, as the rows cannot be told apart.
 """
 
@@ -122,36 +123,56 @@ def units_of(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, int,
 
 
 def units(docs: DataFrame, min_words: int | None = None) -> DataFrame:
-    """doc_id, unit, start, end, digest of every unit of ``docs``."""
+    """doc_id, unit, start, length and digest (key_a, key_b) of every unit of ``docs``;
+    ``times`` its document holds the unit, on the first of them, and 0 on the others."""
     small_batches(docs.sparkSession)
-    schema = pa.schema([("doc_id", pa.int64()), ("unit", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("digest", pa.binary())])
 
     def cut(batches):
         for b in batches:
-            rows: tuple[list, ...] = ([], [], [], [], [])
+            ids: list = []
+            rows: list[tuple[int, int, int]] = []
+            digests: list[bytes] = []
+            times: list[int] = []
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for row in rolling_units(text or "") if min_words is None else units_of(text or "", min_words):
-                    for c, v in zip(rows, (doc_id, *row), strict=True):
-                        c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema=schema)
-
-    return docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, unit int, start long, end long, digest binary")
+                first: dict[bytes, int] = {}
+                for unit, start, end, digest in rolling_units(text or "") if min_words is None else units_of(text or "", min_words):
+                    at = first.setdefault(digest, len(digests))
+                    times.append(1 if at == len(digests) else 0)
+                    times[at] += at != len(digests)
+                    ids.append(doc_id)
+                    rows.append((unit, start, end))
+                    digests.append(digest)
+            if not rows:
+                continue
+            x, key = np.array(rows, np.int64), np.frombuffer(b"".join(digests), np.dtype([("a", "<i8"), ("b", "<i4")]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(x[:, 0].astype(np.int32)), pa.array(x[:, 1]), pa.array((x[:, 2] - x[:, 1]).astype(np.int32)), pa.array(key["a"].copy()), pa.array(key["b"].copy()), pa.array(np.array(times, np.int32))],
+                ["doc_id", "unit", "start", "length", "key_a", "key_b", "times"],
+            )
+
+    return docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, unit int, start long, length int, key_a long, key_b int, times int")
 
 
 def duplicates(docs: DataFrame, min_words: int | None = None) -> DataFrame:
     """The occurrences to remove: doc_id, unit, start, end, kept_doc_id, kept_unit."""
     every = scratch(units(docs, min_words), "units")
-    first = every.groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "unit")).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    hit = every.join(first.select(F.col("digest").alias("k"), "kept"), F.col("digest") == F.col("k"), "inner")
-    again = hit.where(~F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) | (F.col("unit") != F.col("kept.unit")))
-    return again.select("doc_id", "unit", "start", "end", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.unit").alias("kept_unit"))
+    last = F.lit(2**63 - 1)
+    doc = F.coalesce("doc_id", last)
+    first = every.where("times > 0").groupBy("key_a", "key_b").agg(F.min(doc).alias("kept"), F.min_by("unit", doc).alias("kept_unit"), F.sum("times").alias("n")).where("n > 1")
+    # stored, so that a frequent digest is split in the join by adaptive execution
+    first = scratch(first.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "kept", "kept_unit"), "first")
+    hit = every.drop("times").join(first, (F.col("key_a") == F.col("a")) & (F.col("key_b") == F.col("b")), "inner")
+    again = hit.where((doc != F.col("kept")) | (F.col("unit") != F.col("kept_unit")))
+    return again.select("doc_id", "unit", "start", (F.col("start") + F.col("length")).alias("end"), F.when(F.col("kept") < last, F.col("kept")).alias("kept_doc_id"), F.col("kept_unit"))
 
 
 def deduplicate(docs: DataFrame, min_words: int | None = None) -> DataFrame:
     """``docs`` with ``removed``, the (unit, start, end) that went, and ``clean_text``,
-    what lies outside of them."""
-    gone = duplicates(docs, min_words).groupBy(F.col("doc_id").alias("gone_id")).agg(F.sort_array(F.collect_list(F.struct("unit", "start", "end"))).alias("removed"))
-    joined = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left").drop("gone_id")
+    what lies outside of them; columns of these names are replaced."""
+    clash = {"removed", "clean_text"} & {c.lower() for c in docs.columns}
+    docs = docs.drop(*clash)
+    gone = duplicates(docs, min_words).groupBy(F.col("doc_id").alias("_gone")).agg(F.sort_array(F.collect_set(F.struct("unit", "start", "end"))).alias("removed"))
+    joined = docs.join(gone, docs["doc_id"] == gone["_gone"], "left").drop(gone["_gone"])
     kept = F.aggregate(
         "removed",
         F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),

@@ -23,7 +23,9 @@ order.
 
 Cases: null or empty texts, and texts without words, have an empty set and are linked
 with nothing; fewer words than a shingle make one shingle; ties go to the smallest
-doc_id; rows repeated with one doc_id are one document (each row is returned).
+doc_id. Rows that share a doc_id are one document and each is returned: if their texts
+differ, the one with words and the least fingerprint is compared and ``n_shingles`` is each row's
+own. A row without doc_id is linked with nothing: its component is null and it is kept.
 """
 
 from __future__ import annotations
@@ -108,18 +110,21 @@ def superminhash(keys: np.ndarray, counts: np.ndarray, m: int = REGISTERS) -> np
     return regs
 
 
+def _fingerprint(keys: np.ndarray, counts: np.ndarray, c: int) -> np.ndarray:
+    """One number for each text's set; 0 for an empty one."""
+    some, out = np.flatnonzero(counts), np.zeros(len(counts), np.uint64)
+    if len(some):
+        out[some] = np.add.reduceat(mix64(keys ^ _C[c]), (np.cumsum(counts) - counts)[some])
+    return out
+
+
 def _signatures(batches):
     for batch in batches:
         ids = batch.column(0)
         for a, b, buf, off in text_slices(batch):
             keys, counts = shingle_sets(buf, off)
             regs = superminhash(keys, counts)
-            some = np.flatnonzero(counts)
-            at = (np.cumsum(counts) - counts)[some]
-            f1, f2 = np.zeros(b - a, np.uint64), np.zeros(b - a, np.uint64)
-            if len(some):
-                f1[some] = np.add.reduceat(mix64(keys ^ _C[40]), at)
-                f2[some] = np.add.reduceat(mix64(keys ^ _C[41]), at)
+            f1, f2 = _fingerprint(keys, counts, 40), _fingerprint(keys, counts, 41)
             bands = mix64((regs.reshape(b - a, BANDS, ROWS) * _C[50 : 50 + ROWS]).sum(axis=2, dtype=np.uint64))
             low = (regs & np.uint64(0xFFFF)).astype(np.uint16)
             yield pa.RecordBatch.from_arrays(
@@ -137,7 +142,10 @@ def _sets(batches):
         for a, b, buf, off in text_slices(batch):
             keys, counts = shingle_sets(buf, off)
             at = np.concatenate([[0], np.cumsum(counts)])
-            yield pa.RecordBatch.from_arrays([ids.slice(a, b - a).cast(pa.int64()), binary_column([keys[x:y].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)])], ["doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays(
+                [ids.slice(a, b - a).cast(pa.int64()), pa.array(_fingerprint(keys, counts, 40).view(np.int64)), binary_column([keys[x:y].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)])],
+                ["doc_id", "f1", "shingles"],
+            )
 
 
 def _buckets(batches):
@@ -276,20 +284,48 @@ def _blocks(rows: DataFrame) -> DataFrame:
     return asking.unionByName(asked).withColumn("part", F.col("s") * F.col("k") + F.col("g"))
 
 
+def _of_one_id(docs: DataFrame, sigs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Signatures of the text that stands for each id, and the ids of several texts with
+    that text's n, f1, f2 (None if there is no such id)."""
+    named = sigs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("f1").alias("lo"), F.max("f1").alias("hi"), F.min(F.when(F.col("n_shingles") > 0, F.col("f1"))).alias("own"))
+    several = scratch(named.where("lo <> hi").select("doc_id", "own"), "several")
+    sigs = sigs.where("doc_id IS NOT NULL AND n_shingles > 0")
+    if several.isEmpty():
+        return sigs, None
+    main = sigs.join(several, "doc_id", "left").where("own IS NULL OR f1 = own").drop("own")
+    found = several.join(sigs, "doc_id").where("f1 = own").groupBy("doc_id").agg(*[F.min(c).alias(f"own_{c}") for c in ("n_shingles", "f1", "f2")])
+    return main, scratch(found, "several")
+
+
+def _full_sets(docs: DataFrame, active: DataFrame, several: DataFrame | None) -> DataFrame:
+    """The shingle set of each active id."""
+    known = docs.join(active, "doc_id", "left_semi")
+    schema = "doc_id long, f1 long, shingles binary"
+    one = known if several is None else known.join(several, "doc_id", "left_anti")
+    sets = one.dropDuplicates(["doc_id"]).mapInArrow(_sets, schema).drop("f1")
+    if several is None:
+        return sets
+    own = known.join(several, "doc_id", "left_semi").mapInArrow(_sets, schema).join(several, "doc_id").where("f1 = own_f1")
+    return sets.union(own.dropDuplicates(["doc_id"]).select("doc_id", "shingles"))
+
+
 def group(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sigs = scratch(docs.mapInArrow(_signatures, "doc_id long, n_shingles long, f1 long, f2 long, sig binary, bands array<long>"), "sigs")
+    main, several = _of_one_id(docs, sigs)
     same = ["n_shingles", "f1", "f2"]
-    sets = scratch(sigs.where("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("rep")), "classes")
-    reps = sigs.join(sets.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    sets = scratch(main.groupBy(*same).agg(F.min("doc_id").alias("rep")), "classes")
+    reps = main.join(sets.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     banded = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    shared = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # stored, so that a crowded bucket is split in the join by adaptive execution
+    shared = scratch(banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
     members = scratch(banded.join(shared, ["band", "key"]).select("band", "key", "n", "doc_id"), "members")
+    drop_scratch(shared)
     active = members.select("doc_id").distinct()
-    shingles = scratch(docs.join(active, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets, "doc_id long, shingles binary"), "sets")
+    shingles = scratch(_full_sets(docs, active, several), "sets")
     buckets = scratch(members.join(reps.select("doc_id", "sig", F.col("n_shingles").alias("m")), "doc_id").select("band", "key", "n", F.col("doc_id").alias("id"), "sig", "m"), "buckets")
     drop_scratch(members)
 
@@ -313,10 +349,35 @@ def group(docs: DataFrame) -> DataFrame:
     drop_scratch(hopeful)
     drop_scratch(shingles)
     first = sets.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(*same, F.coalesce("component", "rep").alias("first"))
-    named = first.join(again.withColumnRenamed("id", "first"), "first", "left").select(*same, F.coalesce("component", "first").alias("component_id"))
-    out = sigs.select("doc_id", *same).join(named, same, "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    named = scratch(first.join(again.withColumnRenamed("id", "first"), "first", "left").select(*same, F.coalesce("component", "first").alias("component_id")), "named")
+    rows = sigs.select("doc_id", *same)
+    if several is None:
+        keyed = rows.select("doc_id", F.col("n_shingles").alias("own_size"), *same)
+    else:
+        keyed = rows.join(several, "doc_id", "left").select("doc_id", F.col("n_shingles").alias("own_size"), *[F.coalesce(f"own_{c}", c).alias(c) for c in same])
+    # a text without words has no class: its keys are spread by id
+    keyed = keyed.withColumn("f1", F.when(F.col("n_shingles") > 0, F.col("f1")).otherwise(F.xxhash64("doc_id")))
+    out = keyed.join(named, same, "left").withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
+    return out.select("doc_id", F.col("own_size").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def op2_near_dedup(spark, sf_dir: str) -> DataFrame:
     return group(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+#: The contract in DuckDB: pairs by shared shingles, then reachability. For small tables.
+SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM flat a JOIN flat b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+edges AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (SELECT doc_id, doc_id AS other FROM sets UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.other) AS component_id, s.doc_id = min(r.other) AS kept
+FROM sets s JOIN reach r USING (doc_id) GROUP BY s.doc_id, len(s.s)
+"""

@@ -18,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_near_dedup": neardup.SQL,
     "op5_mixing": mixing.SQL,
     "op8_url_reputation": urlrep.SQL,
 }

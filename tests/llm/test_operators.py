@@ -152,6 +152,19 @@ def test_near_dedup_hard_rows(spark, messy, nothing):
     assert neardup.group(nothing).count() == 0
 
 
+def test_near_dedup_ids_of_several_texts(spark):
+    """Rows of one id are one document, whatever their texts; rows without id stay."""
+    base = " ".join(f"a{i}" for i in range(60))
+    other = " ".join(f"b{i}" for i in range(60))
+    rows = [(5, base), (5, other), (3, base), (4, other), (6, other + " end"), (None, base), (None, None), (7, ""), (7, base), (8, "one")]
+    got = collections.defaultdict(set)
+    for r in neardup.group(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r.doc_id].add((r.n_shingles, r.component_id, r.kept))
+    assert got[None] == {(56, None, True), (0, None, True)} and got[8] == {(1, 8, True)}
+    assert {c for _, c, _ in got[5]} in ({3}, {4}) and len(got[5]) == 1 and got[3] == {(56, 3, True)} and got[4] == {(56, 4, True)} and got[6] == {(57, 4, False)}
+    assert got[7] == {(0, 3, False), (56, 3, False)}
+
+
 def test_superminhash_estimates():
     r = np.random.default_rng(1)
     both, a, b = (r.integers(0, 2**63, n).astype(np.uint64) for n in (600, 200, 200))
@@ -201,6 +214,13 @@ def test_line_dedup(spark, docs, messy, nothing):
     assert sorted(map(tuple, linededup.duplicates(spark.read.parquet(f"{D}/documents.parquet"), 5).collect())) == sorted(want) and want
 
 
+def test_line_dedup_clashing_names(spark):
+    df = spark.createDataFrame([(1, "one two three four five six", "r", "c", "d", 1, "g"), (2, "one two three four five six", "r", "c", "d", 1, "g")], "doc_id long, text string, removed string, clean_text string, digest string, unit int, _gone string")
+    out = {r.doc_id: r for r in linededup.deduplicate(df).collect()}
+    assert out[1].clean_text == "one two three four five six" and out[2].clean_text == "" and out[2].digest == "d" and out[2]._gone == "g"
+    assert {r.doc_id for r in linededup.duplicates(df).collect()} == {2}
+
+
 def test_passage_amid_a_line(spark):
     passage = " ".join(f"p{i}{'.' if i % 8 == 7 else ''}" for i in range(60))
     rows = [(1, "Lead in. " + passage + " tail one two"), (2, "Other words here stand. And more " + passage)]
@@ -431,6 +451,27 @@ def test_neighbours(spark, nothing):
     assert ann.search(usable.limit(0), usable.limit(0)).count() == 0
 
 
+def test_neighbours_of_repeated_and_missing_ids(spark):
+    r = np.random.default_rng(14)
+    x = r.normal(size=(60, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += rows[:30] + [(0, x[59].tolist()), (None, x[0].tolist()), (40, x[1].tolist())]  # repeats, one id with two vectors, no id
+    table = ann.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    out = ann.search(table, table.where("vec_id % 20 = 0"), 10).toPandas()
+    of = collections.defaultdict(list)
+    for i, v in rows:
+        if i is not None:
+            of[i].append(np.array(v))
+    for q, g in out.groupby("query_id"):
+        own = np.array(min(map(tuple, of[q])))
+        d = {i: min(np.sqrt(((v - own) ** 2).sum()) for v in vs) for i, vs in of.items() if i != q}
+        best = sorted(d, key=lambda i: (d[i], i))[:10]
+        g = g.sort_values("rank")
+        assert g["rank"].tolist() == list(range(1, 11)) and g.vec_id.is_unique and len(set(best) & set(g.vec_id)) >= 9
+        assert np.allclose(g.score, [d[i] for i in g.vec_id])
+    assert sorted(out.query_id.unique()) == [0, 20, 40]
+
+
 def test_multi_index_retrieves_every_code():
     r = np.random.default_rng(5)
     codes = r.integers(0, 2**16, (3000, 8)).astype(np.uint16)
@@ -501,6 +542,19 @@ def test_urls(spark):
     assert {r.verdict for r in urlrep.judge(pages, labels.limit(0)).where("rule IS NULL").collect()} == {"allow"}
 
 
+def test_reputation_keys(spark):
+    """Ports and users share their host's reputation; a public suffix has no owner."""
+    bad = [f"http://bad{k}.co.uk/{i}" for k in range(6) for i in range(30)] + [f"http://bad.info/{i}" for i in range(40)] + [f"http://ok{k}.info/{i}" for k in range(8) for i in range(30)]
+    ask = ["http://bad.info:8080/", "http://me:pw@bad.info/x", "http://bad.info./", "http://fresh.co.uk/", "http://www.bad0.co.uk/"]
+    pages = spark.createDataFrame(list(enumerate(bad + ask)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, int("bad" in u)) for i, u in enumerate(bad)], "page_id long, bad int")
+    rows = {r.page_id: r for r in urlrep.judge(pages, labels).collect()}
+    got = [rows[len(bad) + k] for k in range(len(ask))]
+    assert [r.verdict for r in got[:3]] == ["block"] * 3 and got[0].host == "bad.info:8080" and got[4].verdict == "block"
+    site = {r.host: (r.domain, r.suffix) for r in urlrep.with_levels(spark.createDataFrame([("a.b.co.uk",), ("b.com:80",), ("x",), ("",)], "host string")).collect()}
+    assert site == {"a.b.co.uk": ("b.co.uk", "co.uk"), "b.com:80": ("b.com", "com"), "x": ("x", "x"), "": ("", "")}
+
+
 # ------------------------------------------------------------------ 9
 def test_secret_patterns():
     t = 'é password=abcdef x token = "1beb58b8af68854f0e01b4ad" Secret:ab AKIA' + "A" * 16 + " api-key=1234567 APIKEY=1234567 " + "0a" * 12
