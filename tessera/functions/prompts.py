@@ -114,8 +114,24 @@ def back_translation_prompt(text: Column) -> Column:
     return F.struct(F.lit("Translate the text into natural English, exactly and without additions. Output the translation only.").alias("system"), text.alias("user"))
 
 
+# What new seeds of each family must hold, in our own words.
+FAMILY_RULES = {
+    "qa": 'Put a question about a settled fact into "prompt" and its short answer, checked, into "expected".',
+    "reasoning": 'Put a problem of several steps into "prompt", asking for the steps, and the final answer into "expected"; solve it yourself first.',
+    "classification": 'Put the text and the list of its candidate labels into "prompt", the same labels, two at least, into "labels", and exactly one of them into "expected"; no irony.',
+    "summarization": 'Put a factual passage of three to five sentences into "prompt" and a summary of one sentence, without new facts, into "expected".',
+    "translation": 'Put one short everyday sentence into "prompt" and null into "expected"; vary register and setting.',
+    "instruction": 'Put an open request that needs no other text into "prompt" and null into "expected"; vary its kind.',
+}
+
+
 def bootstrap_prompt(task: str, examples: Column, per_call: int) -> Column:
     """Few-shot request for new seeds; ``examples`` is an array of seed structs of which
     three are shown."""
-    system = f"You write new English seed tasks of the family {task}, varied in topic and difficulty and translatable. Output a JSON array of objects with prompt, expected, labels and metadata."
+    rule = FAMILY_RULES.get(task, 'Fill "prompt" and "expected" as fits.')
+    system = (
+        f"You write new English seed tasks of the family {task}, varied in topic and difficulty, none a rewording of an example. {rule} "
+        "They will be translated to Hindi, Urdu, Tamil and Malayalam: no idioms, puns or local trivia; South Asian settings are welcome. "
+        "Output only a JSON array of objects with prompt, expected, labels and metadata (domain, difficulty)."
+    )
     return F.struct(F.lit(system).alias("system"), _say(f"Examples of {task}:\n", F.to_json(F.slice(examples, 1, 3)), f"\n\nWrite {per_call} new ones as a JSON array.").alias("user"))

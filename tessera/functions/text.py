@@ -111,6 +111,7 @@ def padded(n: Column, width: int) -> Column:
     return F.format_string(f"%0{width}d", n)
 
 
+# The quotes and the opening words of a translation task.
 def quoted_source(prompt: Column) -> Column:
     """The sentence between the first and last quote, or what follows ``Translate ...:``."""
     inside = strip_ws(F.regexp_extract(prompt, r"""(?s)['"](.+)['"]""", 1))
@@ -137,5 +138,17 @@ def percent(x: Column) -> Column:
     return F.concat(F.bround(100 * x, 0).cast("int").cast("string"), F.lit("%"))
 
 
+def fixed(x: Column, digits: int) -> Column:
+    """``{x:.nf}`` by half-even rounding of the decimal value."""
+    return F.format_string(f"%.{digits}f", F.bround(x.cast("decimal(38,12)"), digits).cast("double"))
+
+
+def median_or_zero(c: Column | str) -> Column:
+    """Interpolated median, 0 of nothing."""
+    return F.coalesce(F.median(c), F.lit(0.0))
+
+
 def utc_day(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd")
+    """The UTC date, whatever the session's time zone."""
+    local = ts.cast("timestamp_ntz")  # wall time of the session's zone
+    return F.date_format(F.convert_timezone(None, F.lit("UTC"), local), "yyyy-MM-dd")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 from typing import Protocol
@@ -12,6 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Pauses between attempts of a call.
+BACKOFF, RATE_LIMIT_WAIT = 1.5, 12.0
+
+
 class ChatClient(Protocol):
     def complete(self, model: str, system: str, user: str, temperature: float, max_tokens: int) -> str: ...
 
@@ -21,9 +26,60 @@ class MockClient:
         return '{"prompt": "[mock] prompt", "expected": "[mock] answer"}'
 
 
+class HttpClient:
+    """Client of any server with the common chat completions interface. One request per
+    call, with a timeout; retries are the caller's."""
+
+    def __init__(self, base_url: str, api_key: str, timeout: float = 90.0, post=None):
+        if not api_key:
+            raise ValueError("an api key is needed")
+        self.url, self.key, self.timeout, self.post = base_url.rstrip("/") + "/chat/completions", api_key, timeout, post or self._post
+
+    def _post(self, url: str, headers: dict, body: bytes, timeout: float) -> dict:
+        from urllib.error import HTTPError
+        from urllib.request import Request, urlopen
+
+        try:
+            with urlopen(Request(url, body, headers), timeout=timeout) as r:
+                return json.load(r)
+        except HTTPError as e:
+            raise (RateLimited if e.code == 429 else RuntimeError)(f"status {e.code}") from e
+
+    def complete(self, model: str, system: str, user: str, temperature: float, max_tokens: int) -> str:
+        messages = [{"role": "system", "content": system}, {"role": "user", "content": user}]
+        body = json.dumps({"model": model, "messages": messages, "temperature": temperature, "max_tokens": max_tokens}).encode()
+        got = self.post(self.url, {"Authorization": f"Bearer {self.key}", "Content-Type": "application/json"}, body, self.timeout)
+        return got["choices"][0]["message"]["content"] or ""
+
+
+class CommandClient:
+    """Client that runs a command, gives it the prompts on standard input and takes its
+    output; for a driver, not for executors."""
+
+    def __init__(self, command: list[str], timeout: float = 300.0):
+        self.command, self.timeout = command, timeout
+
+    def complete(self, model: str, system: str, user: str, temperature: float, max_tokens: int) -> str:
+        import subprocess
+
+        words = [w.replace("{model}", model) for w in self.command]
+        done = subprocess.run(words, input=f"{system}\n\n{user}", capture_output=True, text=True, timeout=self.timeout)
+        if done.returncode:
+            raise RuntimeError(f"{words[0]} ended with {done.returncode}: {done.stderr.strip()[:200]}")
+        return done.stdout.strip()
+
+
+class RateLimited(RuntimeError):
+    """The server asks for fewer calls."""
+
+
 CLIENTS: dict[str, Callable[[], ChatClient]] = {"mock": MockClient}
 
 
+def register_client(name: str, factory: Callable[[], ChatClient]) -> None:
+    CLIENTS[name] = factory
+
+
 def build_client(name: str) -> ChatClient:
     if name not in CLIENTS:
         raise ValueError(f"unknown client {name!r}")
@@ -44,9 +100,22 @@ class RateLimiter:
         self.last = self.clock()
 
 
-def complete(prompts: DataFrame, factory: Callable[[], ChatClient], per_minute: float | None = None, attempts: int = 4) -> DataFrame:
+def pause(error: Exception, attempt: int, backoff: tuple[float, ...] | None = None) -> float:
+    """Seconds before the next attempt (from 0): a fixed cool-off for rate limits, else a
+    growing pause, or the given ones, of which the last repeats."""
+    if backoff:
+        return backoff[min(attempt, len(backoff) - 1)]
+    limited = isinstance(error, RateLimited) or "429" in str(error)
+    return RATE_LIMIT_WAIT if limited else BACKOFF**attempt
+
+
+def complete(
+    prompts: DataFrame, factory: Callable[[], ChatClient], per_minute: float | None = None, attempts: int = 4, temperature: float = 0.7, max_tokens: int = 1024,
+    backoff: tuple[float, ...] | None = None, sleep: Callable[[float], None] = time.sleep,
+) -> DataFrame:
     """``prompts`` with system, user, model: adds raw_response or error. Retries happen
-    here, so that a failing call never fails a task."""
+    here, so that a failing call never fails a task. A client is built once per task; a
+    cap on the calls a minute must be divided by the number of tasks."""
     schema = T.StructType([*prompts.schema.fields, T.StructField("raw_response", T.StringType()), T.StructField("error", T.StringType())])
 
     def run(frames):
@@ -59,12 +128,12 @@ def complete(prompts: DataFrame, factory: Callable[[], ChatClient], per_minute:
                     try:
                         if limit:
                             limit.wait()
-                        text, error = client.complete(r.model, r.system, r.user, 0.7, 1024), None
+                        text, error = client.complete(r.model, r.system, r.user, temperature, max_tokens), None
                         break
                     except Exception as e:  # noqa: BLE001
                         error = str(e)
                         if k + 1 < attempts:
-                            time.sleep(min(12, 1.5**k) if limit else 0)
+                            sleep(pause(e, k, backoff))
                 got.append(text)
                 bad.append(error)
             yield f.assign(raw_response=got, error=bad)
@@ -77,12 +146,26 @@ def letter_vector(text):
     return F.transform(F.sequence(F.lit(97), F.lit(122)), lambda c: F.regexp_count(F.lower(text), F.char(c)).cast("double"))
 
 
-def embed(texts: DataFrame, factory: Callable[[], Callable[[list[str]], list[list[float]]]]) -> DataFrame:
-    """Embed the distinct texts once: (text) -> (text, vector)."""
+class Embedder(Protocol):
+    def encode(self, texts: list[str]) -> list[list[float]]: ...
+
+
+class LetterEmbedder:
+    """The letter-frequency vector as an ``Embedder``."""
+
+    def encode(self, texts: list[str]) -> list[list[float]]:
+        return [[float(t.lower().count(chr(c))) for c in range(97, 123)] for t in texts]
+
+
+def embed(texts: DataFrame, factory: Callable[[], Embedder], batch: int = 64) -> DataFrame:
+    """Embed the distinct texts once: (text) -> (text, vector). The model is built once
+    per task and sees ``batch`` texts at a time."""
 
     def run(frames):
-        encode = factory()
+        model = factory()
         for f in frames:
-            yield pd.DataFrame({"text": f["text"], "vector": list(encode(f["text"].tolist()))})
+            texts = f["text"].tolist()
+            vectors = [list(map(float, v)) for a in range(0, len(texts), batch) for v in model.encode(texts[a : a + batch])]
+            yield pd.DataFrame({"text": texts, "vector": vectors})
 
     return texts.select("text").distinct().mapInPandas(run, "text string, vector array<double>")

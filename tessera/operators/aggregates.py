@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.text import clamp01, fixed, short_name
 from ..sources.sinks import markdown_table
 
 AXES = ("fluency", "faithfulness", "bias")
@@ -54,6 +55,53 @@ def ensemble(scores: DataFrame, method: str = "mean") -> DataFrame:
     return got.select("item_id", *AXES, overall.alias("overall"), F.concat(F.lit(f"ensemble[{method}]:"), F.array_join("judges", ",")).alias("judge_model"), F.concat(F.col("n").cast("string"), F.lit(" judge(s)")).alias("judge_rationale"))
 
 
+def required(scores: DataFrame) -> DataFrame:
+    """ValueError where there is nothing to aggregate."""
+    if scores.isEmpty():
+        raise ValueError("no scores to aggregate")
+    return scores
+
+
+def overall() -> Column:
+    """Mean of the clamped axes."""
+    return sum(clamp01(F.col(a)) for a in AXES) / len(AXES)
+
+
+def availability(targets: DataFrame, scores: DataFrame) -> DataFrame:
+    """One row: items judged at least once (scored) and those with no usable judge
+    (failed), which an ensemble leaves out."""
+    usable = scores.where(" OR ".join(f"{a} IS NOT NULL" for a in AXES)).select("item_id").distinct().withColumn("_ok", F.lit(True))
+    both = targets.select("item_id").join(usable, "item_id", "left")
+    return both.agg(F.count_if(F.col("_ok")).alias("scored"), F.count_if(F.col("_ok").isNull()).alias("failed"))
+
+
+def progress(items: DataFrame, log: DataFrame) -> DataFrame:
+    """One row: items scored, remaining and in error by a log (id, error)."""
+    per = log.groupBy("id").agg(F.max(F.col("error").isNull()).alias("_done"))
+    both = items.select("id").join(per, "id", "left")
+    return both.agg(F.count_if(F.col("_done")).alias("scored"), F.count_if(~F.col("_done")).alias("errors"), F.count_if(F.col("_done").isNull()).alias("remaining"))
+
+
+def structural_fails(verdicts: DataFrame) -> DataFrame:
+    ok = F.get(F.transform(F.filter("results", lambda r: r["filter"] == "structural"), lambda r: r["passed"]), F.lit(0))
+    return verdicts.groupBy("task").agg(F.count(F.lit(1)).alias("total"), F.count_if(~ok).alias("fails"))
+
+
+def by_judge(scores: DataFrame) -> DataFrame:
+    """Judgements per judge's short name."""
+    return scores.groupBy(short_name(F.col("judge")).alias("judge")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def ensemble_overview(scores: DataFrame, low: float) -> DataFrame:
+    """One row: mean of item means, items, those of several judges and those below ``low``."""
+    per = scores.groupBy("item_id").agg(F.avg(overall()).alias("o"), F.countDistinct("judge").alias("j"))
+    return per.agg(F.avg("o").alias("mean"), F.count(F.lit(1)).alias("items"), F.count_if(F.col("j") >= 2).alias("multi"), F.count_if(F.col("o") < low).alias("low"))
+
+
+def axis_means(scores: DataFrame, key: str = "language") -> DataFrame:
+    return scores.groupBy(key).agg(*[F.avg(a).alias(a) for a in AXES], F.count(F.lit(1)).alias("n"))
+
+
 def spread(scores: DataFrame, axis: str) -> DataFrame:
     return scores.groupBy("item_id").agg(F.when(F.count(axis) > 1, F.max(axis) - F.min(axis)).alias("spread"))
 
@@ -72,11 +120,17 @@ def audit(scores: DataFrame, keys: list[str], value: str) -> DataFrame:
     return base.join(low_p10(scores, keys, value), keys)
 
 
-def coverage(items: DataFrame, log: DataFrame) -> DataFrame:
-    """Per language: items, judged at least once, by at least two judges."""
+def coverage(items: DataFrame, log: DataFrame, back_translated: DataFrame | None = None) -> DataFrame:
+    """Per language: items, judged at least once, by at least two judges; with the ids of
+    a back-translation log also those eligible (no translation items) and scored."""
     n = log.groupBy("item_id").agg(F.countDistinct("judge").alias("judges"))
     both = items.join(n, items["id"] == n["item_id"], "left")
-    return both.groupBy("language").agg(F.count(F.lit(1)).alias("items"), F.count_if(F.col("judges") >= 1).alias("judged"), F.count_if(F.col("judges") >= 2).alias("ensemble"))
+    out = [F.count(F.lit(1)).alias("items"), F.count_if(F.col("judges") >= 1).alias("judged"), F.count_if(F.col("judges") >= 2).alias("ensemble")]
+    if back_translated is not None:
+        both = both.join(back_translated.select("id").distinct().withColumn("_bt", F.lit(True)), "id", "left")
+        free = F.col("task_family") != "translation"
+        out += [F.count_if(free).alias("bt_eligible"), F.count_if(free & F.col("_bt")).alias("bt_scored")]
+    return both.groupBy("language").agg(*out)
 
 
 def distribution(scores: DataFrame, key: str, value: str) -> DataFrame:
@@ -96,7 +150,12 @@ def discrimination(pairs: DataFrame) -> DataFrame:
 
 
 def tier_pivot(scores: DataFrame, judges: list[str]) -> DataFrame:
-    return scores.groupBy("tier").pivot("judge", judges).agg(F.first("fluency", ignorenulls=True))
+    """Fluency per tier and judge; ``scores`` with a column ``error`` gives text cells, ERR
+    where a judge failed."""
+    if "error" not in scores.columns:
+        return scores.groupBy("tier").pivot("judge", judges).agg(F.first("fluency", ignorenulls=True))
+    cell = F.coalesce(fixed(F.max("fluency"), 2), F.max(F.when(F.col("error").isNotNull(), "ERR")))
+    return scores.groupBy("tier").pivot("judge", judges).agg(cell)
 
 
 def drop_counts(candidates: DataFrame) -> DataFrame:
@@ -110,3 +169,19 @@ def taxonomy(reviews: DataFrame) -> DataFrame:
 
 def defect_rate(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("language").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("verdict") == "defect").alias("defects")).withColumn("rate", rate(F.col("defects"), F.col("n")))
+
+
+def verdict_shares(reviews: DataFrame) -> DataFrame:
+    """Reviews per verdict and their share; the total is a sum of a few counts."""
+    n = reviews.groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
+    return n.withColumn("share", rate(F.col("n"), F.sum("n").over(Window.partitionBy(F.lit(0)))))  # a row per verdict
+
+
+def gold_summary(selected: DataFrame) -> DataFrame:
+    """``selected`` (language, stratum, overlap): items, strata and double ratings."""
+    return selected.groupBy("language").agg(F.count(F.lit(1)).alias("items"), F.count_if(F.col("stratum") == "normal").alias("normal"), F.count_if(F.col("stratum") == "borderline").alias("borderline"), F.count_if("overlap").alias("double_rated"))
+
+
+def run_counts(done: DataFrame) -> DataFrame:
+    """``done`` (error): generated and skipped rows of a run."""
+    return done.agg(F.count_if(F.col("error").isNull()).alias("generated"), F.count_if(F.col("error").isNotNull()).alias("skipped"))

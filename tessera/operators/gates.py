@@ -61,9 +61,11 @@ def structural(v: Column) -> Column:
 
 def language_id(threshold: float = SCRIPT_THRESHOLD, exempt=EXEMPT) -> Column:
     """Passes above the threshold; exempt families pass with their real score shown."""
-    conf, task = F.col("_conf"), F.col("task_family")
+    conf, task, lang = F.col("_conf"), F.col("task_family"), F.col("target_language")
     free = task.isin(*exempt) if exempt else F.lit(False)
-    reason = F.when(free, F.concat(F.lit("exempt ("), task, F.lit(" legitimately mixes scripts)"))).when(conf < threshold, F.concat(F.lit("target-script share below "), F.lit(str(threshold))))
+    share = T.percent(conf)
+    why = F.when(free, F.concat(F.lit("exempt ("), task, F.lit("): source-language text expected; "), share, F.lit(" in "), lang, F.lit(" script")))
+    reason = why.when(conf < threshold, F.concat(F.lit("only "), share, F.lit(" of letters in "), lang, F.lit(f" script (<{threshold:.0%})")))
     return result("language_id", free | (conf >= threshold), conf, reason)
 
 
@@ -103,16 +105,37 @@ def failed_filters(results: Column) -> Column:
     return F.transform(F.filter(results, lambda r: ~r["passed"]), lambda r: r["filter"])
 
 
-def verdicts(items: DataFrame, scripts=T.SCRIPTS, short_circuit: bool = False) -> DataFrame:
-    """item_id, language, task, would_pass, failed, results of the deterministic chain."""
-    x = gated(items, scripts).select(F.col("id").alias("item_id"), F.col("target_language").alias("language"), F.col("task_family").alias("task"), "structural", "language_id")
-    got = x.withColumn("results", chain(F.col("structural"), F.col("language_id"), short_circuit=short_circuit))
+class QualityFilter:
+    """A gate of one's own: give it a ``name`` and ``evaluate``, which returns (passed,
+    score, reason) as columns over an item's columns."""
+
+    name = "filter"
+
+    def evaluate(self) -> tuple[Column, Column, Column]:
+        raise NotImplementedError
+
+    def column(self) -> Column:
+        return result(self.name, *self.evaluate())
+
+
+def annotated(items: DataFrame, *filters: QualityFilter, short_circuit: bool = False) -> DataFrame:
+    """``items`` with ``results`` of user filters, in order, and ``would_pass``."""
+    out = items.withColumn("results", chain(*[f.column() for f in filters], short_circuit=short_circuit))
+    return out.withColumn("would_pass", would_pass(F.col("results")))
+
+
+def verdicts(items: DataFrame, scripts=T.SCRIPTS, short_circuit: bool = False, more: tuple[str, ...] = ()) -> DataFrame:
+    """item_id, language, task, would_pass, failed, results of the deterministic chain, and
+    after it the results in the columns ``more`` of ``items``."""
+    x = gated(items, scripts).select(F.col("id").alias("item_id"), F.col("target_language").alias("language"), F.col("task_family").alias("task"), "structural", "language_id", *more)
+    got = x.withColumn("results", chain(F.col("structural"), F.col("language_id"), *[F.col(c) for c in more], short_circuit=short_circuit))
     return got.select("item_id", "language", "task", would_pass(F.col("results")).alias("would_pass"), failed_filters(F.col("results")).alias("failed"), "results")
 
 
 def seed_drop_reason(prompt: Column, expected: Column, labels: Column, task: Column) -> Column:
     """The first rule that a candidate seed breaks, or null if it is accepted."""
     p, e = T.strip_ws(F.coalesce(prompt, F.lit(""))), T.strip_ws(F.coalesce(expected, F.lit("")))
+    labels = labels.cast("array<string>")
     shown = F.size(F.filter(labels, lambda x: F.contains(F.lower(p), F.lower(x))))
     is_class = task == "classification"
     return (
@@ -128,13 +151,15 @@ def seed_drop_reason(prompt: Column, expected: Column, labels: Column, task: Col
 
 
 def rating_reject_reason(r: dict[str, Column] | None = None) -> Column:
-    """Why a submitted rating is refused, or null."""
-    c = r or {k: F.col(k) for k in ("task_id", "rater_id", "fluency", "faithfulness", "bias")}
+    """Why a submitted rating is refused, or null: ids and language are required, scores
+    are whole numbers from 1 to 4, and faithfulness may be absent."""
+    c = r or {k: F.col(k) for k in ("task_id", "rater_id", "language", "fluency", "faithfulness", "bias")}
     missing = F.lit(False)
-    for k in ("task_id", "rater_id"):
-        missing = missing | c[k].isNull() | (F.trim(c[k].cast("string")) == "")
-    bad = ~F.coalesce(c["fluency"].between(1, 4), F.lit(False)) | ~F.coalesce(c["bias"].between(1, 4), F.lit(False)) | ~F.coalesce(c["faithfulness"].between(1, 4), F.lit(True))
-    return F.when(missing, "missing id").when(bad, "score out of range")
+    for k in ("task_id", "rater_id", "language"):
+        missing = missing | (F.coalesce(c[k].cast("string"), F.lit("")) == "")
+    whole = lambda x: x.between(1, 4) & (x == F.floor(x))
+    bad = F.when(~F.coalesce(whole(c["fluency"]), F.lit(False)), "fluency").when(~F.coalesce(whole(c["bias"]), F.lit(False)), "bias").when(~F.coalesce(whole(c["faithfulness"]), F.lit(True)), "faithfulness")
+    return F.when(missing, "missing task_id/rater_id/language").when(bad.isNotNull(), F.concat(bad, F.lit(" must be an integer 1-4")))
 
 
 def human_accepts(fluency: Column, faithfulness: Column, bias: Column) -> Column:
@@ -143,8 +168,9 @@ def human_accepts(fluency: Column, faithfulness: Column, bias: Column) -> Column
 
 
 def axis_shown(needs_source: Column, has_source: Column, axis: Column) -> Column:
-    return F.when(axis == "faithfulness", needs_source & has_source).otherwise(F.lit(True))
+    """Whether the second phase of a rating shows an axis."""
+    return needs_source & (has_source | (axis != "faithfulness"))
 
 
 def plausible_pace(started: Column, submitted: Column, least_seconds: float) -> Column:
-    return (F.unix_micros(submitted) - F.unix_micros(started)) / 1e6 >= least_seconds
+    return (F.unix_micros(submitted.cast("timestamp")) - F.unix_micros(started.cast("timestamp"))) / 1e6 >= least_seconds

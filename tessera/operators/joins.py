@@ -63,8 +63,14 @@ def mismatched(pairs: DataFrame, rows_per_key: str = "language") -> DataFrame:
     return pairs.withColumn("other", F.coalesce(F.lead("vector").over(w), F.first("vector").over(whole)))
 
 
+def manifest_rows(manifest: DataFrame) -> DataFrame:
+    """``manifest`` (provenance: map of task_id to a struct) as a row per task."""
+    return manifest.select(F.explode("provenance").alias("task_id", "p")).select("task_id", "p.*")
+
+
 def provenance(ratings: DataFrame, manifest: DataFrame) -> DataFrame:
-    return ratings.join(manifest, "task_id")
+    """Ratings with where their item comes from; a manifest document is exploded first."""
+    return ratings.join(manifest_rows(manifest) if "provenance" in manifest.columns else manifest, "task_id")
 
 
 def rater_pairs(ratings: DataFrame, value: str) -> DataFrame:

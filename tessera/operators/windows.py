@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.text import utc_day
+
 
 def hash_order(seed: str, key: Column) -> Column:
     """A deterministic shuffle key that both this engine and plain SQL can compute."""
@@ -14,16 +16,20 @@ def hash_order(seed: str, key: Column) -> Column:
 
 def select_gold(scores: DataFrame, per_language: int, normal_share: float, seed: str) -> DataFrame:
     """``scores`` (id, language, overall) with stratum borderline or normal: per language
-    the items nearest the median, and a shuffled sample of the rest."""
-    by = Window.partitionBy("language")
-    x = scores.withColumn("med", F.median("overall").over(by)).withColumn("pool", F.count(F.lit(1)).over(by))
-    x = x.withColumn("take", F.least(F.lit(per_language), "pool")).withColumn("n_normal", F.bround(F.col("take") * normal_share, 0).cast("int"))
-    x = x.withColumn("rk", F.row_number().over(by.orderBy(F.abs(F.col("overall") - F.col("med")), "id")))
-    x = x.withColumn("border", F.col("rk") <= F.col("take") - F.col("n_normal"))
-    w = Window.partitionBy("language", "border").orderBy(hash_order(seed, F.col("id")), "id")
-    x = x.withColumn("pick", F.row_number().over(w))
-    x = x.where(F.col("border") | (F.col("pick") <= F.col("n_normal")))
-    return x.select("id", "language", "overall", F.when(F.col("border"), "borderline").otherwise("normal").alias("stratum"))
+    the items nearest the median, and a shuffled sample of the rest.
+
+    Medians come from an aggregation; a rank up to a constant lets Spark cut each task's
+    groups before the shuffle, so no task sorts a language."""
+    per = scores.groupBy("language").agg(F.percentile("overall", 0.5).alias("med"), F.count(F.lit(1)).alias("pool"))
+    per = per.withColumn("take", F.least(F.lit(per_language), "pool")).withColumn("n_normal", F.bround(F.col("take") * normal_share, 0).cast("int"))
+    x = scores.join(per, scores["language"].eqNullSafe(per["language"])).drop(per["language"])
+    near = Window.partitionBy("language").orderBy(F.abs(F.col("overall") - F.col("med")), "id")
+    border = x.withColumn("rk", F.row_number().over(near)).where(F.col("rk") <= per_language).where(F.col("rk") <= F.col("take") - F.col("n_normal"))
+    rest = x.join(border.select("id"), "id", "left_anti")
+    shuffled = Window.partitionBy("language").orderBy(hash_order(seed, F.col("id")), "id")
+    normal = rest.withColumn("rk", F.row_number().over(shuffled)).where(F.col("rk") <= per_language).where(F.col("rk") <= F.col("n_normal"))
+    cols = lambda df, name: df.select("id", "language", "overall", F.lit(name).alias("stratum"))
+    return cols(border, "borderline").unionByName(cols(normal, "normal"))
 
 
 def assign_raters(tasks: DataFrame, raters: list[str], overlap: float, seed: str) -> DataFrame:
@@ -52,10 +58,22 @@ def congested(log: DataFrame, after: int = 4) -> DataFrame:
     return x.groupBy("judge").agg(F.min(F.struct("ts", "event_id")).alias("at")).select("judge", F.col("at.event_id").alias("event_id"))
 
 
-def within_budget(log: DataFrame, cap: int) -> DataFrame:
-    """Attempts, failed ones included, up to ``cap`` per UTC day."""
+def within_budget(log: DataFrame, cap: int, per_run: int | None = None) -> DataFrame:
+    """Attempts, failed ones included, up to ``cap`` per UTC day; of new work (``run``
+    not null) at most ``per_run`` rows of a run."""
     w = Window.partitionBy("day").orderBy("ts", "event_id")
-    return log.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).withColumn("attempt", F.row_number().over(w)).where(F.col("attempt") <= cap)
+    out = log.withColumn("day", utc_day(F.col("ts"))).withColumn("attempt", F.row_number().over(w)).where(F.col("attempt") <= cap)
+    if per_run is None:
+        return out
+    turn = F.row_number().over(Window.partitionBy("run").orderBy("ts", "event_id"))
+    return out.withColumn("_turn", turn).where(F.col("run").isNull() | (F.col("_turn") <= per_run)).drop("_turn")
+
+
+def budget_left(log: DataFrame, day: str, cap: int, per_run: int) -> int:
+    """How many attempts a run may make: the smaller of its own cap and what is left of
+    the day's."""
+    used = log.where(utc_day(F.col("ts")) == day).count()
+    return max(0, min(per_run, cap - used))
 
 
 def allocate_ids(new: DataFrame, taken: DataFrame, prefix: str) -> DataFrame:

@@ -66,10 +66,12 @@ def structural_gate(spark, d):
     return gates.gated(items(spark, d), T.ASCII_SCRIPTS).select(F.col("id").alias("item_id"), "structural.passed", "structural.score", "structural.reason")
 
 
-@query(f"WITH {_GATES_SQL} SELECT id AS item_id, l_ok AS passed, round(c, 6) AS score, task = 'translation' AS exempt FROM judged")
+@query(f"""WITH {_GATES_SQL}, s AS (SELECT *, CAST(CAST(round_even(100 * c, 0) AS INT) AS VARCHAR) || '%' AS pc FROM judged)
+SELECT id AS item_id, l_ok AS passed, round(c, 6) AS score, CASE WHEN task = 'translation' THEN 'exempt (translation): source-language text expected; ' || pc || ' in ' || language || ' script'
+  WHEN NOT l_ok THEN 'only ' || pc || ' of letters in ' || language || ' script (<75%)' END AS reason FROM s""")
 def language_gate(spark, d):
     x = gates.gated(items(spark, d), T.ASCII_SCRIPTS).withColumnRenamed("language_id", "r")
-    return x.select(F.col("id").alias("item_id"), "r.passed", F.round("r.score", 6).alias("score"), F.coalesce(F.col("r.reason").startswith("exempt"), F.lit(False)).alias("exempt"))
+    return x.select(F.col("id").alias("item_id"), "r.passed", F.round("r.score", 6).alias("score"), "r.reason")
 
 
 @query(f"WITH {_GATES_SQL} SELECT id AS item_id, s_ok AND l_ok AS would_pass, array_to_string(list_filter([CASE WHEN NOT s_ok THEN 'structural' END, CASE WHEN NOT l_ok THEN 'language_id' END], lambda x: x IS NOT NULL), ',') AS failed FROM judged")
@@ -91,7 +93,7 @@ def retention_rollup(spark, d):
 
 @query(f"WITH {_GATES_SQL} SELECT task, count(*) AS total, count(*) FILTER (NOT s_ok) AS fails FROM judged GROUP BY task")
 def audit_structural(spark, d):
-    return _verdicts(spark, d).groupBy("task").agg(F.count(F.lit(1)).alias("total"), F.count_if(~F.get("results", F.lit(0))["passed"]).alias("fails"))
+    return A.structural_fails(_verdicts(spark, d))
 
 
 @query(f"""WITH {_GATES_SQL}, s AS (SELECT item_id, avg(fluency + faithfulness + bias) / 3 AS overall FROM (SELECT * FROM (WITH {SCORES_SQL} SELECT * FROM scores)) GROUP BY 1)
@@ -175,15 +177,16 @@ def unscored_anti(spark, d):
     return joins.unscored(table(spark, d, "documents").select(F.col("doc_id").alias("id")), table(spark, d, "labels").select(F.col("doc_id").alias("id")))
 
 
-@query(f"WITH {ITEMS_SQL} SELECT count(*) AS orphans FROM items WHERE seed_id NOT IN (SELECT 'seed-' || CAST(item_id AS VARCHAR) FROM benchmark WHERE item_id < 30)")
+@query(f"WITH {ITEMS_SQL} SELECT count(*) AS orphans FROM items WHERE seed_id NOT IN (SELECT 'seed-' || CAST(item_id AS VARCHAR) FROM benchmark)")
 def orphan_items(spark, d):
-    seeds = table(spark, d, "benchmark").where("item_id < 30").select(F.concat(F.lit("seed-"), F.col("item_id").cast("string")).alias("id"))
+    seeds = table(spark, d, "benchmark").select(F.concat(F.lit("seed-"), F.col("item_id").cast("string")).alias("id"))
     return joins.orphan_count(items(spark, d), seeds)
 
 
 @query("SELECT user_id, min_by(event_type, event_id) AS kind FROM events WHERE event_type <> 'error' GROUP BY user_id")
 def first_wins(spark, d):
-    p = table(spark, d, "events").where("event_type <> 'error'").select(F.col("user_id").alias("id"), F.lit("a").alias("file"), F.col("event_id").alias("pos"), F.lit("x").alias("prompt"), F.col("event_type").alias("kind"))
+    prompt = F.when(F.col("event_type") == "error", "[mock] x").otherwise("x")  # mock seeds are what merging drops
+    p = table(spark, d, "events").select(F.col("user_id").alias("id"), F.lit("a").alias("file"), F.col("event_id").alias("pos"), prompt.alias("prompt"), F.col("event_type").alias("kind"))
     return readers.merge_pools(p).select(F.col("id").alias("user_id"), "kind")
 
 
@@ -193,15 +196,14 @@ def last_wins(spark, d):
     return readers.last_wins(rows, "user_id")
 
 
-_SEEDS_SQL = "seeds AS (SELECT 'seed-' || CAST(item_id AS VARCHAR) AS id, ['qa','reasoning'][CAST(item_id % 2 + 1 AS INT)] AS task_family, CAST(item_id // 2 AS BIGINT) AS pos FROM benchmark WHERE item_id < 20)"
+_SEEDS_SQL = "seeds AS (SELECT 'seed-' || CAST(item_id AS VARCHAR) AS id, ['qa','reasoning'][CAST(item_id % 2 + 1 AS INT)] AS task_family, CAST(item_id // 2 AS BIGINT) AS pos FROM benchmark)"
 
 
 def _seeds(spark, d):
-    b = table(spark, d, "benchmark").where("item_id < 20")
-    return b.select(F.concat(F.lit("seed-"), F.col("item_id").cast("string")).alias("id"), F.element_at(F.array(F.lit("qa"), F.lit("reasoning")), (F.col("item_id") % 2 + 1).cast("int")).alias("task_family"), F.floor(F.col("item_id") / 2).cast("long").alias("pos"))
+    return table(spark, d, "benchmark").select(F.concat(F.lit("seed-"), F.col("item_id").cast("string")).alias("id"), F.element_at(F.array(F.lit("qa"), F.lit("reasoning")), (F.col("item_id") % 2 + 1).cast("int")).alias("task_family"), F.floor(F.col("item_id") / 2).cast("long").alias("pos"))
 
 
-@query(f"WITH {_SEEDS_SQL} SELECT task_family, id, CAST(i AS BIGINT) AS idx FROM seeds, range(0, 30) t(i) WHERE i % 10 = pos")
+@query(f"WITH {_SEEDS_SQL} SELECT task_family, id, CAST(i AS BIGINT) AS idx FROM (SELECT *, count(*) OVER (PARTITION BY task_family) AS n FROM seeds), range(0, 30) t(i) WHERE i % n = pos")
 def cycle_seeds(spark, d):
     return joins.cycled(_seeds(spark, d), 30).select("task_family", "id", "idx")
 
@@ -223,10 +225,13 @@ def judge_work(spark, d):
     return joins.judge_work(items(spark, d), judges, readers.done_pairs(scores(spark, d)), seeds).select("item_id", "seed_id", "judge")
 
 
-@query(f"SELECT doc_id AS id FROM documents WHERE doc_id % 2 = 1 AND trim(regexp_replace(lower(text), '{_WS}+', ' ', 'g')) IN (SELECT trim(regexp_replace(lower(text), '{_WS}+', ' ', 'g')) FROM documents WHERE doc_id % 2 = 0)")
+_NORM = f"trim(regexp_replace(lower(text), '{_WS}+', ' ', 'g'))"
+
+
+@query(f"SELECT doc_id AS id FROM documents WHERE {_NORM} IN (SELECT {_NORM} FROM documents WHERE lang = 'en')")
 def known_seed_prompts(spark, d):
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("prompt"))
-    return joins.known_seeds(docs.where("id % 2 = 1"), docs.where("id % 2 = 0"), T.norm_key).select("id")
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("prompt"), "lang")
+    return joins.known_seeds(docs, docs.where("lang = 'en'"), T.norm_key).select("id")
 
 
 # ------------------------------------------------------------------ scores and reports
@@ -264,8 +269,7 @@ def coverage(spark, d):
 
 @query(f"WITH {SCORES_SQL}, m AS (SELECT item_id, avg((fluency + faithfulness + bias) / 3) AS o, count(DISTINCT judge) AS j FROM scores GROUP BY 1) SELECT round(avg(o), 6) AS mean, count(*) AS items, count(*) FILTER (j >= 2) AS multi, count(*) FILTER (o < 0.4507::DOUBLE) AS low FROM m")
 def two_level_ensemble(spark, d):
-    per = scores(spark, d).groupBy("item_id").agg(F.avg((F.col("fluency") + F.col("faithfulness") + F.col("bias")) / 3).alias("o"), F.countDistinct("judge").alias("j"))
-    return per.agg(F.round(F.avg("o"), 6).alias("mean"), F.count(F.lit(1)).alias("items"), F.count_if(F.col("j") >= 2).alias("multi"), F.count_if(F.col("o") < 0.4507).alias("low"))
+    return A.ensemble_overview(scores(spark, d), 0.4507).withColumn("mean", F.round("mean", 6))
 
 
 @query(f"WITH {SCORES_SQL} SELECT split_part(judge, '/', -1) AS judge, count(*) AS n, round(avg(fluency), 6) AS fluency, round(min(bias), 6) AS bias_min FROM scores GROUP BY 1")
@@ -300,7 +304,7 @@ def defect_rate(spark, d):
     return A.defect_rate(_reviews(spark, d)).withColumn("rate", F.round("rate", 6))
 
 
-_CAND = """cand AS (SELECT doc_id, ['classification','qa','reasoning','instruction'][CAST(doc_id % 4 + 1 AS INT)] AS task_family, left(text, CAST(doc_id % 90 AS INT)) AS prompt,
+_CAND = """cand AS (SELECT doc_id, ['classification','qa','reasoning','instruction'][CAST(doc_id % 4 + 1 AS INT)] AS task_family, text AS prompt,
   CASE WHEN doc_id % 3 = 0 THEN 'the' WHEN doc_id % 3 = 1 THEN 'zzz' END AS expected, CASE WHEN doc_id % 5 = 0 THEN ['the'] WHEN doc_id % 7 = 0 THEN ['qqq','the'] ELSE ['the','a'] END AS labels FROM documents)"""
 
 
@@ -310,12 +314,16 @@ SELECT doc_id, CASE WHEN NOT length(p) BETWEEN 10 AND 2000 THEN 'length' WHEN ta
   WHEN task_family = 'classification' AND NOT list_contains(labels, e) THEN 'expected_not_in_labels'
   WHEN task_family = 'classification' AND len(list_filter(labels, lambda l: contains(lower(p), lower(l)))) < 2 THEN 'options_not_in_prompt' END AS drop_reason FROM s""")
 def seed_acceptance(spark, d):
+    return candidates(spark, d).select("doc_id", gates.seed_drop_reason(F.col("prompt"), F.col("expected"), F.col("labels"), F.col("task_family")).alias("drop_reason"))
+
+
+def candidates(spark, d):
+    """Documents as seeds to accept."""
     k = F.col("doc_id")
-    c = table(spark, d, "documents").select(
-        "doc_id", F.element_at(F.array(*map(F.lit, ("classification", "qa", "reasoning", "instruction"))), (k % 4 + 1).cast("int")).alias("task_family"), F.left("text", (k % 90).cast("int")).alias("prompt"),
+    return table(spark, d, "documents").select(
+        "doc_id", F.element_at(F.array(*map(F.lit, ("classification", "qa", "reasoning", "instruction"))), (k % 4 + 1).cast("int")).alias("task_family"), F.col("text").alias("prompt"),
         F.when(k % 3 == 0, "the").when(k % 3 == 1, "zzz").alias("expected"), F.when(k % 5 == 0, F.array(F.lit("the"))).when(k % 7 == 0, F.array(F.lit("qqq"), F.lit("the"))).otherwise(F.array(F.lit("the"), F.lit("a"))).alias("labels"),
     )
-    return c.select("doc_id", gates.seed_drop_reason(F.col("prompt"), F.col("expected"), F.col("labels"), F.col("task_family")).alias("drop_reason"))
 
 
 # ------------------------------------------------------------------ windows
@@ -365,11 +373,11 @@ def ratings_latest(spark, d):
     return sinks.upserted(r).select("rater_id", "task_id", "language", "score")
 
 
-@query("""WITH free AS (SELECT 'seed-qa-bs-' || lpad(CAST(i AS VARCHAR), 4, '0') AS new_id, row_number() OVER (ORDER BY i) AS rk FROM range(1, 61) t(i) WHERE i % 3 <> 0)
-SELECT item_id AS key, new_id FROM (SELECT item_id, row_number() OVER (ORDER BY item_id) AS rk FROM benchmark WHERE item_id < 20) JOIN free USING (rk)""")
+@query("""WITH free AS (SELECT 'seed-qa-bs-' || lpad(CAST(i AS VARCHAR), 4, '0') AS new_id, row_number() OVER (ORDER BY i) AS rk FROM range(1, 61 + (SELECT count(*) FROM benchmark)) t(i) WHERE i % 3 <> 0 OR i > 60)
+SELECT item_id AS key, new_id FROM (SELECT item_id, row_number() OVER (ORDER BY item_id) AS rk FROM benchmark) JOIN free USING (rk)""")
 def id_allocation(spark, d):
     taken = spark.range(1, 61).where("id % 3 = 0").select(F.format_string("seed-qa-bs-%04d", "id").alias("id"))
-    return W.allocate_ids(table(spark, d, "benchmark").where("item_id < 20").select(F.col("item_id").alias("key")), taken, "seed-qa-bs-")
+    return W.allocate_ids(table(spark, d, "benchmark").select(F.col("item_id").alias("key")), taken, "seed-qa-bs-")
 
 
 @query("SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents) WHERE rn <= 2")
@@ -437,8 +445,14 @@ def discrimination(spark, d):
     return out.select(*[F.round(c, 5).alias(c) for c in ("matched_mean", "mismatched_mean", "separation")], "overlap")
 
 
-@query("SELECT event_id, CASE WHEN r1 IS NULL THEN 'missing id' WHEN NOT fl BETWEEN 1 AND 4 OR NOT bi BETWEEN 1 AND 4 OR NOT coalesce(fa BETWEEN 1 AND 4, TRUE) THEN 'score out of range' END AS reason, least(coalesce(fl, fa, bi), coalesce(fa, fl, bi), coalesce(bi, fl, fa)) > 2 AS accepts FROM (SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN 'r' END AS r1, CAST(event_id % 6 AS INT) AS fl, CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id % 5 AS INT) END AS fa, CAST(event_id % 4 + 1 AS INT) AS bi FROM events)")
+@query("""SELECT event_id, CASE WHEN r1 IS NULL OR la IS NULL THEN 'missing task_id/rater_id/language' WHEN NOT (fl BETWEEN 1 AND 4 AND fl = floor(fl)) THEN 'fluency must be an integer 1-4'
+  WHEN NOT bi BETWEEN 1 AND 4 THEN 'bias must be an integer 1-4' WHEN NOT coalesce(fa BETWEEN 1 AND 4, TRUE) THEN 'faithfulness must be an integer 1-4' END AS reason,
+  least(coalesce(fl, fa, bi), coalesce(fa, fl, bi), coalesce(bi, fl, fa)) > 2 AS accepts
+FROM (SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN 'r' END AS r1, CASE WHEN event_id % 13 <> 0 THEN 'hi' END AS la, (event_id % 12) / 2.0::DOUBLE AS fl, CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id % 5 AS INT) END AS fa, CAST(event_id % 4 + 1 AS INT) AS bi FROM events)""")
 def rating_validation(spark, d):
     k = F.col("event_id")
-    cols = {"task_id": F.lit("t"), "rater_id": F.when(k % 11 != 0, "r"), "fluency": (k % 6).cast("int"), "faithfulness": F.when(k % 3 != 0, (k % 5).cast("int")), "bias": (k % 4 + 1).cast("int")}
+    cols = {"task_id": F.lit("t"), "rater_id": F.when(k % 11 != 0, "r"), "language": F.when(k % 13 != 0, "hi"), "fluency": (k % 12) / 2.0, "faithfulness": F.when(k % 3 != 0, (k % 5).cast("int")), "bias": (k % 4 + 1).cast("int")}
     return table(spark, d, "events").select("event_id", gates.rating_reject_reason(cols).alias("reason"), gates.human_accepts(cols["fluency"], cols["faithfulness"], cols["bias"]).alias("accepts"))
+
+
+from . import more  # noqa: E402, F401  (adds its queries)

@@ -41,8 +41,8 @@ def attempts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def scores(spark: SparkSession, d: str) -> DataFrame:
-    """Judge scores: three judges on each document of a third."""
-    e = table(spark, d, "events").where("event_type <> 'error'")
+    """Judge scores: every event is one of three judges on one of a thousand items."""
+    e = table(spark, d, "events")
     v = F.abs(F.col("value"))
     axis = lambda k: ((F.floor(v * k) % 101) / 100)
     return e.select((F.col("event_id") % 1000).alias("item_id"), F.concat(F.lit("org/j"), (F.col("user_id") % 3).cast("string")).alias("judge"), axis(10).alias("fluency"), axis(7).alias("faithfulness"), axis(3).alias("bias"))
@@ -51,4 +51,4 @@ def scores(spark: SparkSession, d: str) -> DataFrame:
 SCORES_SQL = """scores AS (
   SELECT event_id % 1000 AS item_id, 'org/j' || CAST(user_id % 3 AS VARCHAR) AS judge, CAST(floor(abs(value) * 10) AS BIGINT) % 101 / 100.0::DOUBLE AS fluency,
          CAST(floor(abs(value) * 7) AS BIGINT) % 101 / 100.0::DOUBLE AS faithfulness, CAST(floor(abs(value) * 3) AS BIGINT) % 101 / 100.0::DOUBLE AS bias
-  FROM events WHERE event_type <> 'error')"""
+  FROM events)"""

@@ -24,13 +24,30 @@ def load_seeds(spark: SparkSession, path: str) -> DataFrame:
     return doc.select(F.posexplode("d.seeds").alias("pos", "s")).select("s.*", "pos")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def json_lines(spark: SparkSession, path: str, schema: str, glob: str = "*.jsonl") -> DataFrame:
-    """JSONL rows with their order; blank and malformed lines are skipped."""
-    raw = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
-    lines = raw.select(F.split(F.col("_metadata.file_path"), "/").alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "text"))
+    """JSONL rows with their order (``file`` by path components, ``line`` by block of the
+    file and row within it); blank and malformed lines are skipped, an absent path has
+    none. Files are split as Spark splits them: no file is one row."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], f"file array<string>, line struct<block:long,row:long>, r struct<{', '.join(_fields(schema))}>")
+    raw = spark.read.text(path, pathGlobFilter=glob, recursiveFileLookup=True)
+    line = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    lines = raw.select(F.split(F.col("_metadata.file_path"), "/").alias("file"), line.alias("line"), F.col("value").alias("text"))
     return lines.where(F.trim("text") != "").select("file", "line", F.from_json("text", schema).alias("r")).where("r IS NOT NULL")
 
 
+def _fields(schema: str) -> list[str]:
+    """``a string, b int`` as fields of a struct type."""
+    from pyspark.sql.types import StructType
+
+    return [f"{f.name}: {f.dataType.simpleString()}" for f in StructType.fromDDL(schema)]
+
+
 def last_wins(rows: DataFrame, key: str) -> DataFrame:
     """One record per key, the last in file order, by partial aggregation."""
     return rows.where(F.col(f"r.{key}").isNotNull()).groupBy(F.col(f"r.{key}").alias("_k")).agg(F.max_by("r", F.struct("file", "line")).alias("r")).select("r.*")
@@ -67,6 +84,19 @@ def without_translation(items: DataFrame) -> DataFrame:
     return items.where(F.col("task_family") != "translation")
 
 
+def seed_pools(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The seeds of several files in file order, for ``merge_pools``; absent files have
+    none."""
+    out = None
+    for i, path in enumerate(sorted(paths)):
+        if exists(spark, path):
+            one = load_seeds(spark, path).withColumn("file", F.lit(i))
+            out = one if out is None else out.unionByName(one)
+    if out is None:
+        raise ValueError("none of the seed files exists")
+    return out
+
+
 def merge_pools(pools: DataFrame) -> DataFrame:
     """``pools`` (file, pos, seed columns): mock seeds out, the first file's id wins."""
     w = Window.partitionBy("id").orderBy("file", "pos")
@@ -77,6 +107,14 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataF
     return spark.read.csv(path, header=True, schema=schema) if schema else spark.read.csv(path, header=True, inferSchema=True)
 
 
+def read_export(spark: SparkSession, source: str, schema: str | None = None, **jdbc: str) -> DataFrame:
+    """Ratings from the database (a ``jdbc:`` url with ``dbtable`` or ``query``; a
+    ``partitionColumn`` with bounds reads in parallel) or from its csv export."""
+    if source.startswith("jdbc:"):
+        return spark.read.format("jdbc").options(url=source, **jdbc).load()
+    return read_csv(spark, source, schema)
+
+
 def fetch_bundle(items: DataFrame, language: str, seed: str, limit: int = 20) -> DataFrame:
     """A rater's shuffled page of one language."""
     return items.where(F.col("language") == language).orderBy(F.md5(F.concat_ws(":", F.lit(seed), "task_id")), "task_id").limit(limit)

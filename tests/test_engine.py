@@ -4,16 +4,16 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tessera import models
+from tessera import drivers, models
 from tessera.functions import prompts, salvage
 from tessera.functions import text as T
 from tessera.operators import aggregates as A
 from tessera.operators import agreement as G
-from tessera.operators import gates, joins
+from tessera.operators import gates, joins, pools
 from tessera.operators import windows as W
 from tessera.sources import readers, sinks
 
-ITEM = {"id": "item-1", "seed_id": "seed-1", "task_family": "qa", "target_language": "hi", "prompt": "प्रश्न: भारत की राजधानी क्या है?", "expected": "नई दिल्ली।"}
+ITEM = {"id": "item-1", "seed_id": "seed-1", "task_family": "qa", "target_language": "hi", "prompt": "सवाल: पानी किस ताप पर जमता है?", "expected": "शून्य पर।"}
 SCHEMA = "id string, seed_id string, task_family string, target_language string, prompt string, expected string"
 
 
@@ -28,7 +28,7 @@ def gate(spark, name, *changes, **kw):
 STRUCTURAL = [
     ({}, None), ({"expected": None}, "missing 'expected'"), ({"task_family": "classification", "expected": "   "}, "missing 'expected'"), ({"task_family": "instruction", "expected": None}, None),
     ({"expected": ITEM["prompt"]}, "no-op"), ({"prompt": "   "}, "empty prompt"), ({"prompt": '{"prompt": "x y z"}'}, "raw JSON"), ({"prompt": "a ```code``` b."}, "code fence"),
-    ({"prompt": "क" * 41}, "truncation"), ({"prompt": "क" * 40}, None), ({"prompt": "नमस्ते"}, None), ({"prompt": "राम " * 20 + "।"}, "repeat"), ({"prompt": "abcd"}, "under 5"), ({"prompt": "abcde"}, None),
+    ({"prompt": "क" * 41}, "truncation"), ({"prompt": "क" * 40}, None), ({"prompt": "पानी बहा"}, None), ({"prompt": "फल " * 20 + "।"}, "repeat"), ({"prompt": "abcd"}, "under 5"), ({"prompt": "abcde"}, None),
     ({"prompt": "x" * 8001 + "."}, "over 8000"), ({"prompt": " \x1cabcd\xa0"}, "under 5"), ({"prompt": "a a a a a a b."}, None), ({"prompt": "a a a a a a a b."}, None), ({"prompt": "a a a a a a a a b."}, "78% of tokens"),
 ]
 
@@ -41,17 +41,17 @@ def test_structural(spark):
 
 
 def test_script_gate(spark):
-    rows = [("नई दिल्ली", "hi"), ("கோவை", "ta"), ("തിരുവനന്തപുരം", "ml"), ("اسلام آباد", "ur"), ("Hello world", "hi"), ("12345 !!!", "hi"), ("दिल्ली 2024!", "hi"), ("anything", "fr"), ("Delhi दिल्ली", "hi")]
+    rows = [("नीला आकाश", "hi"), ("மழை", "ta"), ("പുഴ", "ml"), ("سفید بادل", "ur"), ("Blue sky", "hi"), ("77 + 1 = ?", "hi"), ("बादल 3!", "hi"), ("whatever", "fr"), ("Badal बादल", "hi")]
     got = [r[0] for r in spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, t string, l string").orderBy("i").select(T.script_confidence(F.col("t"), F.col("l"))).collect()]
     assert got == [1.0, 1.0, 1.0, 1.0, 0.0, 0.0, 1.0, 0.0, 0.375]
-    mixed = {"task_family": "translation", "prompt": "Translate: Good morning", "expected": "सुप्रभात"}
+    mixed = {"task_family": "translation", "prompt": "Translate: See you later", "expected": "फिर मिलेंगे"}
     r = gate(spark, "language_id", mixed)[0]
     assert r.passed and "exempt" in r.reason and r.score < 0.75
     assert not gate(spark, "language_id", mixed, exempt=())[0].passed and gate(spark, "language_id", mixed, exempt=(), threshold=0.1)[0].passed
 
 
 def test_chain_and_retention(spark):
-    items = frame(spark, {}, {"prompt": "Hello there, world?", "expected": "Yes."}, {"target_language": "ta", "prompt": "கோவை எங்கே உள்ளது?", "expected": "கோவை."}).cache()
+    items = frame(spark, {}, {"prompt": "Hello there, world?", "expected": "Yes."}, {"target_language": "ta", "prompt": "மழை எப்போது வரும்?", "expected": "நாளை."}).cache()
     v = gates.verdicts(items).orderBy("item_id").collect()
     assert [x.would_pass for x in v] == [True, False, True] and v[1].failed == ["language_id"]
     blank = gates.verdicts(frame(spark, {"prompt": "  "}), short_circuit=True).first()
@@ -72,7 +72,7 @@ def test_score_only_gates_never_reject(spark):
 
 def test_seed_acceptance(spark):
     long_ = "What colour is the sky on a clear day?"
-    rows = [("qa", long_, "Blue", None, None), ("qa", long_, None, None, "missing_expected"), ("qa", "short", "x", None, "length"), ("qa", "भारत की राजधानी क्या है?", "x", None, "not_english"),
+    rows = [("qa", long_, "Blue", None, None), ("qa", long_, None, None, "missing_expected"), ("qa", "short", "x", None, "length"), ("qa", "पानी का रंग क्या है बताओ?", "x", None, "not_english"),
             ("classification", long_ + " Options: blue, red", "blue", ["blue", "red"], None), ("classification", long_, "blue", ["blue", "red"], "options_not_in_prompt"),
             ("classification", long_ + " blue red", "green", ["blue", "red"], "expected_not_in_labels"), ("classification", long_, "blue", ["blue"], "bad_labels"), ("other", long_, "x", None, "invalid_schema")]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, t string, p string, e string, l array<string>, want string")
@@ -234,3 +234,253 @@ def test_ids_go_on_past_the_taken_ones(spark):
     taken = spark.createDataFrame([(f"s-{i:04d}",) for i in (1, 3, 500)], "id string")
     got = {r.key: r.new_id for r in W.allocate_ids(spark.range(90).select(F.col("id").alias("key")), taken, "s-").collect()}
     assert got == dict(enumerate(f"s-{i:04d}" for i in (2, *range(4, 93))))
+
+
+# ------------------------------------------------------------------ pools, reports, runs
+SEEDS = [("seed-1", "qa", "Which river runs through Cairo at night?", "Nile", None, {"domain": "geo"}, 0), ("seed-2", "qa", "How many legs has a common spider?", "Eight", None, None, 1), ("seed-3", "reasoning", "A box holds three rows of four jars; how many jars?", "12", None, None, 0)]
+SEED_SCHEMA = "id string, task_family string, prompt string, expected string, labels array<string>, metadata map<string,string>, pos int"
+
+
+def seed_frame(spark):
+    return spark.createDataFrame(SEEDS, SEED_SCHEMA)
+
+
+def langs(spark, *codes):
+    return spark.createDataFrame([(c, i) for i, c in enumerate(codes)], "target_language string, lang_pos int")
+
+
+def test_task_lists_and_absent_paths(spark, tmp_path):
+    assert pools.resolve_tasks("qa, reasoning") == ["qa", "reasoning"] and len(pools.resolve_tasks("all")) == 6
+    for bad in ("qa,poem", " "):
+        with pytest.raises(ValueError):
+            pools.resolve_tasks(bad)
+    assert readers.load_items(spark, str(tmp_path / "none")).count() == 0 and readers.generated_seed_keys(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(ValueError):
+        A.required(spark.createDataFrame([], "item_id string"))
+    with pytest.raises(ValueError):
+        readers.seed_pools(spark, [str(tmp_path / "none.json")])
+
+
+def test_lines_keep_their_order_over_splits(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text("\n".join(json.dumps({"item_id": f"i{k % 10}", "judge": str(k)}) for k in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = {r.item_id: r.judge for r in readers.load_scores(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {f"i{k}": str(4990 + k) for k in range(10)}
+
+
+def test_user_filters(spark):
+    class Short(gates.QualityFilter):
+        name = "short"
+
+        def evaluate(self):
+            n = F.length("prompt")
+            return n < 10, n / 10.0, F.when(n >= 10, "too long")
+
+    got = {r.id: (r.would_pass, r.results[0].reason) for r in gates.annotated(frame(spark, {"prompt": "a"}, {"prompt": "a" * 12}), Short()).collect()}
+    assert got == {"i0": (True, None), "i1": (False, "too long")}
+    with pytest.raises(NotImplementedError):
+        gates.QualityFilter().column()
+
+
+def test_script_gate_reasons(spark):
+    mixed = {"task_family": "translation", "prompt": "Translate: Good evening", "expected": "शुभ संध्या"}
+    r = gate(spark, "language_id", mixed)[0]
+    assert r.reason == f"exempt (translation): source-language text expected; {r.score:.0%} in hi script"
+    r = gate(spark, "language_id", {"prompt": "only English here", "expected": "हाँ।"})[0]
+    assert not r.passed and r.reason == f"only {r.score:.0%} of letters in hi script (<75%)"
+
+
+def test_duplicates_among_seeds(spark):
+    c = spark.createDataFrame([(0, "New one", None), (1, " new  ONE", None), (2, "which river runs through cairo at night?", None), (3, "New one", "length")], "pos int, prompt string, drop_reason string")
+    assert {r.pos: r.drop_reason for r in pools.with_duplicates(c, seed_frame(spark)).collect()} == {0: None, 1: "duplicate", 2: "duplicate", 3: "length"}
+    assert pools.seed_review(seed_frame(spark), seed_frame(spark)).first()[:7] == (3, 3, 3, 0, 0, 0, ["seed-1", "seed-2", "seed-3"])
+
+
+def test_generate_and_drip(spark):
+    made = drivers.generate(seed_frame(spark), "qa", "hi", 3, models.MockClient, "mock").orderBy("id").collect()
+    assert [r.id for r in made] == ["syn-hi-1-000", "syn-hi-1-002", "syn-hi-2-001"] and made[0].metadata == {"domain": "geo", "template": "direct_translate"}
+    assert made[0].prompt == "[mock] prompt" and made[0].generation.teacher_model == "mock"
+    items = drivers.generate_batch(seed_frame(spark), langs(spark, "hi", "ta"), "all", models.MockClient, "m")
+    assert sorted(r.id for r in items.collect()) == sorted(f"syn-{c}-{s}" for c in ("hi", "ta") for s in ("1-000", "2-001", "3-000"))
+    done = items.select("seed_id", "target_language", "task_family")
+    assert drivers.generate_batch(seed_frame(spark), langs(spark, "hi", "ta"), "all", models.MockClient, "m", done).count() == 0
+
+    class Moody:
+        def complete(self, model, system, user, temperature, max_tokens):
+            raise models.RateLimited("slow down")
+
+    have = spark.createDataFrame([("hi", "qa", 1)], "target_language string, task_family string, n long")
+    none = spark.createDataFrame([], drivers.NO_KEYS)
+    drip = drivers.generate_drip(seed_frame(spark), langs(spark, "hi"), "qa", Moody, "m", none, have, 2, sleep=lambda s: None)
+    assert [(r.seed_id, r.error, r.prompt) for r in drip.collect()] == [("seed-1", "slow down", None)]
+    assert tuple(A.run_counts(drip).first()) == (0, 1)
+
+
+def test_pauses_and_clients(spark):
+    assert models.pause(models.RateLimited("x"), 0) == 12.0 and models.pause(RuntimeError("status 429"), 2) == 12.0 and models.pause(RuntimeError("x"), 2) == 2.25
+    assert [models.pause(RuntimeError("x"), k, drivers.DRIP_BACKOFF) for k in (0, 1, 5)] == [60.0, 300.0, 900.0]
+    sent = []
+    client = models.HttpClient("http://host/v1/", "key", post=lambda *a: sent.append(a) or {"choices": [{"message": {"content": "hi"}}]})
+    assert client.complete("m", "s", "u", 0.5, 9) == "hi" and sent[0][0] == "http://host/v1/chat/completions" and json.loads(sent[0][2])["max_tokens"] == 9 and sent[0][3] == 90.0
+    with pytest.raises(ValueError):
+        models.HttpClient("http://host", "")
+    assert models.CommandClient(["cat"]).complete("m", "s", "u", 0, 0) == "s\n\nu"
+    with pytest.raises(RuntimeError):
+        models.CommandClient(["false"]).complete("m", "s", "u", 0, 0)
+    models.register_client("own", models.MockClient)
+    assert isinstance(models.build_client("own"), models.MockClient)
+    v = {r.text: r.vector for r in models.embed(spark.createDataFrame([("aab",), ("aab",), ("Z",)], "text string"), models.LetterEmbedder).collect()}
+    assert v["aab"][:3] == [2.0, 1.0, 0.0] and v["Z"][25] == 1.0 and len(v) == 2
+
+
+class Teacher:
+    """New seeds: one good, one too short, one that repeats."""
+
+    def complete(self, model, system, user, temperature, max_tokens):
+        return 'Sure: [{"prompt": "Which planet is the largest one?", "expected": "Jupiter", "metadata": {"domain": "sky"}}, {"prompt": "short", "expected": "x"}, {"prompt": "which  planet is the largest one?", "expected": "Jupiter"}]'
+
+
+def test_bootstrap(spark):
+    new, dropped = drivers.bootstrap_seeds(spark, seed_frame(spark), "qa", 3, Teacher, "t", taken=spark.createDataFrame([("seed-qa-bs-0001",)], "id string"), max_calls=2)
+    rows = new.collect()
+    assert [(r.id, r.expected, r.metadata) for r in rows] == [("seed-qa-bs-0002", "Jupiter", {"domain": "sky", "source": "bootstrap:t"})]
+    assert {r.drop_reason: r.n for r in dropped.collect()} == {"length": 2, "duplicate": 3}
+    none, why = drivers.bootstrap_seeds(spark, seed_frame(spark), "qa", 1, models.MockClient, "t", max_calls=1)
+    assert none.count() == 0 and sum(r.n for r in why.collect()) == 1
+
+
+class Judge:
+    def complete(self, model, system, user, temperature, max_tokens):
+        if model == "down":
+            raise RuntimeError("down")
+        if model == "vague":
+            return "no idea"
+        return '{"reasoning": "fine", "fluency": 0.9, "faithfulness": "0.6", "bias": 3}'
+
+
+def made_items(spark):
+    return spark.createDataFrame([("i1", "seed-1", "qa", "hi", "काहिरा में कौन सी नदी है?", "नील।"), ("i2", "seed-2", "qa", "hi", "मकड़ी के कितने पैर?", "आठ।"), ("i3", "seed-x", "qa", "hi", "क?", "ख।")], SCHEMA)
+
+
+def test_judging(spark, tmp_path):
+    e, each, counts = drivers.judge_score(made_items(spark), seed_frame(spark), ["a", "vague", "down"], Judge, attempts=1)
+    assert {(r.item_id, round(r.overall, 6), r.judge_model) for r in e.collect()} == {(i, round(2.5 / 3, 6), "ensemble[mean]:a") for i in ("i1", "i2")}
+    assert tuple(counts.first()) == (2, 0, 1) and each.count() == 2
+    both = sinks.write_scores(e, each, str(tmp_path / "scores"))
+    assert spark.read.json(both[0]).count() == 2 and spark.read.json(both[1]).first().judge == "a"
+    _, _, none = drivers.judge_score(made_items(spark), seed_frame(spark), ["down"], Judge, attempts=1)
+    assert tuple(none.first()) == (0, 2, 1)
+    scores, report = drivers.judge_compare(made_items(spark), seed_frame(spark), ["a", "down"], Judge, controls=1, attempts=1)
+    assert scores.where("item_id like 'control-%'").count() == 2 and "CONTROL: raw English" in report and "ERR down" in report and "| spread | - | - | - |  |" in report
+    _, text = drivers.compare(seed_frame(spark), ["m1", "m2"], "hi", 1, models.MockClient)
+    assert text.count("- prompt: [mock] prompt") == 2 and "## seed-1 (qa)" in text
+
+
+def test_filter_run(spark, tmp_path):
+    scores = spark.createDataFrame([("i1", 0.8)], "item_id string, overall double")
+    log = spark.createDataFrame([("i1", 0.7, None), ("i2", None, "boom")], "id string, cos double, error string")
+    v, report = drivers.filter_items(made_items(spark), judge_scores=scores, back_log=log, seeds=seed_frame(spark))
+    got = {r.item_id: [(x["filter"], x.passed, x.score, x.reason) for x in r.results[2:]] for r in v.collect()}
+    assert got["i1"] == [("llm_judge", True, 0.8, None), ("back_translation", True, 0.7, None)]
+    assert got["i2"] == [("llm_judge", True, 0.0, "judge unavailable: no score"), ("back_translation", True, 0.0, "back-translation unavailable: boom")]
+    assert got["i3"][0][3] == "judge unavailable: no seed" and got["i3"][1][3] == "no seed"
+    rep = {(r.level, r["filter"]): (r.passed, r.total) for r in report.where("level = 0").collect()}
+    assert rep[0, "back_translation"] == (3, 3) and rep[0, "structural"] == (2, 3) and rep[0, "chain"] == (2, 3)
+    sinks.write_verdicts(v, str(tmp_path / "verdicts"))
+    sinks.write_report(spark, "Retention", A.retention_markdown(report), str(tmp_path / "r.md"))
+    assert len(spark.read.json(str(tmp_path / "verdicts")).first().results) == 4
+    assert (tmp_path / "r.md").read_text().startswith("# Retention\n\n## Overall")
+
+
+def test_export_gold(spark, tmp_path):
+    items = made_items(spark)
+    scores = spark.createDataFrame([(f"i{k}", 0.5, 0.6, 0.7, 0.6 + k / 100, "ensemble[mean]:a,b") for k in (1, 2, 3)], "item_id string, fluency double, faithfulness double, bias double, overall double, judge_model string")
+    bundle, manifest, summary = drivers.export_gold(items, scores, seed_frame(spark), "b1", 3, 0.34, 2, 0.2, created_at="t")
+    assert len(bundle["items"]) == 3 and bundle["items"][0]["source_expected"] == "Nile" and "overall" not in json.dumps(bundle["items"]) and bundle["items"][2]["source_prompt"] is None
+    assert sum(a["overlap"] for a in manifest["assignments"]) == 1 and {r for a in manifest["assignments"] for r in a["raters"]} <= {"hi_r1", "hi_r2"}
+    assert manifest["provenance"]["i1"]["judge_model_ensemble"] == ["a", "b"] and tuple(summary.first()) == ("hi", 3, 1, 2, 1)
+    sinks.write_json(spark, manifest, str(tmp_path / "m.json"))
+    m = spark.read.schema("provenance map<string, struct<judge_overall: double>>").json(str(tmp_path / "m.json"), multiLine=True)
+    ratings = spark.createDataFrame([("i1", 3)], "task_id string, fluency int")
+    assert tuple(joins.provenance(ratings, m).first()) == ("i1", 3, 0.61)
+
+
+class Echo:
+    def complete(self, model, system, user, temperature, max_tokens):
+        if "मकड़ी" in user:
+            raise RuntimeError("boom")
+        return "Which river runs through Cairo at night? Nile"
+
+
+def test_back_translation_and_audit(spark):
+    log = spark.createDataFrame([], "id string, seed_id string, lang string, task string, translator string, cos double, back_translation string, error string")
+    new = drivers.score_backtranslation(made_items(spark), seed_frame(spark), log, Echo, models.LetterEmbedder, "t", attempts=1)
+    got = {r.id: r for r in new.collect()}
+    assert set(got) == {"i1", "i2"} and got["i1"].cos > 0.99 and got["i2"].cos is None and got["i2"].error == "boom"
+    assert drivers.score_backtranslation(made_items(spark), seed_frame(spark), new, Echo, models.LetterEmbedder, "t").count() == 0
+    judge_log = spark.createDataFrame([("i1", "org/a", 0.5, 0.5, 0.5), ("i1", "org/b", 0.3, 0.3, 0.3)], "item_id string, judge string, fluency double, faithfulness double, bias double")
+    text = drivers.audit_report(made_items(spark), judge_log, new)
+    assert "| scored | errors | remaining |\n| --- | --- | --- |\n| 1 | 1 | 1 |" in text and "| a | 1 |" in text and "## Judges" in text
+
+
+def test_judge_run_keeps_to_the_budget(spark):
+    log = spark.createDataFrame([("i1", "a", "2026-01-02 23:59:59", None)] + [("i2", "bad", f"2026-01-02 10:00:0{k}", "x") for k in range(4)], "item_id string, judge string, ts string, error string").withColumn("ts", F.to_timestamp("ts"))
+    run = lambda **k: sorted((r.item_id, r.judge) for r in drivers.score_judge(made_items(spark), seed_frame(spark), log, ["a", "c", "bad"], Judge, "2026-01-02", attempts=1, **k).select("item_id", "judge").collect())
+    assert run(cap=900, per_run=100) == [("i1", "c"), ("i2", "a"), ("i2", "c")]
+    assert len(run(cap=6, per_run=100)) == 1 and run(cap=5, per_run=9) == [] and len(run(cap=900, per_run=2)) == 2
+    assert W.budget_left(log, "2026-01-03", 10, 4) == 4
+
+
+def test_agreement_measures(spark):
+    rows = [(u, v) for u, vs in enumerate(["aab", "bbb", "abb", "aaa"]) for v in vs]
+    df = spark.createDataFrame(rows, "unit int, value string")
+    p = (1 / 3 + 1 + 1 / 3 + 1) / 4
+    assert abs(G.fleiss_kappa(df).first().kappa - (p - 0.5) / 0.5) < 1e-12
+    apart = (2 * 2 * 1 / 2) * 2
+    assert abs(G.krippendorff_nominal(df).first().alpha - (1 - apart * 11 / (144 - 72))) < 1e-12
+    assert [r[0] for r in spark.createDataFrame([(0.1,), (0.25,), (0.9,), (None,)], "s double").select(G.binned(F.col("s"))).collect()] == [1, 2, 4, None]
+    curve = {r.score: (r.tpr, r.fpr) for r in G.roc(spark.createDataFrame([(i / 50, i % 3 == 0) for i in range(50)], "score double, positive boolean"), 7).collect()}
+    for t, (tpr, fpr) in curve.items():
+        assert abs(tpr - sum(i % 3 == 0 and i / 50 >= t for i in range(50)) / 17) < 1e-12 and abs(fpr - sum(i % 3 > 0 and i / 50 >= t for i in range(50)) / 33) < 1e-12
+
+
+def test_rewrite_in_place_and_runs(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([(1, "ok"), (2, None)], "a int, b string").write.json(path)
+    read = lambda s, p: s.read.schema("a int, b string").json(p)
+    assert sinks.rewrite_valid(spark, path, "b IS NOT NULL", read, dry_run=True) == (1, 1) and read(spark, path).count() == 2
+    assert sinks.rewrite_valid(spark, path, "b IS NOT NULL", read) == (1, 1) and [r.a for r in read(spark, path).collect()] == [1]
+    assert sinks.rewrite_valid(spark, path, "b IS NOT NULL", read) == (1, 0) and sorted(p.name for p in tmp_path.iterdir()) == ["rows"]
+    a, b = (sinks.write_run(made_items(spark), str(tmp_path / "runs"), "org/m:free") for _ in range(2))
+    assert a != b and "model=org_m_free" in a and readers.load_items(spark, str(tmp_path / "runs")).count() == 0  # json, not jsonl
+    assert spark.read.json(a).count() == 3
+
+
+def test_stream_upserts_and_bounded_state(spark, tmp_path):
+    from tessera.streaming import streams
+
+    src, out = tmp_path / "in", str(tmp_path / "now")
+    cols = "rater_id string, task_id string, language string, fluency int, submitted_at timestamp, seq int"
+    put, now = streams.upsert_into(spark, out)
+    for k, rows in enumerate([[("a", "t", "hi", 1, "2026-01-01 00:00:00", 1)], [("a", "t", "ta", 4, "2026-01-02 00:00:00", 2), ("b", "t", "hi", 2, "2026-01-02 00:00:00", 3)]]):
+        df = spark.createDataFrame(rows, cols.replace("timestamp", "string")).withColumn("submitted_at", F.to_timestamp("submitted_at"))
+        df.write.mode("append").parquet(str(src))
+        q = spark.readStream.schema(cols).parquet(str(src)).writeStream.foreachBatch(put).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        q.awaitTermination(60)
+    assert {(r.rater_id, r.language, r.fluency) for r in now().collect()} == {("a", "hi", 4), ("b", "hi", 2)}
+    stream = spark.readStream.schema(cols).parquet(str(src))
+    q = streams.unseen(stream, "rater_id", "submitted_at").writeStream.format("memory").queryName("bounded").option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start()
+    q.awaitTermination(60)
+    assert spark.table("bounded").count() == 2
+
+
+def test_utc_day_in_any_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        assert spark.sql("SELECT timestamp '2026-01-01 03:00:00' AS t").select(T.utc_day(F.col("t"))).first()[0] == "2025-12-31"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert one(spark, 0.125, lambda c: T.fixed(c, 2), "double") == "0.12" and one(spark, 2.675, lambda c: T.fixed(c, 2), "double") == "2.68"
