@@ -163,7 +163,7 @@ def word_probabilities(p, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarr
         T, B = int(n[0]) + 2, len(some)
         pos = np.arange(T - 2)
         body = np.full((T, B), MARK, np.int16)
-        body[1:-1] = np.where(pos[:, None] < n[None, :], LOWER[buf[np.minimum(s[None, :] + pos[:, None], len(buf) - 1)]], MARK)
+        body[1:-1] = np.where(pos[:, None] < n[None, :], LOWER[buf[np.minimum(s[None, :] + pos[:, None], len(buf) - 1)]].astype(np.int16), np.int16(MARK))
         logits = np.zeros((T, B, len(p["c"])), np.float32)
         for d in "fb":
             E, U, W = p["E" + d], p["U" + d], p["W" + d]

@@ -277,7 +277,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
     sizes = sizes.agg(F.max_by("component", order).alias("top"), F.sum("n").alias("n"), F.sum("m").alias("all"), F.max("n").alias("top_n"), F.max_by("m", order).alias("top_m"))
     count = lambda n, m: F.ceil(F.greatest(F.lit(1), n / BLOCK, m / BLOCK_SHINGLES))
     sizes = sizes.select("band", "key", "top", count(F.col("n"), F.col("all")).alias("k"), count(F.col("n") - F.col("top_n"), F.col("all") - F.col("top_m")).alias("q"))
-    rows = rows.join(sizes, ["band", "key"]).withColumn("small", F.col("component") != F.col("top"))
+    rows = rows.join(scratch(sizes, "sizes"), ["band", "key"]).withColumn("small", F.col("component") != F.col("top"))
     upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
     asking = rows.where("small").withColumn("g", upto("k")).withColumn("s", F.pmod(F.xxhash64("id", F.lit(1)), "q")).withColumn("ask", F.lit(True))
     asked = rows.withColumn("g", F.pmod(F.xxhash64("id", F.lit(2)), "k")).withColumn("s", upto("q")).withColumn("ask", F.lit(False))

@@ -3,14 +3,17 @@
 The field tags words as secret begin, inside or outside. A word's features are bits of
 its shape (kinds of characters, length, digits, a leading keyword), alone and combined,
 of itself and both neighbours, and whether its text is rich in digits. It is trained in
-numpy, by gradient steps on the exact likelihood, on windows around base matches and
-elsewhere in a bounded sample of ``SAMPLE_DOCS`` documents. Decoding is Viterbi; words
+numpy, by gradient steps on the exact likelihood, on windows around base matches, around
+other words with digits (numbers, addresses: no secrets) and elsewhere in a bounded sample
+of ``SAMPLE_DOCS`` documents. As base matches teach only what the patterns know, each of
+the other windows is learned once more with a word put in whose shape is that of a key of
+no listed kind: long, with digits among letters of both cases, capitals, or marks. Decoding is Viterbi; words
 whose best tag can't beat "outside" bound the stretches that need it, so most of a text
 costs one table look-up a word. The field adds spans to those of the patterns.
 
 Cases: a null text is empty and has none; very long texts are read whole; an overlapping
-field span is left out; repeated rows are scanned each for itself; without training
-matches the field adds nothing.
+field span is left out; repeated rows are scanned each for itself; without a text to learn
+from the field adds nothing.
 """
 
 from __future__ import annotations
@@ -51,6 +54,9 @@ _KIND[[0x20, *range(0x09, 0x0E)]] = 0
 _DIGIT = (np.arange(256) >= 48) & (np.arange(256) <= 57)
 _STARTS = {int.from_bytes(k[:4], "little") for k in KEYWORDS}
 LENGTHS = np.array([2, 4, 8, 12, 16, 20, 24, 32, 48, 80])
+_LOW, _UP, _NUM, _MARK = 1 | 128, 2, 4, 32
+#: Kinds of characters and classes of digits of keys beside the base kinds.
+KEY_SHAPES = [(_LOW | _UP | _NUM, 2), (_LOW | _UP | _NUM, 3), (_LOW | _UP | _NUM | _MARK, 2), (_LOW | _UP | _NUM | _MARK, 3), (_UP | _NUM, 2), (_UP | _NUM, 3), (_UP | _NUM | _MARK, 3), (_LOW | _NUM | _MARK, 3), (_LOW | _NUM, 3)]
 #: kind bits, length class (11), digit count class (4), keyword, AKIA
 CODES = 256 * 16 * 4 * 2 * 2
 
@@ -94,7 +100,9 @@ def features(code: np.ndarray) -> np.ndarray:
     cols = [(kind >> b & 1) for b in range(8)]
     cols += [(length == k) for k in range(len(LENGTHS) + 1)] + [(many == k) for k in range(4)] + [keyword, akia]
     only_hex = (kind & ~(4 | 128)) == 0
+    letters, both = (kind & (1 | 2 | 128)) > 0, ((kind & (1 | 128)) > 0) & ((kind & 2) > 0)
     cols += [only_hex & (length >= 6), (kind & 4 > 0) & (length >= 4), (many >= 2) & (length >= 4), (kind & 8 > 0) & (many >= 2), (kind & 8 > 0) & keyword.astype(bool), (length == 0) & (kind & 8 > 0)]
+    cols += [both & (many >= 2) & (length >= 5), letters & (many >= 2) & (length >= 5), letters & (many == 3) & (length >= 5), (kind & 64 > 0) & (length >= 5)]
     return np.stack(cols, axis=1).astype(np.float64)
 
 
@@ -145,9 +153,33 @@ def log_likelihood_gradient(e: np.ndarray, t: np.ndarray, y: np.ndarray, mask: n
     return (gold - p) / n, (steps - pair).sum(axis=(0, 1)) / n
 
 
+def key_like(code: np.ndarray) -> np.ndarray:
+    """Words that may be keys of a kind no pattern knows: not to be learned as others."""
+    return ((code >> 8 & (1 | 2 | 128)) > 0) & ((code >> 4 & 15) >= 5)
+
+
+def planted(windows: list[tuple[np.ndarray, np.ndarray, bool]], seed: int = 13) -> list[tuple[np.ndarray, np.ndarray, bool]]:
+    """The windows without a secret, three times with one word of a key's shape put in and
+    once with a long number among marks, which is none."""
+    r = np.random.default_rng(seed)
+    out = []
+    for codes, tags, rich in windows:
+        if not len(codes) or (tags != O).any():
+            continue
+        for tag in (B, B, B, O):
+            kind, many = KEY_SHAPES[int(r.integers(0, len(KEY_SHAPES)))] if tag == B else (_NUM | _MARK, 3)
+            at = int(r.integers(0, len(codes)))
+            own, told = codes.copy(), tags.copy()
+            own[at] = ((kind * 16 + int(r.integers(5, len(LENGTHS) + 1))) * 4 + many) * 4
+            told[at] = tag
+            out.append((own, told, rich))
+    return out
+
+
 def train(windows: list[tuple[np.ndarray, np.ndarray, bool]]) -> Field:
     """``windows``: codes, tags, text rich in digits."""
     field = Field()
+    windows = windows + planted(windows)
     if not any((y != O).any() for _, y, _ in windows):
         return field
     n, T = len(windows), max(len(c) for c, _, _ in windows)
@@ -224,7 +256,9 @@ def _tables_of(buf, off):
 
 def sample_windows(docs: DataFrame) -> list[tuple[np.ndarray, np.ndarray, bool]]:
     """Training windows of the bounded sample: around base matches (up to four a
-    document), and one elsewhere in every fourth document."""
+    document), around other words with four digits or more that are no longer words with letters (up
+    to two), and one elsewhere
+    in every fourth document."""
     small_batches(docs.sparkSession)
     ids = docs.where("text IS NOT NULL").select("doc_id").orderBy(F.md5(F.col("doc_id").cast("string"))).limit(SAMPLE_DOCS)
     picked = docs.join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", "text")
@@ -246,7 +280,8 @@ def sample_windows(docs: DataFrame) -> list[tuple[np.ndarray, np.ndarray, bool]]
                         tags[hit] = np.where(tags[hit] == B, B, I)
                         if len(hit) and not (hit[0] and tags[hit[0] - 1] != O):
                             tags[hit[0]] = B
-                    centres = [*np.flatnonzero(tags == B)[:4].tolist(), *([hash_place(i, z - a)] if i % 4 == 0 else [])]
+                    plain = np.flatnonzero((tags == O) & ((codes[a:z] >> 2 & 3) >= 2) & ~key_like(codes[a:z]))
+                    centres = [*np.flatnonzero(tags == B)[:4].tolist(), *plain[:2].tolist(), *([hash_place(i, z - a)] if i % 4 == 0 else [])]
                     for c in centres:
                         p, q = max(0, c - WINDOW), min(z - a, c + WINDOW + 1)
                         while p > 0 and tags[p] == I:

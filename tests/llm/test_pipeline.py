@@ -39,6 +39,23 @@ def test_null_doc_id_is_mixed(spark):
     assert {r.doc_id for r in corpus_pipeline.mixed(spark, docs, "").collect()} == {None, 1, 2}
 
 
+def test_clashing_names_and_hard_rows(spark, messy, tmp_path):
+    """Every stage on nulls, repeats and columns named as stages might name theirs."""
+    from pyspark.sql import functions as F
+
+    shutil.copy("/root/testdata/sf0.001/benchmark.parquet", tmp_path)
+    names = ["lang_pred", "lang_score", "gone_id", "mixed_id", "mixed_copies", "mixed_turn", "copies", "kept", "removed"]
+    docs = messy.union(messy.limit(1).withColumn("doc_id", F.lit(None).cast("long"))).select("*", *[F.lit("own").alias(n) for n in names])
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, str(tmp_path))
+        assert i == 4 or out.columns == docs.columns
+        out.write.parquet(str(tmp_path / f"m{i}"))
+        docs = spark.read.parquet(str(tmp_path / f"m{i}"))
+        ids = {r.doc_id for r in docs.collect()}
+        assert ids == [{1, 2, 3, 7, 8, 9, 11, None}, {1, 7, 9, 11, None}, {1, 7, 9, 11, None}, ids, ids][i]
+    assert docs.count() > 0
+
+
 def test_without_languages(spark):
     rows = [(1, "clean words", None), (2, "12 34 !!", None), (3, None, None), (4, "élan", None), (5, "हिन्दी", None), (6, "", None)]
     out = corpus_pipeline.identified(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), "")
