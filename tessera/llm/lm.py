@@ -1,15 +1,18 @@
 """Language-model scoring by a hashed maximum-entropy model.
 
-The probability of a token is class-factored: P(class | history) * P(token | class). The
-class softmax is a maximum-entropy model over hashed features of the history: the token
-before (bigram), the one before that (skip), and the pair (trigram). Frequent tokens are
-binned into classes of equal mass, all others share ``TAIL`` classes by hash; within a
-class a token has its smoothed count.
+The probability of a token is class-factored: P(class | history) * P(token | class,
+history). The class softmax is a maximum-entropy model over hashed features of the history:
+the token before (bigram), the one before that (skip), and the pair (trigram). Frequent
+tokens are binned into classes of equal mass, all others share ``TAIL`` classes by hash. The
+softmax within a class of frequent tokens has as features the token with the class of the
+token before and with that of the one before that, upon its smoothed count; its normaliser
+is exact. A rare token has its smoothed count within its class.
 
 Fitting: one pass counts all tokens of the training texts, packed per task and merged in
 hash buckets; then rounds of distributed gradient updates, in which each task runs
 Adagrad mini-batches over its share of the texts and the tasks' weights are averaged by
-tokens. Scoring: one pass runs the class softmax in numpy batches; the counts of tail
+tokens. The rounds also sum how often the features of the softmax within classes occur;
+its full gradient needs no more of the texts, and its steps follow at once. Scoring: one pass runs the class softmax in numpy batches; the counts of tail
 tokens stay in their buckets: each block of documents sends its distinct tail tokens
 there, packed, and gets sums per document back, so no table that grows with the corpus is
 broadcast. The ``TOP`` most frequent tokens are the only vocabulary on every task.
@@ -36,8 +39,9 @@ CLASSES, TAIL = 32, 8
 ROWS = (TOP + 1024, TOP + 1024, 8192)  # of the bigram, skip and trigram tables
 BLOCK_TOKENS, BLOCK_DOCS = 3_000_000, 60_000
 STEP = 16_384
+CONTEXTS = CLASSES + 1  # classes of a token before, and the start of a text
+INNER_STEPS, PRIOR = 40, 0.5
 RATE = 0.15
-ROUNDS = 2
 ALPHA = 0.1
 END = np.uint64(0x0123456789ABCDEF)
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -122,6 +126,7 @@ class Vocabulary:
         order = np.argsort(top_h)
         self.h, self.c, self.cls = top_h[order], top_c[order], cls[order]
         self.log_count = np.log10(self.c + ALPHA)
+        self.inner = Inner(self)
 
     def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index among the frequent tokens (-1: none) and class of each token."""
@@ -132,6 +137,64 @@ class Vocabulary:
         return np.where(hit, at, -1), np.where(hit, self.cls[at], CLASSES - TAIL + (h % np.uint64(TAIL)).astype(np.int64))
 
 
+class Inner:
+    """The softmax within the classes of frequent tokens. ``theta`` (2, contexts, tokens)
+    are the weights for the class before and the one before that."""
+
+    def __init__(self, vocab: Vocabulary):
+        self.base, self.cls = np.log(vocab.c + ALPHA), vocab.cls
+        self.order = np.argsort(vocab.cls, kind="stable")  # tokens by class
+        self.used, self.at = np.unique(vocab.cls[self.order], return_index=True)
+        self.theta = np.zeros((2, CONTEXTS, len(vocab.h)), np.float32)
+        self.log_z = np.zeros((CONTEXTS, CONTEXTS, CLASSES), np.float32)
+        if len(self.used):
+            self.normalise()
+
+    def shapes(self) -> list[tuple[int, ...]]:
+        """Of the counts: token by class before, by the one before that, and classes by both."""
+        return [(CONTEXTS, len(self.base)), (CONTEXTS, len(self.base)), (CONTEXTS, CONTEXTS, CLASSES)]
+
+    def count(self, totals: list[np.ndarray], at: np.ndarray, cls: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
+        hit = np.flatnonzero(at >= 0)
+        at, cls, one, two = at[hit], cls[hit], one[hit], two[hit]
+        for total, key in zip(totals, (one * len(self.base) + at, two * len(self.base) + at, (one * CONTEXTS + two) * CLASSES + cls), strict=True):
+            total += np.bincount(key, minlength=total.size).reshape(total.shape)
+
+    def _exponents(self, one: int) -> np.ndarray:
+        """exp of the scores (contexts two before, tokens by class) for a class before."""
+        return np.exp((self.base + self.theta[0, one])[self.order] + self.theta[1][:, self.order])
+
+    def normalise(self) -> None:
+        for one in range(CONTEXTS):
+            self.log_z[one][:, self.used] = np.log(np.add.reduceat(self._exponents(one), self.at, axis=1))
+
+    def fit(self, by_one: np.ndarray, by_two: np.ndarray, classes: np.ndarray) -> list[float]:
+        """Gradient steps on the likelihood with a quadratic prior, each scaled by the
+        expected counts; the likelihood before each."""
+        seen: list[float] = []
+        if not len(self.used):
+            return seen
+        sizes = np.diff(np.append(self.at, len(self.order)))
+        for _ in range(INNER_STEPS):
+            self.normalise()
+            seen.append(float((by_one * (self.base + self.theta[0])).sum() + (by_two * self.theta[1]).sum() - (classes * self.log_z).sum()))
+            expected = np.zeros_like(self.theta, np.float64)
+            for one in range(CONTEXTS):
+                e = self._exponents(one)
+                e *= np.repeat(classes[one][:, self.used] * np.exp(-self.log_z[one][:, self.used]), sizes, axis=1)
+                expected[0, one, self.order] = e.sum(axis=0)
+                expected[1][:, self.order] += e
+            for k, counts in enumerate((by_one, by_two)):
+                self.theta[k] += (0.5 * (counts - expected[k] - PRIOR * self.theta[k]) / (expected[k] + counts + PRIOR)).astype(np.float32)
+        self.normalise()
+        return seen
+
+    def log_probability(self, at: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """log10 P(token | class, history) of frequent tokens."""
+        x = self.base[at] + self.theta[0][one, at] + self.theta[1][two, at] - self.log_z[one, two, self.cls[at]]
+        return x / math.log(10)
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
     def sums(batches):
         for b in batches:
@@ -171,20 +234,26 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 
 
 # --------------------------------------------------------------------- class softmax
-def histories(h: np.ndarray, per: np.ndarray, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Frequent index and class of each token, and its three feature rows."""
+def histories(h: np.ndarray, per: np.ndarray, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Frequent index and class of each token, its three feature rows, and the classes of
+    the token before and of the one before that."""
     at, cls = vocab.look_up(h)
     row = np.where(at >= 0, at, TOP + (h % np.uint64(1023)).astype(np.int64))
-    start = ROWS[0] - 1  # stands before a text
-    prev, skip = np.full(len(h), start), np.full(len(h), start)
-    prev[1:], skip[2:] = row[:-1], row[:-2]
     first = np.cumsum(per) - per
-    prev[first] = start
-    skip[first] = start
     second = first[per > 1] + 1
-    skip[second] = start
+
+    def before(x: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+        """``x`` of the token before and of the one before that; ``start`` before a text."""
+        one, two = np.full(len(h), start), np.full(len(h), start)
+        one[1:], two[2:] = x[:-1], x[:-2]
+        one[first] = start
+        two[first] = start
+        two[second] = start
+        return one, two
+
+    prev, skip = before(row, ROWS[0] - 1)
     pair = mix64(prev.astype(np.uint64) * _PAIR + skip.astype(np.uint64))
-    return at, cls, [prev, skip, (pair % np.uint64(ROWS[2])).astype(np.int64)]
+    return at, cls, [prev, skip, (pair % np.uint64(ROWS[2])).astype(np.int64)], before(cls, CLASSES)
 
 
 def class_logits(weights: list[np.ndarray], rows: list[np.ndarray], a: int, b: int) -> np.ndarray:
@@ -226,42 +295,51 @@ def start_weights() -> list[np.ndarray]:
     return [np.zeros((r, CLASSES), np.float32) for r in ROWS] + [np.zeros(CLASSES, np.float32)]
 
 
-def gradient_round(docs: DataFrame, vocab: Vocabulary, weights: list[np.ndarray]) -> list[np.ndarray]:
-    """Each task updates its own copy of the weights; the mean of their changes,
-    weighted by tokens."""
+def gradient_round(docs: DataFrame, vocab: Vocabulary, weights: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Each task updates its own copy of the weights; the mean of their changes, weighted by
+    tokens. Also the counts that the softmax within classes learns from, summed."""
     parts = 16
+    shapes = vocab.inner.shapes()
 
     def local(batches):
         own, memory = [w.copy() for w in weights], [np.zeros((r, 1), np.float32) for r in ROWS] + [np.zeros(CLASSES, np.float32)]
+        totals = [np.zeros(x, np.int64) for x in shapes]
         n = 0
         for b in batches:
             for _, _, buf, off in text_slices(b):
                 h, per = tokens(buf, off)
-                _, cls, rows = histories(h, per, vocab)
+                at, cls, rows, (one, two) = histories(h, per, vocab)
                 adagrad(own, memory, rows, cls)
+                vocab.inner.count(totals, at, cls, one, two)
                 n += len(h)
         if n:
             change = np.concatenate([(w - v).reshape(-1) for w, v in zip(own, weights, strict=True)])
-            cut = np.array_split(change, parts)
-            yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([n] * parts, pa.int64()), pa.array([x.astype(np.float16).tobytes() for x in cut], pa.binary())], ["part", "n", "change"])
+            counts = np.concatenate([x.reshape(-1) for x in totals])
+            sent = [x.astype(np.float16).tobytes() for x in np.array_split(change, parts)] + [x.astype(np.float64).tobytes() for x in np.array_split(counts, parts)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(2 * parts), pa.int32()), pa.array([n] * 2 * parts, pa.int64()), pa.array(sent, pa.binary())], ["part", "n", "change"])
 
-    def mean(table: pa.Table) -> pa.Table:
+    def merge(table: pa.Table) -> pa.Table:
+        """Mean of the changes, sum of the counts."""
+        counts = table.column("part")[0].as_py() >= parts
+        kind = np.float64 if counts else np.float16
         total, size = 0.0, 0
         for n, x in zip(table.column("n").to_pylist(), table.column("change").to_pylist(), strict=True):
-            total, size = total + np.frombuffer(x, np.float16).astype(np.float64) * n, size + n
-        return pa.table({"part": table.column("part").slice(0, 1), "n": pa.array([size], pa.int64()), "change": pa.array([(total / size).astype(np.float16).tobytes()], pa.binary())})
+            total, size = total + np.frombuffer(x, kind).astype(np.float64) * (1 if counts else n), size + n
+        return pa.table({"part": table.column("part").slice(0, 1), "n": pa.array([size], pa.int64()), "change": pa.array([(total if counts else total / size).astype(kind).tobytes()], pa.binary())})
 
     schema = "part int, n long, change binary"
     some = docs.select("text").mapInArrow(local, schema).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(32)))  # so that no task reads every task's weights
-    got = sorted(some.groupBy("part", "salt").applyInArrow(mean, schema).groupBy("part").applyInArrow(mean, schema).collect())
+    got = sorted(some.groupBy("part", "salt").applyInArrow(merge, schema).groupBy("part").applyInArrow(merge, schema).collect())
     if not got:
-        return weights
-    change = np.concatenate([np.frombuffer(r[2], np.float16) for r in got]).astype(np.float32)
+        return weights, [np.zeros(x) for x in shapes]
+    change = np.concatenate([np.frombuffer(r[2], np.float16) for r in got if r[0] < parts]).astype(np.float32)
+    counts = np.concatenate([np.frombuffer(r[2], np.float64) for r in got if r[0] >= parts])
     out, at = [], 0
     for w in weights:
         out.append((w + change[at : at + w.size].reshape(w.shape)).astype(np.float32))
         at += w.size
-    return out
+    ends = np.cumsum([math.prod(x) for x in shapes])[:-1]
+    return out, [x.reshape(shape) for x, shape in zip(np.split(counts, ends), shapes, strict=True)]
 
 
 # --------------------------------------------------------------------- scoring
@@ -309,15 +387,18 @@ def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, weights: list[n
         for b in batches:
             for lo, hi, buf, off in text_slices(b, 2):
                 h, per = tokens(buf, off)
-                at, cls, rows = histories(h, per, vocab)
+                at, cls, rows, (one, two) = histories(h, per, vocab)
                 lp = np.empty(len(h))
                 for a in range(0, len(h), STEP):
                     g = class_logits(weights, rows, a, a + STEP)
                     own = g[np.arange(len(g)), cls[a : a + STEP]]
                     np.exp(g, out=g)
                     lp[a : a + STEP] = own - np.log(g.sum(axis=1))
-                lp = lp / math.log(10) - vocab.log_class[cls]
                 hit = at >= 0
+                known = np.flatnonzero(hit)
+                lp /= math.log(10)
+                lp -= np.where(hit, 0.0, vocab.log_class[cls])
+                lp[known] += vocab.inner.log_probability(at[known], one[known], two[known])
                 known = np.where(hit, vocab.log_count[at], 0.0) if len(vocab.h) else np.zeros(len(h))
                 doc = np.repeat(np.arange(hi - lo), per)
                 tail = ~hit
@@ -325,7 +406,7 @@ def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, weights: list[n
                 held_out = b.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False).astype(np.int8)
                 held.append((
                     b.column(0).slice(lo, hi - lo).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), held_out + 2 * unknown, per.astype(np.int64),
-                    np.bincount(doc, hit, hi - lo), np.bincount(doc, known, hi - lo), np.bincount(doc, lp + known, hi - lo), h[tail], doc[tail].astype(np.int64),
+                    np.bincount(doc, hit, hi - lo), np.bincount(doc, known, hi - lo), np.bincount(doc, lp, hi - lo), h[tail], doc[tail].astype(np.int64),
                 ))
                 n_tok, n_doc = n_tok + len(h), n_doc + hi - lo
                 if n_tok > BLOCK_TOKENS or n_doc > BLOCK_DOCS:
@@ -378,8 +459,11 @@ def fit(train: DataFrame, buckets: int) -> tuple[DataFrame, Vocabulary, list[np.
     vocab = vocabulary(counts)
     weights = start_weights()
     quarter = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
+    seen = [np.zeros(x) for x in vocab.inner.shapes()]
     for share in (quarter, ~quarter):
-        weights = gradient_round(train.where(share), vocab, weights)
+        weights, more = gradient_round(train.where(share), vocab, weights)
+        seen = [a + b for a, b in zip(seen, more, strict=True)]
+    vocab.inner.fit(*seen)
     return counts, vocab, weights
 
 

@@ -53,6 +53,67 @@ def test_lm_beats_counts_on_held_out(spark):
     assert out.score.sum() > out.base_score.sum()
 
 
+def small_model(spark, texts):
+    train = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return lm.fit(train, 4)
+
+
+def test_lm_probabilities_sum_to_one(spark):
+    """Over all frequent tokens and the rest of their classes, for any history."""
+    r = np.random.default_rng(21)
+    texts = [" ".join(f"w{int(k)}" for k in r.zipf(1.5, 40) % 60) for _ in range(200)]
+    _, vocab, weights = small_model(spark, texts)
+    inner = vocab.inner
+    for one, two in ((0, 3), (5, lm.CLASSES), (lm.CLASSES, lm.CLASSES)):
+        p = 10 ** inner.log_probability(np.arange(len(vocab.h)), np.full(len(vocab.h), one), np.full(len(vocab.h), two))
+        assert np.allclose(np.bincount(vocab.cls, p)[inner.used], 1, atol=1e-4)
+    g = lm.class_logits(weights, [np.array([1, 2]), np.array([3, 4]), np.array([5, 6])], 0, 2)
+    assert np.allclose((np.exp(g) / np.exp(g).sum(axis=1, keepdims=True)).sum(axis=1), 1)
+
+
+def test_lm_score_equals_slow_model(spark):
+    """Each document's score by one token after the other."""
+    r = np.random.default_rng(22)
+    texts = [" ".join(f"w{int(k)}" for k in r.zipf(1.6, 30) % 80) for _ in range(120)]
+    counts, vocab, weights = small_model(spark, texts)
+    ask = [(0, texts[0], False), (1, "w1 w2 unseen w1 neverseen", True), (2, None, False), (3, texts[5] + " " + texts[6], True)]
+    got = {x.doc_id: x.score for x in lm.score(spark.createDataFrame(ask, "doc_id long, text string, held_out boolean"), counts, vocab, weights, 4).collect()}
+    start = lm.ROWS[0] - 1
+    for i, text, _ in ask:
+        raw = (text or "").encode()
+        h, _ = lm.tokens(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        total, rows, classes = 0.0, [start, start], [lm.CLASSES, lm.CLASSES]
+        for t in h:
+            at, cls = (int(x[0]) for x in vocab.look_up(np.array([t])))
+            pair = int(lm.mix64(np.array([rows[-1]], np.uint64) * lm._PAIR + np.array([rows[-2]], np.uint64))[0] % np.uint64(lm.ROWS[2]))
+            z = weights[3] + weights[0][rows[-1]] + weights[1][rows[-2]] + weights[2][pair]
+            total += (z[cls] - np.log(np.exp(z - z.max()).sum()) - z.max()) / math.log(10)
+            if at >= 0:
+                own = np.flatnonzero(vocab.cls == cls)
+                x = vocab.inner.base + vocab.inner.theta[0][classes[-1]] + vocab.inner.theta[1][classes[-2]]
+                total += (x[at] - np.log(np.exp(x[own]).sum())) / math.log(10)
+            else:
+                total += math.log10(lm.ALPHA) - vocab.log_class[cls]
+            rows, classes = [*rows, at if at >= 0 else lm.TOP + int(t % np.uint64(1023))], [*classes, cls]
+        assert abs(total - got[i]) < 1e-3 * max(1, abs(total)), (i, total, got[i])
+
+
+def test_lm_inner_gradient_steps_raise_likelihood(spark):
+    """Words of one class that follow other classes are told apart."""
+    texts = [" ".join(["aa", "xx"] * 20 + ["bb", "yy"] * 20) for _ in range(60)] + [" ".join(f"z{k}" for k in range(40)) for _ in range(30)]
+    _, vocab, _ = small_model(spark, texts)
+    inner = lm.Inner(vocab)
+    r = np.random.default_rng(3)
+    at = r.integers(0, len(vocab.h), 5000)
+    one, two = (at * 7 + 1) % lm.CONTEXTS, r.integers(0, lm.CONTEXTS, 5000)
+    totals = [np.zeros(x) for x in inner.shapes()]
+    inner.count(totals, at, vocab.cls[at], one, two)
+    assert totals[0].sum() == 5000 == totals[2].sum()
+    before = inner.log_probability(at, one, two).sum()
+    seen = inner.fit(*totals)
+    assert seen == sorted(seen) and inner.log_probability(at, one, two).sum() > before + 50
+
+
 def test_lm_empty(spark, nothing):
     assert lm.score_corpus(nothing, held()).count() == 0
 
