@@ -32,14 +32,27 @@ def select_gold(scores: DataFrame, per_language: int, normal_share: float, seed:
     return cols(border, "borderline").unionByName(cols(normal, "normal"))
 
 
+def shuffled_position(rows: DataFrame, key: str, seed: str, id_: str, out: str) -> DataFrame:
+    """``rows`` with ``out``: 0, 1, ... within each ``key`` in shuffled order. Chunks by the
+    hash's first digits are counted first, so no task sorts a whole group."""
+    x = rows.withColumn("_h", hash_order(seed, F.col(id_))).withColumn("_chunk", F.substring("_h", 1, 3))
+    before = Window.partitionBy("_k").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    counts = x.groupBy(F.col(key).alias("_k"), F.col("_chunk").alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+    starts = counts.select("_k", "_c", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    both = x.join(starts, x[key].eqNullSafe(starts["_k"]) & (x["_chunk"] == starts["_c"])).drop("_k", "_c")
+    inside = F.row_number().over(Window.partitionBy(key, "_chunk").orderBy("_h", id_))
+    return both.withColumn(out, F.col("_start") + inside - 1).drop("_h", "_chunk", "_start")
+
+
 def assign_raters(tasks: DataFrame, raters: list[str], overlap: float, seed: str) -> DataFrame:
     """Alternating primary raters per language; a shuffled share gets the next one too."""
-    by = Window.partitionBy("language")
-    x = tasks.withColumn("idx", F.row_number().over(by.orderBy(hash_order(seed, F.col("id")), "id")) - 1)
-    x = x.withColumn("pick", F.row_number().over(by.orderBy(hash_order(seed + "/overlap", F.col("id")), "id"))).withColumn("n", F.count(F.lit(1)).over(by))
+    sizes = tasks.groupBy(F.col("language").alias("_l")).agg(F.count(F.lit(1)).alias("n"))
+    x = shuffled_position(tasks, "language", seed, "id", "idx")
+    x = shuffled_position(x, "language", seed + "/overlap", "id", "pick")
+    x = x.join(sizes, x["language"].eqNullSafe(sizes["_l"])).drop("_l")
     r, k = F.array(*map(F.lit, raters)), len(raters)
-    double = (F.col("pick") <= F.ceil(F.lit(overlap) * F.col("n"))) if k > 1 else F.lit(False)
-    first, second = F.get(r, F.pmod("idx", F.lit(k))), F.get(r, F.pmod(F.col("idx") + 1, F.lit(k)))
+    double = (F.col("pick") < F.ceil(F.lit(overlap) * F.col("n"))) if k > 1 else F.lit(False)
+    first, second = (F.get(r, F.pmod(F.col("idx") + i, F.lit(k)).cast("int")) for i in (0, 1))
     return x.select("id", "language", F.when(double, F.array(first, second)).otherwise(F.array(first)).alias("raters"), double.alias("overlap"))
 
 
