@@ -42,8 +42,9 @@ def low_scores(rows: DataFrame, value: str, below: float) -> DataFrame:
 
 
 def head(pool: DataFrame, n: int, order: str = "pos") -> DataFrame:
-    """The first ``n`` of an ordered pool."""
-    return pool.orderBy(order).limit(n)
+    """The first ``n`` of an ordered pool, ties by id."""
+    ties = ["id"] if "id" in pool.columns and order != "id" else []
+    return pool.orderBy(order, *ties).limit(n)
 
 
 def examples(rows: DataFrame, keys: list[str], value: str, n: int) -> DataFrame:
