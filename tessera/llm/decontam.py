@@ -52,7 +52,7 @@ TERMS = 1 << TERM_BITS
 ITEMS = 4096
 COSINE, RELATED, SHARE = 0.4, 0.95, 0.3
 DAMP, RIDGE = 0.25, 0.3
-BITMAP = 2048
+BITMAP, REGIONS, NEAR = 2048, 1 << 18, 1024
 SLICE = 1 << 19
 COVER, COVER_ANSWERED = 0.75, 0.5
 ANSWER, ANSWERED = 5, 0.6
@@ -243,9 +243,11 @@ class Space:
         last = end.copy()
         last[pair] = end[pair + 1]
         topic, v = _unit(v[:, LEADING]), _unit(v)
-        for a in range(0, len(v), 4096):
-            cos = v[a : a + 4096] @ self.probes
-            i, k = np.nonzero((cos >= COSINE) | (topic[a : a + 4096] @ self.related >= RELATED))
+        for a in range(0, len(v), NEAR):
+            cos = v[a : a + NEAR] @ self.probes
+            close = cos >= COSINE
+            close |= topic[a : a + NEAR] @ self.related >= RELATED
+            i, k = np.divmod(np.flatnonzero(close), close.shape[1])
             if len(i):
                 yield start[a + i], last[a + i] - start[a + i], doc[a + i], k, cos[i, k]
 
@@ -342,16 +344,38 @@ class Item:
         return None
 
 
-def holds(bits: np.ndarray, items: list[Item], a: list[int], z: list[int]) -> np.ndarray:
-    """Whether regions of token ``bits`` can hold COVER_ANSWERED of their items' tokens."""
-    out = np.zeros(len(a), bool)
-    seen = np.zeros(BITMAP, bool)
-    for i, (item, lo, hi) in enumerate(zip(items, a, z, strict=True)):
-        own = bits[lo:hi]
-        seen[own] = True
-        out[i] = np.count_nonzero(seen[item.bits]) >= COVER_ANSWERED * item.length
-        seen[own] = False
-    return out
+class Bits:
+    """The tokens of all items as bits of BITMAP, one item after the other."""
+
+    def __init__(self, items: list[Item]):
+        self.length = np.array([i.length for i in items], np.int64)
+        self.first = np.cumsum(self.length) - self.length
+        self.bits = np.concatenate([i.bits for i in items]) if items else np.zeros(0, np.int32)
+
+    def holds(self, bits: np.ndarray, j: np.ndarray, a: np.ndarray, z: np.ndarray) -> np.ndarray:
+        """Whether the regions ``a`` to ``z`` of token ``bits`` can hold COVER_ANSWERED of the
+        tokens of their items ``j``; as many regions at once as have about REGIONS tokens."""
+        out = np.zeros(len(j), bool)
+        size = np.cumsum(z - a + self.length[j])
+        at = 0
+        while at < len(j):
+            end = max(at + 1, int(np.searchsorted(size, size[at] + REGIONS)))
+            end = min(end, at + REGIONS // 128)
+            some = slice(at, end)
+            seen = np.zeros((end - at) * BITMAP, bool)
+            own, token = ragged(a[some], z[some] - a[some])
+            seen[own * BITMAP + bits[token]] = True
+            own, token = ragged(self.first[j[some]], self.length[j[some]])
+            held = np.bincount(own, seen[own * BITMAP + self.bits[token]], end - at)
+            out[some] = held >= COVER_ANSWERED * self.length[j[some]]
+            at = end
+        return out
+
+
+def ragged(first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the range and position, for all positions of ranges."""
+    own = owner(size)
+    return own, np.arange(len(own)) + (first - np.cumsum(size) + size)[own]
 
 
 # --------------------------------------------------------------------- the operator
@@ -388,6 +412,7 @@ def _search(docs: DataFrame, ids: list[int], items: list[np.ndarray], space: Spa
     small_batches(docs.sparkSession)
     short = Short(items)
     exact = [Item(h) for h in items]
+    flat = Bits(exact)
 
     def candidates(h, counts, best):
         first = np.cumsum(counts) - counts
@@ -396,10 +421,10 @@ def _search(docs: DataFrame, ids: list[int], items: list[np.ndarray], space: Spa
         for x, n, doc, k, cos in space.near(h, counts):
             ok = np.flatnonzero(space.share(h, x, n, k))
             d, j = doc[ok], space.item[k[ok]]
-            own = np.array([exact[i].length for i in j], np.int64)
+            own = flat.length[j]
             a = np.maximum(first[d], x[ok] - own)
             z = np.minimum(first[d] + counts[d], x[ok] + 2 * CELL + own)
-            fits = holds(bits, [exact[i] for i in j], a.tolist(), z.tolist())
+            fits = flat.holds(bits, j, a, z)
             for d, j, a, z, c in zip(d[fits].tolist(), j[fits].tolist(), a[fits].tolist(), z[fits].tolist(), cos[ok[fits]].tolist(), strict=True):
                 known = best.get((d, j))
                 if known and known[1] >= 1.0 or (d, j, a, z) in tried:
