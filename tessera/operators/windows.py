@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 from pyspark.sql.window import Window
 
 from ..functions.text import utc_day
@@ -32,16 +33,22 @@ def select_gold(scores: DataFrame, per_language: int, normal_share: float, seed:
     return cols(border, "borderline").unionByName(cols(normal, "normal"))
 
 
-def shuffled_position(rows: DataFrame, key: str, seed: str, id_: str, out: str) -> DataFrame:
-    """``rows`` with ``out``: 0, 1, ... within each ``key`` in shuffled order. Chunks by the
-    hash's first digits are counted first, so no task sorts a whole group."""
-    x = rows.withColumn("_h", hash_order(seed, F.col(id_))).withColumn("_chunk", F.substring("_h", 1, 3))
+def positions(rows: DataFrame, key: str, chunk: Column, order: list[Column | str], out: str) -> DataFrame:
+    """``rows`` with ``out``: 0, 1, ... within each ``key`` by ``chunk``, then ``order``. Rows
+    are counted by chunk first, so that no task sorts a whole group."""
+    x = rows.withColumn("_chunk", chunk)
     before = Window.partitionBy("_k").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
     counts = x.groupBy(F.col(key).alias("_k"), F.col("_chunk").alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
     starts = counts.select("_k", "_c", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    both = x.join(starts, x[key].eqNullSafe(starts["_k"]) & (x["_chunk"] == starts["_c"])).drop("_k", "_c")
-    inside = F.row_number().over(Window.partitionBy(key, "_chunk").orderBy("_h", id_))
-    return both.withColumn(out, F.col("_start") + inside - 1).drop("_h", "_chunk", "_start")
+    both = x.join(starts, x[key].eqNullSafe(starts["_k"]) & x["_chunk"].eqNullSafe(starts["_c"])).drop("_k", "_c")
+    inside = F.row_number().over(Window.partitionBy(key, "_chunk").orderBy(*order))
+    return both.withColumn(out, F.col("_start") + inside - 1).drop("_chunk", "_start")
+
+
+def shuffled_position(rows: DataFrame, key: str, seed: str, id_: str, out: str) -> DataFrame:
+    """``positions`` in shuffled order, by chunks of the hash's first digits."""
+    x = rows.withColumn("_h", hash_order(seed, F.col(id_)))
+    return positions(x, key, F.substring("_h", 1, 3), ["_h", id_], out).drop("_h")
 
 
 def assign_raters(tasks: DataFrame, raters: list[str], overlap: float, seed: str) -> DataFrame:
@@ -56,19 +63,31 @@ def assign_raters(tasks: DataFrame, raters: list[str], overlap: float, seed: str
     return x.select("id", "language", F.when(double, F.array(first, second)).otherwise(F.array(first)).alias("raters"), double.alias("overlap"))
 
 
-def interleave(rows: DataFrame, key: str, within: list[Column]) -> DataFrame:
-    """Round-robin across groups: adds ``turn``; sort by (turn, key)."""
+def interleave(rows: DataFrame, key: str, within: list[Column], coarse: Column | None = None) -> DataFrame:
+    """Round-robin across groups: adds ``turn``; sort by (turn, key). ``coarse``, by which
+    ``within`` sorts first, has few values against the rows; with it no task sorts a group."""
+    if coarse is not None:
+        return positions(rows, key, coarse, within, "_turn").withColumn("turn", F.col("_turn") + 1).drop("_turn")
     return rows.withColumn("turn", F.row_number().over(Window.partitionBy(key).orderBy(*within)))
 
 
 def congested(log: DataFrame, after: int = 4) -> DataFrame:
     """``log`` (judge, ts, event_id, failed): the event at which each judge first has
-    ``after`` failures in a row."""
-    by = Window.partitionBy("judge").orderBy("ts", "event_id")
-    x = log.withColumn("island", F.sum((~F.col("failed")).cast("int")).over(by))
-    streak = F.sum(F.col("failed").cast("int")).over(Window.partitionBy("judge", "island").orderBy("ts", "event_id"))
-    x = x.withColumn("streak", streak).where(F.col("streak") >= after)
-    return x.groupBy("judge").agg(F.min(F.struct("ts", "event_id")).alias("at")).select("judge", F.col("at.event_id").alias("event_id"))
+    ``after`` failures in a row. A task orders a judge's day; what a day's end carries into
+    the next comes from one row a day. Rows whose ``failed`` is null don't count."""
+    numeric = isinstance(log.schema["ts"].dataType, NumericType)
+    day = F.floor(F.col("ts") / 86_400) if numeric else F.to_date("ts")
+    x = log.where("failed IS NOT NULL").select("judge", "ts", "event_id", "failed", day.alias("day"))
+    line = Window.partitionBy("judge", "day").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = x.withColumn("row", F.row_number().over(Window.partitionBy("judge", "day").orderBy("ts", "event_id"))).withColumn("good", F.max(F.when(~F.col("failed"), F.col("row"))).over(line))
+    days = x.groupBy("judge", "day").agg(F.max("row").alias("rows"), F.max("good").alias("good"))
+    days = days.select(F.col("judge").alias("_j"), F.col("day").alias("_d"), (F.col("rows") - F.coalesce("good", F.lit(0))).alias("tail"), F.col("good").isNotNull().cast("int").alias("reset"))
+    by = Window.partitionBy("_j").orderBy("_d")
+    days = days.withColumn("island", F.sum("reset").over(by)).withColumn("tail", F.sum("tail").over(Window.partitionBy("_j", "island").orderBy("_d")))
+    days = days.select("_j", "_d", F.lag("tail", 1, 0).over(by).alias("carried"))
+    both = x.join(days, x["judge"].eqNullSafe(days["_j"]) & x["day"].eqNullSafe(days["_d"]))
+    streak = F.when(F.col("good").isNull(), F.col("row") + F.col("carried")).otherwise(F.col("row") - F.col("good"))
+    return both.where(streak >= after).groupBy("judge").agg(F.min(F.struct("ts", "event_id")).alias("at")).select("judge", F.col("at.event_id").alias("event_id"))
 
 
 def within_budget(log: DataFrame, cap: int, per_run: int | None = None) -> DataFrame:

@@ -125,11 +125,12 @@ def json_salvage(spark, d):
 
 
 @query("""SELECT event_id, 'syn-hi-qa-' || CAST(event_id % 7 AS VARCHAR) || '-' || CASE WHEN event_id < 1000 THEN lpad(CAST(event_id AS VARCHAR), 3, '0') ELSE CAST(event_id AS VARCHAR) END AS item,
-  'org_m_free' AS slug, 'm:free' AS short FROM events""")
+  'org_' || event_type || '_v' || CAST(event_id % 3 AS VARCHAR) AS slug, event_type || ':v' || CAST(event_id % 3 AS VARCHAR) AS short FROM events""")
 def identifiers(spark, d):
     e = table(spark, d, "events")
     item = F.concat(T.synthetic_id(F.lit("hi"), F.concat(F.lit("seed-qa-"), (F.col("event_id") % 7).cast("string"))), F.lit("-"), T.padded(F.col("event_id"), 3))
-    return e.select("event_id", item.alias("item"), T.model_slug(F.lit("org/m:free")).alias("slug"), T.short_name(F.lit("org/m:free")).alias("short"))
+    model = F.concat(F.lit("org/"), "event_type", F.lit(":v"), (F.col("event_id") % 3).cast("string"))
+    return e.select("event_id", item.alias("item"), T.model_slug(model).alias("slug"), T.short_name(model).alias("short"))
 
 
 @query("SELECT event_id, CASE WHEN isnan(value) THEN 1 ELSE greatest(0, least(1, value)) END AS score FROM events")
@@ -350,7 +351,7 @@ def rater_assignment(spark, d):
 
 @query("SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS turn FROM documents")
 def round_robin_interleave(spark, d):
-    return W.interleave(table(spark, d, "documents").select("doc_id", "lang", "n_chars"), "lang", [F.desc("n_chars"), F.asc("doc_id")]).select("doc_id", "lang", F.col("turn").cast("long").alias("turn"))
+    return W.interleave(table(spark, d, "documents").select("doc_id", "lang", "n_chars"), "lang", [F.desc("n_chars"), F.asc("doc_id")], F.coalesce(-F.col("n_chars"), F.lit(1))).select("doc_id", "lang", F.col("turn").cast("long").alias("turn"))
 
 
 @query("""WITH l AS (SELECT user_id % 40 AS judge, ts, event_id, event_type = 'error' AS f FROM events),

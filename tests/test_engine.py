@@ -168,6 +168,29 @@ def test_congestion_and_budget(spark):
     assert [tuple(r) for r in W.congested(log).collect()] == [(1, 7)]
 
 
+def test_congestion_over_days_equals_plain_scan(spark):
+    import random
+
+    r = random.Random(4)
+    rows = [(k % 5, r.randrange(12) * 43_200 + k % 3, k, r.random() < 0.6) for k in range(400)] + [(9, d * 86_400, 1000 + d, d > 2) for d in range(8)] + [(8, d * 86_400, 2000 + d, True) for d in range(3)] + [(9, 5, 3000, None)]
+    want, run = {}, {}
+    for j, _, e, bad in sorted(x for x in rows if x[3] is not None):
+        run[j] = run.get(j, 0) + 1 if bad else 0
+        if run[j] >= 4:
+            want.setdefault(j, e)
+    log = spark.createDataFrame(rows, "judge long, ts long, event_id long, failed boolean")
+    assert want[9] == 1006 and 8 not in want and len(want) > 3
+    for x in (log, log.withColumn("ts", F.timestamp_seconds("ts"))):
+        assert {tuple(r) for r in W.congested(x).collect()} == set(want.items())
+
+
+def test_turns_by_coarse_values(spark):
+    rows = spark.createDataFrame([(k % 3 or None, k * 7 % 5 if k % 11 else None, k) for k in range(90)], "g long, size long, id long")
+    order = [F.desc("size"), F.asc("id")]
+    plain = {(r.id, r.turn) for r in W.interleave(rows, "g", [F.desc_nulls_first("size"), F.asc("id")]).collect()}
+    assert len(plain) == 90 and plain == {(r.id, r.turn) for r in W.interleave(rows, "g", order, -F.col("size")).collect()}
+
+
 def test_agreement(spark):
     p = spark.createDataFrame([("g", float(x), float(y)) for x, y in [(1, 2), (2, 1), (3, 4), (4, 3), (4, 9)]], "grp string, x double, y double")
     want = 7 / math.sqrt(95)  # ranks 1 2 3 4.5 4.5 and 2 1 4 3 5
