@@ -3,11 +3,14 @@ vectorised byte tokenizer and gapless numbering without one-task windows."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import math
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +67,31 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+# --------------------------------------------------------------------- memory of processes that stay
+def give_back() -> None:
+    """Return what this process has freed to the system. Spark keeps Python workers, more of
+    them than there are cores, and each would stay as large as its largest task."""
+    global _pow, _inv
+    if len(_pow) > POWERS:
+        _pow, _inv = _pow[:POWERS].copy(), _inv[:POWERS].copy()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task over Arrow batches that gives its memory back when it ends."""
+
+    @functools.wraps(run)
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 # --------------------------------------------------------------------- numbering
 def numbered(df: DataFrame, group: list[str], order: list[str], out: str, rows_per_task: int = 20_000) -> DataFrame:
     """Add ``out``: 0, 1, 2... within each ``group``, without gaps.
@@ -125,6 +153,8 @@ _rng = np.random.default_rng(0x5EED)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _P = 0x9E3779B97F4A7C15 | 1
 _PINV = pow(_P, -1, 1 << 64)
+#: Powers that a worker keeps; longer tables are made anew by the tasks that need them.
+POWERS = (1 << 19) + 1
 _pow = np.ones(1, np.uint64)
 _inv = np.ones(1, np.uint64)
 
@@ -142,7 +172,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> None:
     global _pow, _inv
     if len(_pow) < n:
-        n = max(n, 1 << 21)
+        n = POWERS if n <= POWERS else max(n, 1 << 21)
         for name, base in (("_pow", _P), ("_inv", _PINV)):
             x = np.full(n, base, np.uint64)
             x[0] = 1

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, owner, small_batches, text_slices, word_hashes, words
+from .common import give_back, lean, mix64, owner, small_batches, text_slices, word_hashes, words
 
 CELL = 16
 SKETCH, ITEM_SKETCH = 32, 96
@@ -115,6 +115,7 @@ def _summed(docs: DataFrame, add, shapes: list[tuple[int, ...]], parts: int = 16
     small_batches(docs.sparkSession)
     sizes = [math.prod(s) for s in shapes]
 
+    @lean
     def local(batches):
         totals = [np.zeros(s) for s in shapes]
         for b in batches:
@@ -207,7 +208,9 @@ def basis(group: list[np.ndarray], idf: np.ndarray, sketch: np.ndarray, seed: in
     own, used = weighted(group, idf)
     mine = np.zeros((TERMS, min(ITEM_SKETCH, max(1, len(group) // 2))))
     mine[used] = own.T @ np.random.default_rng(seed).normal(size=(len(group), mine.shape[1]))
-    both = np.concatenate([sketch / max(1e-12, np.linalg.norm(sketch)), mine / max(1e-12, np.linalg.norm(mine))], axis=1)
+    mine /= max(1e-12, np.linalg.norm(mine))
+    both = np.concatenate([sketch / max(1e-12, np.linalg.norm(sketch)), mine], axis=1)
+    del mine
     return np.linalg.qr(both)[0]
 
 
@@ -382,9 +385,8 @@ def ragged(first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text), ``benchmark`` (item_id, text): doc_id, item_id, cosine,
     coverage, word_start, word_end of each item that a document leaks."""
-    spark = docs.sparkSession
     schema = "doc_id long, item_id long, cosine double, coverage double, word_start long, word_end long"
-    out = spark.createDataFrame([], schema)
+    out = None
     chunks = math.ceil(benchmark.count() / ITEMS)
     corpus = None
     for c in range(chunks):
@@ -398,12 +400,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         if group:
             corpus = corpus or range_sketch(docs)
             space = latent_space(docs, group, *corpus)
-        out = out.union(_search(docs, ids, items, space, schema))
+        found = _search(docs, ids, items, space, schema)
+        out = found if out is None else out.union(found)
+        give_back()
+    if out is None:  # not a list of no rows, which would start Python workers of another kind
+        return docs.limit(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in map(str.split, schema.split(", "))])
     return out
 
 
 def latent_space(docs: DataFrame, group: list[tuple[int, np.ndarray]], idf: np.ndarray, sketch: np.ndarray) -> Space:
     q = basis([p for _, p in group], idf, sketch)
+    give_back()  # of the factorisation
     g, n = gram(docs, (idf[:, None] * q).astype(np.float32))
     return Space(group, idf, q, g, n)
 
@@ -434,6 +441,7 @@ def _search(docs: DataFrame, ids: list[int], items: list[np.ndarray], space: Spa
                 if cover is not None and (known is None or cover > known[1]):
                     best[d, j] = (c, cover, a - int(first[d]), z - int(first[d]))
 
+    @lean
     def run(batches):
         for b in batches:
             for lo, hi, buf, off in text_slices(b, 1, SLICE):

@@ -7,9 +7,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_scratch, scratch
+from .common import drop_scratch, lean, scratch
 
 
+@lean
 def _forest(batches):
     """Union-find over one partition's edges: each node with its smallest reachable id."""
     parent: dict[int, int] = {}

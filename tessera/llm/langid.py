@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import LOWER, owner, small_batches, text_slices, word_hashes, words
+from .common import LOWER, lean, owner, small_batches, text_slices, word_hashes, words
 
 HIDDEN = 16
 SEGMENT = 30
@@ -216,6 +216,7 @@ def sample(docs: DataFrame) -> list[tuple[bytes, str]]:
     ids = known.select("doc_id", "lang").withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= SAMPLE_DOCS).select("doc_id").distinct()
     picked = known.join(F.broadcast(ids), "doc_id", "left_semi").select("text", "lang")  # SAMPLE_DOCS a label
 
+    @lean
     def pick(batches):
         for b in batches:
             for lo, hi, buf, off in text_slices(b):
@@ -241,6 +242,7 @@ def predict(docs: DataFrame, labels: list[str], p: dict[str, np.ndarray], keep:
     ascii_letter[[*range(65, 91), *range(97, 123)]] = True
     L, extra = len(labels), int("text" not in keep)
 
+    @lean
     def run(batches):
         cache_h, cache_p = np.zeros(0, np.uint64), np.zeros((0, L), np.float32)
         for b in batches:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_column, drop_scratch, mix64, owner, scratch, small_batches, text_slices, word_hashes, words
+from .common import binary_column, drop_scratch, lean, mix64, owner, scratch, small_batches, text_slices, word_hashes, words
 from .graph import components
 
 SHINGLE = 5
@@ -118,6 +118,7 @@ def _fingerprint(keys: np.ndarray, counts: np.ndarray, c: int) -> np.ndarray:
     return out
 
 
+@lean
 def _signatures(batches):
     for batch in batches:
         ids = batch.column(0)
@@ -136,6 +137,7 @@ def _signatures(batches):
             )
 
 
+@lean
 def _sets(batches):
     for batch in batches:
         ids = batch.column(0)
@@ -193,6 +195,7 @@ def _pairs(ids: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids, other).astype(np.int64)), pa.array(np.maximum(ids, other).astype(np.int64))], ["a", "b"])
 
 
+@lean
 def _star_pairs(batches):
     """Pairs of each bucket's pivots with the members they resemble."""
     for table, bounds in _buckets(batches):
@@ -217,6 +220,7 @@ def _star_pairs(batches):
                 rest = rest[1:][~like]
 
 
+@lean
 def _hopeful(batches):
     """Members of each block that have a candidate, or are one."""
     for table, bounds in _buckets(batches):
@@ -227,6 +231,7 @@ def _hopeful(batches):
         yield from table.select(["band", "key", "id", "sig", "m", "component"]).filter(pa.array(hit)).to_batches()
 
 
+@lean
 def _block_links(batches):
     """Pairs of components linked by candidates of a block, checked on the full sets; none
     between components that links found in the block connect already."""
@@ -253,6 +258,7 @@ def _block_links(batches):
                 yield _pairs(np.array(x), np.array(y))
 
 
+@lean
 def _confirm(batches):
     for batch in batches:
         a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
