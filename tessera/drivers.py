@@ -107,13 +107,11 @@ def bootstrap_seeds(spark: SparkSession, seeds: DataFrame, task: str, n: int, fa
 def _judged(targets: DataFrame, judges: list[str], factory: Callable, **call) -> DataFrame:
     """``targets`` (item_id, seed columns, item_prompt, item_expected) by every judge: one
     row each with clamped axes, their mean, a rationale, or an error."""
-    spark = targets.sparkSession
-    pairs = joins.panel(targets, spark.createDataFrame([(j,) for j in judges], "judge string"))
-    asked = pairs.withColumn("_p", prompts.judge_prompt(F.col("item_prompt"), F.col("item_expected")))
+    asked = joins.each_of(targets, "judge", judges).withColumn("_p", prompts.judge_prompt(F.col("item_prompt"), F.col("item_expected")))
     asked = asked.withColumn("system", F.col("_p.system")).withColumn("user", F.col("_p.user")).withColumn("model", F.col("judge")).drop("_p")
     got = models.complete(asked, factory, **({"temperature": 0.0} | call))
     fields = ", ".join(f"{a} string" for a in A.AXES)
-    cell = F.from_json(salvage.strict_object(salvage.object_candidate(F.col("raw_response"))), f"reasoning string, {fields}")
+    cell = F.from_json(salvage.strict_object(salvage.object_candidate(F.col("raw_response")), once=True), f"reasoning string, {fields}")
     x = got.withColumn("_c", cell).withColumn("error", F.coalesce("error", F.when(F.col("_c").isNull(), "no JSON object in the answer")))
     ok = F.col("error").isNull()
     x = x.select("item_id", "judge", *[F.when(ok, T.clamp01(F.col(f"_c.{a}"))).alias(a) for a in A.AXES], F.col("_c.reasoning").alias("rationale"), "error", *[c for c in ("label", "prompt", "item_prompt") if c in targets.columns])
@@ -162,8 +160,7 @@ def panel_markdown(scores: DataFrame, judges: list[str]) -> str:
 
 def compare(seeds: DataFrame, teachers: list[str], language: str, n: int, factory: Callable, **call) -> tuple[DataFrame, str]:
     """The first ``n`` seeds by every teacher, and the report that shows them together."""
-    spark = seeds.sparkSession
-    jobs = joins.panel(pools.head(seeds, n).withColumnRenamed("id", "seed_id").withColumn("target_language", F.lit(language)), spark.createDataFrame([(t,) for t in teachers], "teacher string"))
+    jobs = joins.each_of(pools.head(seeds, n).withColumnRenamed("id", "seed_id").withColumn("target_language", F.lit(language)), "teacher", teachers)
     made = _items(models.complete(_asked(jobs, "").withColumn("model", F.col("teacher")), factory, **call))
     rows = made.select("seed_id", F.col("generation.teacher_model").alias("teacher"), "prompt", "expected", "error").collect()  # n times teachers
     cell = {(r["seed_id"], r["teacher"]): r for r in rows}

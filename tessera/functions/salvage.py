@@ -66,9 +66,11 @@ def _records(candidates: pd.Series) -> pd.Series:
     return candidates.map(records)
 
 
-def strict_object(candidate: Column) -> Column:
-    """Canonical JSON of a strictly valid object, else null."""
-    return F.pandas_udf(_object, "string")(candidate)
+def strict_object(candidate: Column, once: bool = False) -> Column:
+    """Canonical JSON of a strictly valid object, else null; ``once`` keeps filters from
+    running it a second time, in Python workers of their own."""
+    parse = F.pandas_udf(_object, "string")
+    return (parse.asNondeterministic() if once else parse)(candidate)
 
 
 def strict_records(candidate: Column) -> Column:

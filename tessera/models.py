@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import json
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
-# Pauses between attempts of a call.
+# Pauses between attempts of a call; rows that a Python worker holds at once.
 BACKOFF, RATE_LIMIT_WAIT = 1.5, 12.0
+ROWS_AT_ONCE = 256
+ANSWER = "raw_response string, error string"
 
 
 class ChatClient(Protocol):
@@ -109,36 +113,57 @@ def pause(error: Exception, attempt: int, backoff: tuple[float, ...] | None = No
     return RATE_LIMIT_WAIT if limited else BACKOFF**attempt
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of few rows, as prompts may be long; a smaller setting is kept."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if not 0 < now <= ROWS_AT_ONCE:
+        spark.conf.set(key, str(ROWS_AT_ONCE))
+
+
+def give_back() -> None:
+    """Return what this worker has freed to the system, as Spark keeps workers after a task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def complete(
     prompts: DataFrame, factory: Callable[[], ChatClient], per_minute: float | None = None, attempts: int = 4, temperature: float = 0.7, max_tokens: int = 1024,
     backoff: tuple[float, ...] | None = None, sleep: Callable[[float], None] = time.sleep,
 ) -> DataFrame:
     """``prompts`` with system, user, model: adds raw_response or error. Retries happen
     here, so that a failing call never fails a task. A client is built once per task; a
-    cap on the calls a minute must be divided by the number of tasks."""
-    schema = T.StructType([*prompts.schema.fields, T.StructField("raw_response", T.StringType()), T.StructField("error", T.StringType())])
+    cap on the calls a minute must be divided by the number of tasks. Workers see only the
+    three columns of a call, a few rows at a time; the others stay in the JVM."""
 
-    def run(frames):
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         client, limit = factory(), RateLimiter(per_minute) if per_minute else None
-        for f in frames:
-            got, bad = [], []
-            for r in f.itertuples(index=False):
-                text = error = None
-                for k in range(attempts):
-                    try:
-                        if limit:
-                            limit.wait()
-                        text, error = client.complete(r.model, r.system, r.user, temperature, max_tokens), None
-                        break
-                    except Exception as e:  # noqa: BLE001
-                        error = str(e)
-                        if k + 1 < attempts:
-                            sleep(pause(e, k, backoff))
-                got.append(text)
-                bad.append(error)
-            yield f.assign(raw_response=got, error=bad)
-
-    return prompts.mapInPandas(run, schema)
+        try:
+            for model, system, user in batches:
+                got, bad = [], []
+                for m, s, u in zip(model, system, user, strict=True):
+                    text = error = None
+                    for k in range(attempts):
+                        try:
+                            if limit:
+                                limit.wait()
+                            text, error = client.complete(m.as_py(), s.as_py(), u.as_py(), temperature, max_tokens), None
+                            break
+                        except Exception as e:  # noqa: BLE001
+                            error = str(e)
+                            if k + 1 < attempts:
+                                sleep(pause(e, k, backoff))
+                    got.append(text)
+                    bad.append(error)
+                yield pa.StructArray.from_arrays([pa.array(got, pa.string()), pa.array(bad, pa.string())], ["raw_response", "error"])
+        finally:
+            give_back()
+
+    small_batches(prompts.sparkSession)
+    # a call is not repeated for each use of its answer, nor moved past a filter or join
+    call = F.arrow_udf(run, ANSWER).asNondeterministic()
+    return prompts.withColumn("_answer", call("model", "system", "user")).select(*prompts.columns, "_answer.raw_response", "_answer.error")
 
 
 def letter_vector(text):
@@ -159,13 +184,17 @@ class LetterEmbedder:
 
 def embed(texts: DataFrame, factory: Callable[[], Embedder], batch: int = 64) -> DataFrame:
     """Embed the distinct texts once: (text) -> (text, vector). The model is built once
-    per task and sees ``batch`` texts at a time."""
+    per task and sees ``batch`` texts at a time, whose vectors leave before the next."""
 
     def run(frames):
         model = factory()
-        for f in frames:
-            texts = f["text"].tolist()
-            vectors = [list(map(float, v)) for a in range(0, len(texts), batch) for v in model.encode(texts[a : a + batch])]
-            yield pd.DataFrame({"text": texts, "vector": vectors})
-
+        try:
+            for f in frames:
+                for a in range(0, len(f), batch):
+                    some = f["text"].iloc[a : a + batch].tolist()
+                    yield pd.DataFrame({"text": some, "vector": [list(map(float, v)) for v in model.encode(some)]})
+        finally:
+            give_back()
+
+    small_batches(texts.sparkSession)
     return texts.select("text").distinct().mapInPandas(run, "text string, vector array<double>")

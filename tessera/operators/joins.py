@@ -55,6 +55,11 @@ def panel(targets: DataFrame, judges: DataFrame) -> DataFrame:
     return targets.crossJoin(judges)
 
 
+def each_of(targets: DataFrame, name: str, values: list[str]) -> DataFrame:
+    """Every target with every one of a list: no join, and no Python worker to read the list."""
+    return targets.select("*", F.explode(F.array(*map(F.lit, values)).cast("array<string>")).alias(name))
+
+
 def mismatched(pairs: DataFrame, rows_per_key: str = "language") -> DataFrame:
     """Each row with the vector of the next row of its group, by rotation, so that no
     theta join is needed: adds ``other``."""

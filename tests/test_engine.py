@@ -507,3 +507,48 @@ def test_utc_day_in_any_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert one(spark, 0.125, lambda c: T.fixed(c, 2), "double") == "0.12" and one(spark, 2.675, lambda c: T.fixed(c, 2), "double") == "2.68"
+
+
+class Weigher:
+    """Answers with the MB of memory that its worker holds."""
+
+    def complete(self, model, system, user, temperature, max_tokens):
+        with open("/proc/self/smaps_rollup") as f:
+            return str(sum(int(x.split()[1]) for x in f if x.startswith("Pss_Anon:")) // 1024)
+
+
+def test_workers_hold_few_prompts_at_once(spark):
+    asked = lambda n, size: spark.range(0, n, 1, 1).select("id", F.lit("m").alias("model"), F.lit("s").alias("system"), *[F.concat(F.col("id").cast("string"), F.repeat(F.lit("x"), size)).alias(c) for c in ("user", "item_prompt")])
+    most = lambda df: models.complete(df, Weigher).agg(F.max(F.col("raw_response").cast("int")), F.count("item_prompt")).first()
+    small, large = most(asked(8, 8)), most(asked(6000, 20_000))
+    assert (small[1], large[1]) == (8, 6000) and large[0] - small[0] < 48
+
+
+class Counted:
+    """Answers with the number of calls of its process so far."""
+
+    calls = 0
+
+    def complete(self, model, system, user, temperature, max_tokens):
+        Counted.calls += 1
+        return '{"n": %d}' % Counted.calls
+
+
+def test_calls_keep_other_columns_and_run_once(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame([(big, ["a"], "u"), (None, None, "v")], "n long, l array<string>, user string").coalesce(1).withColumn("model", F.lit("m")).withColumn("system", F.lit("s"))
+    got = models.complete(df, Counted).where("error IS NULL AND raw_response IS NOT NULL AND user < 'z'").withColumn("again", F.concat("raw_response", "raw_response"))
+    rows = sorted(got.collect(), key=lambda r: r.user)
+    assert [(r.n, r.l) for r in rows] == [(big, ["a"]), (None, None)] and all(r.again == r.raw_response * 2 for r in rows)
+    first, second = (json.loads(r.raw_response)["n"] for r in rows)
+    assert second == first + 1
+
+
+def test_judges_run_no_other_python_workers(spark, tmp_path):
+    """Neither a list of judges nor a second parse of the answers starts workers, which stay."""
+    for name, df in (("items", made_items(spark)), ("seeds", seed_frame(spark))):
+        df.write.parquet(str(tmp_path / name))
+    e, each, _ = drivers.judge_score(*(spark.read.parquet(str(tmp_path / n)) for n in ("items", "seeds")), ["a", "vague"], Judge, attempts=1)
+    for df in (e, each):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "RDD" not in plan and plan.count("ArrowEvalPython") == 2
