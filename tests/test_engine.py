@@ -552,3 +552,15 @@ def test_judges_run_no_other_python_workers(spark, tmp_path):
     for df in (e, each):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "RDD" not in plan and plan.count("ArrowEvalPython") == 2
+
+
+class Few(models.LetterEmbedder):
+    def encode(self, texts):
+        assert 0 < len(texts) <= 7
+        return super().encode(texts)
+
+
+def test_embed_takes_a_few_texts_at_a_time(spark):
+    texts = spark.range(300).select(F.repeat(F.lit("ab"), F.col("id").cast("int")).alias("text")).coalesce(1)
+    got = {r.text: r.vector for r in models.embed(texts.union(texts), Few, batch=7).collect()}
+    assert len(got) == 300 and all(len(v) == 26 and v[0] == v[1] == len(t) / 2 for t, v in got.items())
